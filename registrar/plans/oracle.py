@@ -143,6 +143,223 @@ SELECT ed.edition_id, ed.capacity, CAST(coalesce(n.k, 0) AS BIGINT) AS enrolled,
 FROM d_course_edition ed
 LEFT JOIN (SELECT edition_id, count(*) AS k FROM d_course_enrollment GROUP BY edition_id) n ON n.edition_id = ed.edition_id""")
 
+# ---------------------------------------------------------------- admission (sequential meaning in SQL)
+_ADMIT = """
+WITH off AS (SELECT ed.edition_id, ed.course_code, ed.capacity FROM d_course_edition ed JOIN d_course c ON c.code = ed.course_code),
+cur AS (SELECT edition_id, count(*) AS k FROM d_course_enrollment GROUP BY edition_id),
+passed AS (SELECT DISTINCT ce.student_id, c.code FROM d_course_enrollment ce
+           JOIN d_course_edition ed ON ce.edition_id = ed.edition_id JOIN d_course c ON ed.course_code = c.code
+           WHERE ce.grade >= 9.5),
+gap AS (SELECT r.seq, count(*) AS m FROM r_admission r JOIN off o ON o.edition_id = r.edition_id
+        JOIN d_course_prerequisites cp ON cp.course_code = o.course_code
+        WHERE cp.prerequisite_code NOT IN (SELECT code FROM passed p WHERE p.student_id = r.student_id)
+        GROUP BY r.seq),
+cls AS (SELECT u.seq, bool_and(c.class_id IS NOT NULL) AS ok
+        FROM (SELECT seq, edition_id, unnest(classes) AS class_id FROM r_admission) u
+        LEFT JOIN d_class c ON c.class_id = u.class_id AND c.edition_id = u.edition_id GROUP BY u.seq),
+flags AS (
+    SELECT r.seq, r.student_id, r.edition_id, o.capacity, coalesce(cu.k, 0) AS cur,
+           coalesce(len(r.classes) > 0, false) AS has_classes, o.edition_id IS NOT NULL AS ex,
+           EXISTS (SELECT 1 FROM d_course_enrollment e WHERE e.student_id = r.student_id AND e.edition_id = r.edition_id) AS enrolled,
+           coalesce(g.m, 0) = 0 AS prereq_ok, coalesce(cl.ok, false) AS classes_ok
+    FROM r_admission r LEFT JOIN off o ON o.edition_id = r.edition_id LEFT JOIN cur cu ON cu.edition_id = r.edition_id
+    LEFT JOIN gap g ON g.seq = r.seq LEFT JOIN cls cl ON cl.seq = r.seq),
+b AS (SELECT *, has_classes AND ex AND NOT enrolled AND prereq_ok AND classes_ok AS base FROM flags),
+pb AS (SELECT *, coalesce(sum(CASE WHEN base THEN 1 ELSE 0 END) OVER (PARTITION BY edition_id, student_id ORDER BY seq
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior_base FROM b),
+pc AS (SELECT *, coalesce(sum(CASE WHEN base AND prior_base = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY edition_id ORDER BY seq
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior_claim FROM pb)
+SELECT seq, student_id, edition_id,
+       CASE WHEN NOT has_classes THEN 'no_classes' WHEN NOT ex THEN 'no_edition'
+            WHEN cur + prior_claim >= capacity THEN 'full' WHEN enrolled OR prior_base > 0 THEN 'duplicate'
+            WHEN NOT prereq_ok THEN 'prereq' WHEN NOT classes_ok THEN 'class' ELSE 'ok' END AS status
+FROM pc"""
+
+sql("admit_to_offering", _ADMIT)
+
+sql("assign_classes", """
+SELECT DISTINCT r.student_id, unnest(r.classes) AS class_id
+FROM r_admission r JOIN adm a ON a.seq = r.seq AND a.status = 'ok'""", [("adm", _ADMIT)])
+
+# ---------------------------------------------------------------- ingest
+_REG = """
+WITH x AS (
+    SELECT r.*, coalesce(length(username) > 0 AND length(email) > 0 AND password_present, false) AS f,
+           EXISTS (SELECT 1 FROM d_users u WHERE u.username = r.username) AS ex
+    FROM r_registration r),
+fst AS (SELECT username, min(seq) AS s0 FROM x WHERE f AND NOT ex GROUP BY username),
+st AS (SELECT x.seq, x.username, x.email,
+              CASE WHEN NOT x.f THEN 'missing_fields' WHEN x.ex THEN 'username_exists'
+                   WHEN x.seq <> fst.s0 THEN 'duplicate_in_batch' ELSE 'ok' END AS status
+       FROM x LEFT JOIN fst ON fst.username = x.username)
+SELECT seq, username, status,
+       CASE WHEN status = 'ok' THEN (SELECT max(user_id) FROM d_users)
+            + row_number() OVER (PARTITION BY status = 'ok' ORDER BY seq) END AS user_id
+FROM st"""
+
+sql("register_users", _REG)
+
+sql("insert_if_absent", """
+WITH firsts AS (
+    SELECT username, email, seq FROM (
+        SELECT *, row_number() OVER (PARTITION BY username ORDER BY seq) AS rn FROM r_registration
+        WHERE username IS NOT NULL) x WHERE rn = 1),
+new AS (SELECT f.* FROM firsts f WHERE f.username NOT IN (SELECT username FROM d_users))
+SELECT user_id, username, email, role FROM d_users
+UNION ALL
+SELECT (SELECT max(user_id) FROM d_users) + row_number() OVER (ORDER BY seq), username, email, 'student' FROM new""")
+
+_DEG = """
+WITH x AS (
+    SELECT r.*, r.student_id IS NOT NULL AND r.date IS NOT NULL AND r.degree_id IS NOT NULL AS f,
+           r.student_id IN (SELECT user_id FROM d_student) AS st,
+           r.degree_id IN (SELECT degree_id FROM d_degree_program) AS dg,
+           NOT EXISTS (SELECT 1 FROM d_degree_enrollment de WHERE de.student_id = r.student_id AND de.degree_id = r.degree_id) AS nw
+    FROM r_degree r),
+fst AS (SELECT student_id, degree_id, min(seq) AS s0 FROM x WHERE f AND st AND dg AND nw GROUP BY student_id, degree_id)
+SELECT x.seq, x.student_id, x.degree_id, x.date,
+       CASE WHEN NOT coalesce(x.f, false) THEN 'missing_fields' WHEN NOT coalesce(x.st, false) THEN 'no_student'
+            WHEN NOT coalesce(x.dg, false) THEN 'no_degree' WHEN NOT x.nw THEN 'already_enrolled'
+            WHEN x.seq <> fst.s0 THEN 'already_enrolled' ELSE 'ok' END AS status
+FROM x LEFT JOIN fst ON fst.student_id = x.student_id AND fst.degree_id = x.degree_id"""
+
+sql("enroll_degree", "SELECT seq, student_id, degree_id, status FROM deg", [("deg", _DEG)])
+
+sql("post_tuition", """
+WITH added AS (SELECT d.student_id, sum(dp.tuition_fee) AS a FROM deg d JOIN d_degree_program dp ON dp.degree_id = d.degree_id
+               WHERE d.status = 'ok' GROUP BY d.student_id)
+SELECT fa.account_id, fa.student_id, CAST(fa.balance + coalesce(a.a, 0) AS DOUBLE) AS balance
+FROM d_financial_account fa LEFT JOIN added a ON a.student_id = fa.student_id
+UNION ALL
+SELECT (SELECT max(account_id) FROM d_financial_account) + row_number() OVER (ORDER BY a.student_id), a.student_id,
+       CAST(a.a AS DOUBLE)
+FROM added a WHERE a.student_id NOT IN (SELECT student_id FROM d_financial_account)""", [("deg", _DEG)])
+
+_ACT = """
+WITH x AS (
+    SELECT r.*, a.fee, a.activity_id IS NOT NULL AS ok_a,
+           NOT EXISTS (SELECT 1 FROM d_activity_participation p WHERE p.student_id = r.student_id AND p.activity_id = r.activity_id) AS nw,
+           r.student_id IN (SELECT student_id FROM d_financial_account) AS acc
+    FROM r_activity r LEFT JOIN d_activity a ON a.activity_id = r.activity_id),
+fst AS (SELECT student_id, activity_id, min(seq) AS s0 FROM x WHERE ok_a AND nw GROUP BY student_id, activity_id)
+SELECT x.seq, x.student_id, x.activity_id, x.fee, x.acc,
+       CASE WHEN NOT x.ok_a THEN 'no_activity' WHEN NOT x.nw THEN 'already_enrolled'
+            WHEN x.seq <> fst.s0 THEN 'already_enrolled' ELSE 'ok' END AS status
+FROM x LEFT JOIN fst ON fst.student_id = x.student_id AND fst.activity_id = x.activity_id"""
+
+sql("enroll_activity", """
+SELECT seq, student_id, activity_id, status, CASE WHEN status = 'ok' THEN acc END AS fee_posted FROM act""",
+    [("act", _ACT)])
+
+sql("activity_balances", """
+SELECT fa.account_id, fa.student_id, CAST(fa.balance + coalesce(f.s, 0) AS DOUBLE) AS balance
+FROM d_financial_account fa
+LEFT JOIN (SELECT student_id, sum(fee) AS s FROM act WHERE status = 'ok' GROUP BY student_id) f ON f.student_id = fa.student_id""",
+    [("act", _ACT)])
+
+_VALID = "SELECT DISTINCT r.student_id FROM r_erasure r JOIN d_users u ON u.user_id = r.student_id AND u.role = 'student'"
+
+sql("erase_students", """
+SELECT r.seq, r.student_id,
+       CASE WHEN r.student_id IN (SELECT student_id FROM valid) THEN 'ok' ELSE 'not_student' END AS status,
+       CAST(0 AS BIGINT) AS residual_rows
+FROM r_erasure r""", [("valid", _VALID)])
+
+sql("erase_students_tables", """
+SELECT 'activity_participation' AS table_name, count(*) AS n_rows FROM d_activity_participation WHERE student_id NOT IN (SELECT student_id FROM valid)
+UNION ALL SELECT 'student_class', count(*) FROM d_student_class WHERE student_id NOT IN (SELECT student_id FROM valid)
+UNION ALL SELECT 'course_enrollment', count(*) FROM d_course_enrollment WHERE student_id NOT IN (SELECT student_id FROM valid)
+UNION ALL SELECT 'financial_transaction', count(*) FROM d_financial_transaction WHERE account_id NOT IN
+          (SELECT account_id FROM d_financial_account WHERE student_id IN (SELECT student_id FROM valid))
+UNION ALL SELECT 'financial_account', count(*) FROM d_financial_account WHERE student_id NOT IN (SELECT student_id FROM valid)
+UNION ALL SELECT 'degree_enrollment', count(*) FROM d_degree_enrollment WHERE student_id NOT IN (SELECT student_id FROM valid)
+UNION ALL SELECT 'academic_record', 0
+UNION ALL SELECT 'student', count(*) FROM d_student WHERE user_id NOT IN (SELECT student_id FROM valid)
+UNION ALL SELECT 'users', count(*) FROM d_users WHERE user_id NOT IN (SELECT student_id FROM valid)""",
+    [("valid", _VALID)])
+
+# ---------------------------------------------------------------- grading
+_ROWS = """
+SELECT g.batch_id, g.pos, b.edition_id, b.period,
+       CASE WHEN g.p_student = floor(g.p_student) THEN CAST(g.p_student AS BIGINT) END AS student_id, g.p_grade,
+       CASE WHEN NOT (g.p_grade IS NOT NULL AND NOT isnan(g.p_grade) AND g.p_grade >= 0 AND g.p_grade <= 20) THEN 'invalid_grade'
+            WHEN NOT EXISTS (SELECT 1 FROM d_course_enrollment e WHERE e.edition_id = b.edition_id
+                             AND e.student_id = CASE WHEN g.p_student = floor(g.p_student) THEN CAST(g.p_student AS BIGINT) END)
+                 THEN 'not_enrolled'
+            ELSE 'ok' END AS reason
+FROM r_grade_row g JOIN r_grade_batch b ON b.batch_id = g.batch_id
+WHERE g.p_size = 2"""
+
+_BATCH = """
+WITH h AS (
+    SELECT b.batch_id, b.edition_id,
+           CASE WHEN coalesce(length(b.period), 0) = 0 OR coalesce(n.k, 0) = 0 THEN 'missing_fields'
+                WHEN ed.edition_id IS NULL THEN 'no_edition'
+                WHEN NOT coalesce(b.submitter_id = ed.coordinator_id, false) THEN 'not_coordinator'
+                ELSE 'ok' END AS head
+    FROM r_grade_batch b LEFT JOIN d_course_edition ed ON ed.edition_id = b.edition_id
+    LEFT JOIN (SELECT batch_id, count(*) AS k FROM r_grade_row GROUP BY batch_id) n ON n.batch_id = b.batch_id),
+bad AS (SELECT batch_id, arg_min(reason, pos) AS reason, min(pos) AS pos FROM grows WHERE reason <> 'ok' GROUP BY batch_id)
+SELECT h.batch_id, h.edition_id,
+       CASE WHEN h.head <> 'ok' THEN h.head WHEN bad.reason IS NOT NULL THEN bad.reason ELSE 'ok' END AS status,
+       CASE WHEN h.head = 'ok' THEN bad.pos END AS bad_pos
+FROM h LEFT JOIN bad ON bad.batch_id = h.batch_id"""
+
+sql("submit_grades", "SELECT * FROM batches", [("grows", _ROWS), ("batches", _BATCH)])
+
+_APPLIED = """
+SELECT g.student_id, g.edition_id, CAST(g.p_grade AS DECIMAL(5,2)) AS grade, g.period, g.batch_id, g.pos
+FROM grows g JOIN batches b ON b.batch_id = g.batch_id AND b.status = 'ok'"""
+
+_NEW_CE = """
+SELECT e.student_id, e.edition_id,
+       CASE WHEN l.student_id IS NOT NULL THEN l.grade ELSE e.grade END AS grade
+FROM d_course_enrollment e
+LEFT JOIN (SELECT student_id, edition_id, grade FROM (
+               SELECT *, row_number() OVER (PARTITION BY student_id, edition_id ORDER BY batch_id DESC, pos DESC) AS rn
+               FROM applied) z WHERE rn = 1) l
+  ON l.student_id = e.student_id AND l.edition_id = e.edition_id"""
+
+_DEG_MIN = """SELECT student_id, min(degree_id) AS degree_id, arg_min(enrollment_date, degree_id) AS enrollment_date
+              FROM d_degree_enrollment GROUP BY student_id"""
+
+sql("academic_record", f"""
+WITH per AS (SELECT student_id, sum(CAST(grade * 100 AS BIGINT)) AS s, count(grade) AS n
+             FROM new_ce WHERE grade >= 9.5 GROUP BY student_id)
+SELECT row_number() OVER (ORDER BY p.student_id) AS record_id, p.student_id,
+       CAST((2 * p.s + p.n) // (2 * p.n) AS DOUBLE) / 100 AS average,
+       p.n AS approved_courses, d.degree_id, d.enrollment_date
+FROM per p JOIN dmin d ON d.student_id = p.student_id""",
+    [("grows", _ROWS), ("batches", _BATCH), ("applied", _APPLIED), ("new_ce", _NEW_CE), ("dmin", _DEG_MIN)])
+
+
+sql("academic_record_replay", """
+WITH ch AS (
+    SELECT a.*, CASE WHEN row_number() OVER w = 1 THEN e.grade ELSE lag(a.grade) OVER w END AS old
+    FROM applied a LEFT JOIN d_course_enrollment e ON e.student_id = a.student_id AND e.edition_id = a.edition_id
+    WINDOW w AS (PARTITION BY a.student_id, a.edition_id ORDER BY a.batch_id, a.pos)),
+d AS (
+    SELECT *, (CASE WHEN grade >= 9.5 THEN CAST(grade * 100 AS BIGINT) ELSE 0 END)
+              - (CASE WHEN old >= 9.5 THEN CAST(old * 100 AS BIGINT) ELSE 0 END) AS ds,
+              (CASE WHEN grade >= 9.5 THEN 1 ELSE 0 END) - (CASE WHEN old >= 9.5 THEN 1 ELSE 0 END) AS dn
+    FROM ch),
+r AS (
+    SELECT *, sum(ds) OVER w AS rs, sum(dn) OVER w AS rn FROM d
+    WINDOW w AS (PARTITION BY student_id ORDER BY batch_id, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+b0 AS (SELECT student_id, sum(CAST(grade * 100 AS BIGINT)) AS s0, count(grade) AS n0
+       FROM d_course_enrollment WHERE grade >= 9.5 GROUP BY student_id),
+v AS (SELECT r.*, coalesce(b0.s0, 0) + r.rs AS s, coalesce(b0.n0, 0) + r.rn AS n
+      FROM r LEFT JOIN b0 ON b0.student_id = r.student_id),
+hits AS (SELECT student_id,
+                max(CASE WHEN rl = 1 THEN CAST((2 * s + n) // (2 * n) AS DOUBLE) / 100 END) AS average, count(*) AS k
+         FROM (SELECT *, row_number() OVER (PARTITION BY student_id ORDER BY batch_id DESC, pos DESC) AS rl
+               FROM v WHERE grade >= 9.5) z
+         GROUP BY student_id)
+SELECT row_number() OVER (ORDER BY h.student_id) AS record_id, h.student_id, h.average,
+       h.k AS approved_courses, d.degree_id, d.enrollment_date
+FROM hits h JOIN dmin d ON d.student_id = h.student_id""",
+    [("grows", _ROWS), ("batches", _BATCH), ("applied", _APPLIED), ("dmin", _DEG_MIN)])
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
