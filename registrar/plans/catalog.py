@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from registrar.operators import admission as A
 from registrar.operators import grading as G
 from registrar.operators import ingest as I
+from registrar.operators import quality as Q
 from registrar.operators import reports as R
+from registrar.streaming import balances as SB
+from registrar.streaming import records as SR
 from registrar.sources.fixtures import Campus
 
 TOP_YEAR = 2000
@@ -234,5 +237,43 @@ def _academic_record_replay(c: Campus) -> DataFrame:
     return _record_out(rec)
 
 
+# ---------------------------------------------------------------- audit
+
+AUDITED = ("users", "student", "instructor", "degree_program", "financial_account", "course", "course_edition",
+           "class", "activity", "degree_enrollment", "course_enrollment", "activity_participation",
+           "instructor_assignment", "course_prerequisites", "degree_courses", "financial_transaction",
+           "student_class")
+
+
+@query("audit_constraints")
+def _audit(c: Campus) -> DataFrame:
+    """W20 on the derived tables."""
+    return Q.audit_constraints(c, AUDITED)
+
+
+@query("audit_constraints_faults")
+def _audit_faults(c: Campus) -> DataFrame:
+    """W20 on a copy with injected duplicate keys, orphans and bad class types."""
+    t = {n: getattr(c, n) for n in AUDITED}
+    t.update(Q.inject_faults(c))
+    return Q.audit_constraints(t, AUDITED)
+
+
+# ---------------------------------------------------------------- streaming
+
+@query("stream_balances")
+def _stream_balances(c: Campus) -> DataFrame:
+    """Tuition and activity charges streamed into running balances."""
+    out = SB.balances_from_table(c.spark, c.charge)
+    return out.select("student_id", F.col("balance").cast("double").alias("balance"), "n_charges")
+
+
+@query("stream_academic_record")
+def _stream_academic_record(c: Campus) -> DataFrame:
+    """The accepted grade updates streamed into running records."""
+    changes = _graded(c).tables["grade_change"]
+    return SR.records_from_changes(c.spark, c.course_enrollment, changes)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(REGISTRY)

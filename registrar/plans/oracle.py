@@ -361,5 +361,78 @@ FROM hits h JOIN dmin d ON d.student_id = h.student_id""",
     [("grows", _ROWS), ("batches", _BATCH), ("applied", _APPLIED), ("dmin", _DEG_MIN)])
 
 
+# ---------------------------------------------------------------- audit (rules of the DDL, checked in SQL)
+
+def _audit_sql(tables, source) -> str:
+    from registrar.operators.quality import FOREIGN_KEYS, UNIQUE
+    from registrar.schema import PRIMARY_KEYS, SCHEMAS
+
+    def key_text(cols):
+        return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '<null>')" for c in cols)
+
+    parts = []
+    for t in tables:
+        keys = PRIMARY_KEYS[t]
+        parts.append(f"SELECT '{t}' AS table_name, 'primary_key' AS rule, {key_text(keys)} AS detail, count(*) AS n_rows "
+                     f"FROM {source(t)} GROUP BY {', '.join(keys)} HAVING count(*) > 1")
+        for f in SCHEMAS[t].fields:
+            if not f.nullable:
+                parts.append(f"SELECT '{t}', 'not_null:{f.name}', '', count(*) FROM {source(t)} "
+                             f"WHERE {f.name} IS NULL HAVING count(*) > 0")
+    for t, cols in UNIQUE:
+        if t in tables:
+            nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+            parts.append(f"SELECT '{t}', 'unique:{','.join(cols)}', {key_text(cols)}, count(*) FROM {source(t)} "
+                         f"WHERE {nn} GROUP BY {', '.join(cols)} HAVING count(*) > 1")
+    for child, ccol, parent, pcol in FOREIGN_KEYS:
+        if child in tables and parent in tables:
+            parts.append(f"SELECT '{child}', 'foreign_key:{ccol}', CAST({ccol} AS VARCHAR), count(*) FROM {source(child)} "
+                         f"WHERE {ccol} IS NOT NULL AND {ccol} NOT IN (SELECT {pcol} FROM {source(parent)} WHERE {pcol} IS NOT NULL) "
+                         f"GROUP BY {ccol}")
+    domain = [("users", "check:role", "role", "role IN ('student', 'instructor', 'admin')"),
+              ("class", "check:type", "type", "trim(type) IN ('T', 'PL')"),
+              ("course", "length:code", "code", "length(code) <= 10"),
+              ("course_edition", "length:course_code", "course_code", "length(course_code) <= 10"),
+              ("course_prerequisites", "length:course_code", "course_code", "length(course_code) <= 10"),
+              ("course_prerequisites", "length:prerequisite_code", "prerequisite_code", "length(prerequisite_code) <= 10"),
+              ("degree_courses", "length:course_code", "course_code", "length(course_code) <= 10")]
+    for t, rule, col, cond in domain:
+        if t in tables:
+            parts.append(f"SELECT '{t}', '{rule}', CAST({col} AS VARCHAR), count(*) FROM {source(t)} "
+                         f"WHERE {col} IS NOT NULL AND NOT ({cond}) GROUP BY {col}")
+    return "\nUNION ALL\n".join(parts)
+
+
+_AUDITED = ("users", "student", "instructor", "degree_program", "financial_account", "course", "course_edition",
+            "class", "activity", "degree_enrollment", "course_enrollment", "activity_participation",
+            "instructor_assignment", "course_prerequisites", "degree_courses", "financial_transaction",
+            "student_class")
+
+sql("audit_constraints", _audit_sql(_AUDITED, lambda t: f"d_{t}"))
+
+_FAULTY = {"course_enrollment": "f_course_enrollment", "class": "f_class"}
+sql("audit_constraints_faults", _audit_sql(_AUDITED, lambda t: _FAULTY.get(t, f"d_{t}")), [
+    ("f_course_enrollment", """
+        SELECT * FROM d_course_enrollment
+        UNION ALL SELECT * FROM d_course_enrollment WHERE student_id % 97 = 0
+        UNION ALL SELECT student_id, edition_id + 100000, grade, attendance, evaluation_period
+                  FROM d_course_enrollment WHERE student_id % 89 = 1"""),
+    ("f_class", "SELECT class_id, edition_id, CASE WHEN class_id % 101 = 0 THEN 'X' ELSE type END AS type, schedule FROM d_class"),
+])
+
+# ---------------------------------------------------------------- streaming (final state = batch SQL)
+
+sql("stream_balances", """
+SELECT student_id, CAST(sum(amount) AS DOUBLE) AS balance, count(*) AS n_charges FROM d_charge GROUP BY student_id""")
+
+sql("stream_academic_record", """
+SELECT t.student_id, CASE WHEN p.n > 0 THEN CAST((2 * p.s + p.n) // (2 * p.n) AS DOUBLE) / 100 END AS average,
+       coalesce(p.n, 0) AS approved_courses
+FROM (SELECT DISTINCT student_id FROM applied) t
+LEFT JOIN (SELECT student_id, sum(CAST(grade * 100 AS BIGINT)) AS s, count(*) AS n FROM new_ce
+           WHERE grade >= 9.5 GROUP BY student_id) p ON p.student_id = t.student_id""",
+    [("grows", _ROWS), ("batches", _BATCH), ("applied", _APPLIED), ("new_ce", _NEW_CE)])
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -36,6 +36,8 @@ CTES: dict[str, str] = {
         UNION ALL
         SELECT s_suppkey + {IB}, s_name, 'i' || CAST(s_suppkey AS VARCHAR) || '@uni.example', 'instructor'
         FROM supplier WHERE s_suppkey % 10 <> 0""",
+    "d_instructor": f"""
+        SELECT s_suppkey + {IB} AS user_id, s_suppkey % 3 = 0 AS is_coordinator FROM supplier WHERE s_suppkey % 10 <> 0""",
     "d_course": f"""
         SELECT {_code('p_partkey')} AS code, p_name AS name, CAST(3 + p_partkey % 10 AS BIGINT) AS credits
         FROM part WHERE p_partkey < 150""",
@@ -50,7 +52,9 @@ CTES: dict[str, str] = {
                max(CASE l_returnflag WHEN 'A' THEN 'Normal' WHEN 'R' THEN 'Recurso' END) AS evaluation_period
         FROM enr0 GROUP BY student_id, edition_id""",
     "d_instructor_assignment": f"""
-        SELECT DISTINCT l_suppkey + {IB} AS instructor_id, edition_id FROM enr0 WHERE l_linenumber = 1""",
+        SELECT i.instructor_id, i.edition_id, i.instructor_id = ed.coordinator_id AS is_coordinator
+        FROM (SELECT DISTINCT l_suppkey + {IB} AS instructor_id, edition_id FROM enr0 WHERE l_linenumber = 1) i
+        JOIN d_course_edition ed ON ed.edition_id = i.edition_id""",
     "d_degree_program": """
         SELECT CAST(row_number() OVER (ORDER BY c_mktsegment) AS BIGINT) AS degree_id, c_mktsegment AS name,
                CAST(4000 + 500 * row_number() OVER (ORDER BY c_mktsegment) AS DECIMAL(10,2)) AS tuition_fee
@@ -73,9 +77,9 @@ CTES: dict[str, str] = {
         SELECT {_code('p_partkey')} AS course_code, {_code('p_partkey - 1')} AS prerequisite_code
         FROM part WHERE p_partkey < 150 AND p_partkey % 30 = 1""",
     "d_class": """
-        SELECT edition_id * 2 AS class_id, edition_id, 'T' AS type FROM d_course_edition
+        SELECT edition_id * 2 AS class_id, edition_id, 'T' AS type, 'theory' AS schedule FROM d_course_edition
         UNION ALL
-        SELECT edition_id * 2 + 1, edition_id, 'PL' FROM d_course_edition""",
+        SELECT edition_id * 2 + 1, edition_id, 'PL', 'lab' FROM d_course_edition""",
     "d_activity": """
         SELECT event_type AS activity_id, event_type AS name,
                CAST(row_number() OVER (ORDER BY event_type) AS BIGINT) AS rk,
@@ -96,7 +100,9 @@ CTES: dict[str, str] = {
         SELECT ap.student_id * 16 + 8 + a.rk, ap.student_id, a.fee, 'activity', ap.registration_date
         FROM d_activity_participation ap JOIN d_activity a ON a.activity_id = ap.activity_id""",
     "d_financial_transaction": """
-        SELECT ch.charge_id AS transaction_id, fa.account_id, ch.amount
+        SELECT ch.charge_id AS transaction_id, fa.account_id, ch.amount, 'charge: ' || ch.kind AS description,
+               CAST(ch.charge_date AS TIMESTAMP) AS transaction_date, CAST(NULL AS VARCHAR) AS activity_id,
+               CAST(NULL AS BIGINT) AS degree_id
         FROM d_charge ch JOIN d_financial_account fa ON fa.student_id = ch.student_id""",
     "d_student_class": """
         SELECT student_id, edition_id * 2 AS class_id FROM d_course_enrollment
