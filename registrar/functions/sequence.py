@@ -43,27 +43,40 @@ def _null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> D
     return left.join(r, cond, "inner").drop(*[f"__r_{c}" for c in cols])
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: Column | str,
-                out: str, inclusive: bool = False, width: int = DEFAULT_CHUNK) -> DataFrame:
-    """Add ``out`` = sum of ``value`` over earlier rows of the same key (and this row
-    when ``inclusive``), in ``order_cols`` order. ``keys`` may be empty (whole table).
-
-    Equal to ``sum(value) over (partition by keys order by order_cols rows between
-    unbounded preceding and 1 preceding)``, computed in two levels so a hot key is
-    spread over its chunks.
+def running_sums(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
+                 values: dict[str, Column | str], inclusive: bool = False, width: int = DEFAULT_CHUNK) -> DataFrame:
+    """Add one column per ``values`` entry (out name -> value): the sum of the value
+    over earlier rows of the same key (and this row when ``inclusive``), in
+    ``order_cols`` order. ``keys`` may be empty (whole table).
+
+    Equal to ``sum(v) over (partition by keys order by order_cols rows between
+    unbounded preceding and 1 preceding)`` for every v, computed in two levels
+    (per-chunk totals carried forward, then a window inside each chunk) in one
+    aggregation, one small window, one join and one row window for all values.
     """
     keys = list(keys)
-    v = F.col(value) if isinstance(value, str) else value
-    val = "__val"
-    d, chunk_cols = _with_chunk(df.withColumn(val, F.coalesce(v.cast("long"), F.lit(0))), order_cols, width)
-    totals = d.groupBy(*keys, *chunk_cols).agg(F.sum(val).alias("__tot"))
+    vals = {f"__v{i}": (F.col(v) if isinstance(v, str) else v) for i, v in enumerate(values.values())}
+    outs = dict(zip(vals, values))
+    d = df
+    for name, v in vals.items():
+        d = d.withColumn(name, F.coalesce(v.cast("long"), F.lit(0)))
+    d, chunk_cols = _with_chunk(d, order_cols, width)
+    totals = d.groupBy(*keys, *chunk_cols).agg(*[F.sum(n).alias(f"{n}_t") for n in vals])
     w_chunks = Window.partitionBy(*keys).orderBy(*chunk_cols).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, *chunk_cols, F.coalesce(F.sum("__tot").over(w_chunks), F.lit(0)).alias("__off"))
+    offsets = totals.select(*keys, *chunk_cols,
+                            *[F.coalesce(F.sum(f"{n}_t").over(w_chunks), F.lit(0)).alias(f"{n}_o") for n in vals])
     d = _null_safe_join(d, offsets, [*keys, *chunk_cols])
     upper = Window.currentRow if inclusive else -1
     w_rows = Window.partitionBy(*keys, *chunk_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, upper)
-    return (d.withColumn(out, F.col("__off") + F.coalesce(F.sum(val).over(w_rows), F.lit(0)))
-             .drop(val, "__off", _CHUNK))
+    for n in vals:
+        d = d.withColumn(outs[n], F.col(f"{n}_o") + F.coalesce(F.sum(n).over(w_rows), F.lit(0)))
+    return d.drop(*vals, *[f"{n}_o" for n in vals], _CHUNK)
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: Column | str,
+                out: str, inclusive: bool = False, width: int = DEFAULT_CHUNK) -> DataFrame:
+    """Add ``out`` = sum of ``value`` over earlier rows of the same key (see running_sums)."""
+    return running_sums(df, keys, order_cols, {out: value}, inclusive, width)
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], flag: Column | str,

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrar.functions.columns import cents, first_reason, passed, rounded_mean_from_cents, to_grade, valid_grade
-from registrar.functions.sequence import dense_ids, previous_value, running_sum
+from registrar.functions.sequence import dense_ids, previous_value, running_sums
 from registrar.operators.admission import Outcome
 from registrar.operators.reports import tbl
 from registrar.schema import GRADE_TYPE
@@ -143,8 +143,7 @@ def refresh_academic_record(T, mode: str = "recompute", changes: DataFrame | Non
     pc = lambda g: F.when(passed(g), cents(g)).otherwise(F.lit(0))
     pn = lambda g: F.when(passed(g), F.lit(1)).otherwise(F.lit(0))
     ch = ch.withColumn("__ds", pc("grade") - pc("__old")).withColumn("__dn", pn("grade") - pn("__old"))
-    ch = running_sum(ch, ["student_id"], order, "__ds", "__rs", inclusive=True)
-    ch = running_sum(ch, ["student_id"], order, "__dn", "__rn", inclusive=True)
+    ch = running_sums(ch, ["student_id"], order, {"__rs": "__ds", "__rn": "__dn"}, inclusive=True)
     base = (before.where(passed("grade")).groupBy("student_id")
                   .agg(F.sum(cents("grade")).alias("__s0"), F.count("grade").alias("__n0")))
     ch = ch.join(base, "student_id", "left")

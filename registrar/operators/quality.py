@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrar.operators.reports import tbl
@@ -75,9 +75,37 @@ def _key_text(cols) -> F.Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in cols])
 
 
-def _finding(df: DataFrame, table: str, rule: str) -> DataFrame:
-    return df.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "detail",
-                     F.col("n_rows").cast("long").alias("n_rows"))
+def _table_facts(T, name: str, names: list[str]) -> DataFrame | None:
+    """One pass over a table: for each row the array of facts it contributes —
+    its primary / unique keys, each failing not-null or domain rule, each foreign
+    key value it references, and (for parent tables) the key values it offers."""
+    df = tbl(T, name)
+
+    def fact(rule, detail, target=None, is_key=False):
+        return F.struct(F.lit(rule).alias("rule"), F.lit(target).cast("string").alias("target"),
+                        detail.cast("string").alias("detail"), F.lit(is_key).alias("is_key"))
+
+    facts = [fact("primary_key", _key_text(PRIMARY_KEYS[name]))]
+    for t, cols in UNIQUE:
+        if t == name:
+            any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+            facts.append(F.when(~any_null, fact("unique:" + ",".join(cols), _key_text(cols))))
+    for f in SCHEMAS[name].fields:
+        if not f.nullable and f.name in df.columns:
+            facts.append(F.when(F.col(f.name).isNull(), fact(f"not_null:{f.name}", F.lit(""))))
+    for t, rule, col, cond in _domain_rules():
+        if t == name:
+            facts.append(F.when(F.col(col).isNotNull() & ~cond, fact(rule, F.col(col))))
+    offered = set()
+    for child, ccol, parent, pcol in FOREIGN_KEYS:
+        if child in names and parent in names:
+            if child == name:
+                facts.append(F.when(F.col(ccol).isNotNull(),
+                                    fact(f"foreign_key:{ccol}", F.col(ccol), f"{parent}.{pcol}")))
+            if parent == name and pcol not in offered:
+                offered.add(pcol)
+                facts.append(F.when(F.col(pcol).isNotNull(), fact("parent_key", F.col(pcol), f"{parent}.{pcol}", True)))
+    return df.select(F.lit(name).alias("table_name"), F.explode(F.array_compact(F.array(*facts))).alias("f"))
 
 
 def audit_constraints(T, tables=None) -> DataFrame:
@@ -87,44 +115,23 @@ def audit_constraints(T, tables=None) -> DataFrame:
     ``foreign_key:<col>`` (orphan value, rows), ``not_null:<col>`` (rows with null),
     ``check:*`` / ``length:*`` (offending value, rows). Tables missing from ``T``
     are skipped.
+
+    Plan, whatever the number of rules: one scan per table emitting facts, one
+    aggregation counting each (table, rule, target, value) (partial aggregation
+    before the shuffle), then one window over (target, value) on the reduced rows
+    telling whether a referenced value exists in its parent.
     """
     names = list(tables) if tables else [n for n in SCHEMAS if _has(T, n)]
-    parts: list[DataFrame] = []
-    for name in names:
-        df = tbl(T, name)
-        keys = PRIMARY_KEYS[name]
-        dup = (df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
-                 .select(_key_text(keys).alias("detail"), "n_rows"))
-        parts.append(_finding(dup, name, "primary_key"))
-        for field in SCHEMAS[name].fields:
-            if not field.nullable and field.name in df.columns:
-                nulls = (df.where(F.col(field.name).isNull()).agg(F.count("*").alias("n_rows"))
-                           .where(F.col("n_rows") > 0).select(F.lit("").alias("detail"), "n_rows"))
-                parts.append(_finding(nulls, name, f"not_null:{field.name}"))
-    for name, cols in UNIQUE:
-        if name in names:
-            df = tbl(T, name)
-            any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-            dup = (df.where(~any_null)
-                     .groupBy(*cols).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
-                     .select(_key_text(cols).alias("detail"), "n_rows"))
-            parts.append(_finding(dup, name, "unique:" + ",".join(cols)))
-    for child, ccol, parent, pcol in FOREIGN_KEYS:
-        if child in names and parent in names:
-            c = tbl(T, child).select(F.col(ccol).alias("__k")).where(F.col("__k").isNotNull())
-            p = tbl(T, parent).select(F.col(pcol).alias("__k")).distinct()
-            orphans = (c.join(p, "__k", "left_anti").groupBy("__k").agg(F.count("*").alias("n_rows"))
-                        .select(F.col("__k").cast("string").alias("detail"), "n_rows"))
-            parts.append(_finding(orphans, child, f"foreign_key:{ccol}"))
-    for name, rule, col, cond in _domain_rules():
-        if name in names:
-            bad = (tbl(T, name).where(F.col(col).isNotNull() & ~cond).groupBy(col).agg(F.count("*").alias("n_rows"))
-                     .select(F.col(col).cast("string").alias("detail"), "n_rows"))
-            parts.append(_finding(bad, name, rule))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    facts = reduce(DataFrame.unionByName, [_table_facts(T, n, names) for n in names])
+    counted = (facts.groupBy("table_name", F.col("f.rule").alias("rule"), F.col("f.target").alias("target"),
+                             F.col("f.detail").alias("detail"))
+                    .agg(F.count("*").alias("n_rows"), F.max(F.col("f.is_key")).alias("is_key")))
+    w = Window.partitionBy("target", "detail")
+    flagged = counted.withColumn("resolved", F.max("is_key").over(w))
+    keep = ((F.col("rule").isin("primary_key") | F.col("rule").startswith("unique:")) & (F.col("n_rows") > 1)) \
+        | (F.col("rule").startswith("not_null:") | F.col("rule").startswith("check:") | F.col("rule").startswith("length:")) \
+        | (F.col("rule").startswith("foreign_key:") & ~F.coalesce(F.col("resolved"), F.lit(False)))
+    return flagged.where(keep).select("table_name", "rule", "detail", F.col("n_rows").cast("long").alias("n_rows"))
 
 
 def _has(T, name: str) -> bool:

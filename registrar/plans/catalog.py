@@ -255,7 +255,7 @@ def _audit(c: Campus) -> DataFrame:
 def _audit_faults(c: Campus) -> DataFrame:
     """W20 on a copy with injected duplicate keys, orphans and bad class types."""
     t = {n: getattr(c, n) for n in AUDITED}
-    t.update(Q.inject_faults(c))
+    t.update(Q.inject_faults(t))
     return Q.audit_constraints(t, AUDITED)
 
 
