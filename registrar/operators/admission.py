@@ -77,9 +77,10 @@ def admit_to_offering(T, requests: DataFrame, chunk: int | None = None) -> Outco
     req = requests.select("seq", "student_id", "edition_id", "classes")
     ed = tbl(T, "course_edition").select("edition_id", "course_code", "capacity")
     co = tbl(T, "course").select(F.col("code").alias("course_code"))
-    offering = ed.join(co, "course_code").withColumn("_exists", F.lit(True))
     ce = tbl(T, "course_enrollment")
     current = ce.groupBy("edition_id").agg(F.count("*").alias("_current"))
+    # everything known per offering in one table (one join with the requests)
+    offering = ed.join(co, "course_code").join(current, "edition_id", "left").withColumn("_exists", F.lit(True))
     enrolled = ce.select("student_id", "edition_id", F.lit(True).alias("_enrolled"))
 
     pairs = req.join(offering.select("edition_id", "course_code"), "edition_id").select("student_id", "course_code")
@@ -87,7 +88,6 @@ def admit_to_offering(T, requests: DataFrame, chunk: int | None = None) -> Outco
     cls_ok, cls_pairs = class_check(T, req)
 
     r = (req.join(offering, "edition_id", "left")
-            .join(current, "edition_id", "left")
             .join(enrolled, ["student_id", "edition_id"], "left")
             .join(gaps, ["student_id", "course_code"], "left")
             .join(cls_ok, "seq", "left"))
