@@ -63,7 +63,7 @@ def run_academic_record(spark: SparkSession, initial: DataFrame, source_dir: str
     def sink(batch: DataFrame, epoch: int) -> None:
         latest = _latest_in_batch(batch)
         latest.write.mode("overwrite").partitionBy("bucket").parquet(f"{state_dir}/epoch={epoch}")
-        state = spark.read.parquet(state_dir).where(F.col("epoch") <= epoch)
+        state = batch.sparkSession.read.parquet(state_dir).where(F.col("epoch") <= epoch)
         rec = touched_records(initial, state, latest)
         rec.write.mode("overwrite").parquet(f"{rec_dir}/epoch={epoch}")
 
