@@ -99,7 +99,7 @@ def offering_stats(T, degree_id=None, mode: str = "correct") -> DataFrame:
 
 # ------------------------------------------------------------------ W03 / W04 top-N and nesting
 
-def student_averages(T, year=None, by=("student_id",)) -> DataFrame:
+def student_averages(T, year=None) -> DataFrame:
     """Per student: average of non-null grades rounded to 2 decimals (exact), over one
     year when given. Joined to ``student`` (students without a row are left out)."""
     ce = tbl(T, "course_enrollment").select("student_id", "edition_id", "grade").where(F.col("grade").isNotNull())

@@ -23,6 +23,7 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
