@@ -4,9 +4,9 @@ A window ``partitionBy(key).orderBy(seq)`` puts every row of a key into one task
 When a single key (an offering, a student, a whole table with no key) may hold a
 third of all rows, that task is the job. The helpers here split each key's rows
 into chunks of the ordering column, aggregate per chunk (partial aggregation
-before the shuffle), carry chunk totals forward over the small per-chunk table,
-and finish inside each (key, chunk) — so no task ever sees more than one chunk of
-one key.
+before the shuffle), carry chunk totals forward over the small per-chunk table
+(one row per chunk), and finish inside each (key, chunk) — so no task sees the
+rows of more than one chunk of a key.
 
 Orderings must be unique within a key (ties would make "earlier" ambiguous).
 """
@@ -122,7 +122,8 @@ def previous_value(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
 def dense_ids(df: DataFrame, order_cols: Sequence[str], out: str, start: Column | int = 0,
               width: int = DEFAULT_CHUNK) -> DataFrame:
     """Number the rows 1..n in ``order_cols`` order and add ``start``: ids for new rows
-    (like a SERIAL counter) without a single-task global ``row_number``."""
+    (like a SERIAL counter) without a single-task global ``row_number`` — the only
+    global step runs over one total per chunk."""
     numbered = running_count(df, [], order_cols, F.lit(True), "__k", inclusive=True, width=width)
     s = start if isinstance(start, Column) else F.lit(start)
     return numbered.withColumn(out, (s + F.col("__k")).cast("long")).drop("__k")

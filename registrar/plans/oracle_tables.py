@@ -139,7 +139,7 @@ CTES: dict[str, str] = {
         FROM (SELECT DISTINCT edition_id * 100 + l_linenumber AS batch_id, edition_id, l_linenumber FROM enr0) b
         LEFT JOIN d_course_edition ed ON ed.edition_id = b.edition_id""",
     "r_grade_row": """
-        SELECT edition_id * 100 + l_linenumber AS batch_id, l_orderkey * 33554432 + l_partkey * 1024 + l_suppkey AS pos,
+        SELECT edition_id * 100 + l_linenumber AS batch_id, l_orderkey * 2147483648 + l_partkey * 65536 + l_suppkey * 64 + CAST(l_quantity AS BIGINT) AS pos,
                CASE WHEN l_orderkey % 89 = 0 THEN -1.0 ELSE CAST(student_id AS DOUBLE) END AS p_student,
                CASE WHEN l_orderkey % 97 = 0 THEN 25.0 ELSE l_quantity * 0.4 END AS p_grade,
                CASE WHEN l_orderkey % 83 = 0 THEN 3 ELSE 2 END AS p_size

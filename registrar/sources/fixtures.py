@@ -289,8 +289,10 @@ def _grade_batch(c: Campus) -> DataFrame:
 
 
 def _grade_row(c: Campus) -> DataFrame:
-    """Grade pairs [student, grade] at position ``l_orderkey*2^25 + l_partkey*2^10 + l_suppkey``
-    (unique within a batch while part keys < 2^15 and supplier keys < 2^10, as in the test data);
+    """Grade pairs [student, grade] at position
+    ``l_orderkey*2^31 + l_partkey*2^16 + l_suppkey*2^6 + l_quantity`` (unique within a
+    batch: (order, part, supplier, line, quantity) is unique in the test data, and
+    part keys < 2^15, supplier keys < 2^10, quantities < 2^6);
     grade 25 when ``l_orderkey % 97 = 0``, student -1 when ``l_orderkey % 89 = 0``,
     a malformed 3-element entry when ``l_orderkey % 83 = 0``."""
     e = c.enr0
@@ -298,7 +300,8 @@ def _grade_row(c: Campus) -> DataFrame:
     grade = F.when(e.l_orderkey % 97 == 0, F.lit(25.0)).otherwise(F.col("l_quantity") * F.lit(0.4))
     pair = F.when(e.l_orderkey % 83 == 0, F.array(student, grade, F.lit(0.0))).otherwise(F.array(student, grade))
     return e.select((F.col("edition_id") * 100 + F.col("l_linenumber")).alias("batch_id"),
-                    (F.col("l_orderkey") * (1 << 25) + F.col("l_partkey") * (1 << 10) + F.col("l_suppkey")).alias("pos"),
+                    (F.col("l_orderkey") * (1 << 31) + F.col("l_partkey") * (1 << 16) + F.col("l_suppkey") * (1 << 6)
+                     + F.col("l_quantity").cast("long")).alias("pos"),
                     pair.alias("pair"))
 
 
