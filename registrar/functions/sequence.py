@@ -26,9 +26,11 @@ DEFAULT_CHUNK = 1 << 16
 _CHUNK = "__chunk"
 
 
-def _stable(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Materialize ``df`` once in the shared checkpoint folder (a reliable
-    ``checkpoint``, never a local one). The helpers below read their input twice —
+    ``checkpoint``, never a local one) and return it with its lineage cut. Used
+    wherever a result is read by several branches of a plan: the helpers below read
+    their input twice —
     per-chunk totals and the rows themselves — so without this every helper would
     double the whole upstream lineage, and stacked helpers would multiply it."""
     checkpoint_root(df.sparkSession)
@@ -72,7 +74,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     for name, v in vals.items():
         d = d.withColumn(name, F.coalesce(v.cast("long"), F.lit(0)))
     d, chunk_cols = _with_chunk(d, order_cols, width)
-    d = _stable(d)
+    d = materialize(d)
     totals = d.groupBy(*keys, *chunk_cols).agg(*[F.sum(n).alias(f"{n}_t") for n in vals])
     w_chunks = Window.partitionBy(*keys).orderBy(*chunk_cols).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, *chunk_cols,
@@ -104,7 +106,7 @@ def previous_value(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     or ``default`` for the first row of a key; split by chunks like running_sum."""
     keys = list(keys)
     d, chunk_cols = _with_chunk(df, order_cols, width)
-    d = _stable(d)
+    d = materialize(d)
     order_struct = F.struct(*[F.col(c) for c in order_cols])
     last = d.groupBy(*keys, *chunk_cols).agg(F.max_by(F.col(value), order_struct).alias("__last"))
     w_chunks = Window.partitionBy(*keys).orderBy(*chunk_cols)

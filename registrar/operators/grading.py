@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrar.functions.columns import cents, first_reason, passed, rounded_mean_from_cents, to_grade, valid_grade
-from registrar.functions.sequence import dense_ids, previous_value, running_sums
+from registrar.functions.sequence import dense_ids, materialize, previous_value, running_sums
 from registrar.operators.admission import Outcome
 from registrar.operators.reports import tbl
 from registrar.schema import GRADE_TYPE
@@ -103,6 +103,7 @@ def _finish_records(T, per_student: DataFrame) -> DataFrame:
     """Keep existing record ids, open records (ids after the largest) for students
     with a degree enrolment; students with neither get no record."""
     old = tbl(T, "academic_record")
+    per_student = materialize(per_student)  # read by three branches below
     kept = per_student.join(old.select("record_id", "student_id", "current_semester", "degree_id", "enrollment_date"),
                             "student_id")
     fresh = (per_student.join(old.select("student_id"), "student_id", "left_anti")
