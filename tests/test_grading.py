@@ -35,13 +35,15 @@ def test_batches_whole_rejection_first_position(spark):
         (6, 101, 11, "Normal", [[3.0, float("nan")]]),                             # NaN grade
         (7, 100, 10, "Normal", [[3.0, 10.0]]),                                    # not enrolled there
         (8, 101, 11, "Normal", [[3.0, 11.0], [3.0, 13.0]]),                        # last write wins
+        (9, 101, 11, "Normal", [[1e30, 11.0]]),                                   # id out of range
+        (10, 101, 11, "Normal", [[3.5, 11.0]]),                                   # not an integer id
     ])
     headers, rows = split_batches(nested)
     res = submit_grades(T, headers, rows)
     st = {r.batch_id: (r.status, r.bad_pos) for r in res.outcome.collect()}
     assert st == {1: ("ok", None), 2: ("invalid_grade", 1), 3: ("not_coordinator", None),
                   4: ("missing_fields", None), 5: ("no_edition", None), 6: ("invalid_grade", 0),
-                  7: ("not_enrolled", 0), 8: ("ok", None)}
+                  7: ("not_enrolled", 0), 8: ("ok", None), 9: ("not_enrolled", 0), 10: ("not_enrolled", 0)}
     ce = {(r.student_id, r.edition_id): (r.grade, r.evaluation_period)
           for r in res.tables["course_enrollment"].collect()}
     assert ce[(1, 100)] == (D("12.00"), "Normal")
