@@ -118,6 +118,8 @@ def admit_to_offering(T, requests: DataFrame, chunk: int | None = None) -> Outco
     new_enrol = ok.select("student_id", "edition_id", F.lit(None).cast(ce.schema["grade"].dataType).alias("grade"),
                           F.lit(None).cast("long").alias("attendance"),
                           F.lit(None).cast("string").alias("evaluation_period"))
+    if "year" in ce.columns:  # stored layout: new rows carry their offering's year
+        new_enrol = new_enrol.join(tbl(T, "course_edition").select("edition_id", "year"), "edition_id", "left")
     new_classes = cls_pairs.join(ok.select("seq"), "seq", "left_semi").select("student_id", "class_id").distinct()
     sc = tbl(T, "student_class")
     tables = {

@@ -82,11 +82,13 @@ def submit_grades(T, headers: DataFrame, rows: DataFrame) -> Outcome:
                      .select("student_id", "edition_id", F.col("__l.grade").alias("__g"), F.col("__l.period").alias("__p"),
                              F.lit(True).alias("__hit")))
     ce = tbl(T, "course_enrollment")
+    extra = [c for c in ce.columns if c not in ("student_id", "edition_id", "grade", "attendance", "evaluation_period")]
     new_ce = ce.join(latest, ["student_id", "edition_id"], "left").select(
         "student_id", "edition_id",
         F.when(F.col("__hit"), F.col("__g")).otherwise(F.col("grade")).cast(GRADE_TYPE).alias("grade"),
         "attendance",
-        F.when(F.col("__hit"), F.col("__p")).otherwise(F.col("evaluation_period")).alias("evaluation_period"))
+        F.when(F.col("__hit"), F.col("__p")).otherwise(F.col("evaluation_period")).alias("evaluation_period"),
+        *extra)
     changes = applied.select("student_id", "edition_id", "grade", "batch_id", "pos")
     return Outcome(outcome, {"course_enrollment": new_ce, "grade_change": changes})
 

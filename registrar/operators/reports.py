@@ -102,7 +102,10 @@ def offering_stats(T, degree_id=None, mode: str = "correct") -> DataFrame:
 def student_averages(T, year=None) -> DataFrame:
     """Per student: average of non-null grades rounded to 2 decimals (exact), over one
     year when given. Joined to ``student`` (students without a row are left out)."""
-    ce = tbl(T, "course_enrollment").select("student_id", "edition_id", "grade").where(F.col("grade").isNotNull())
+    ce = tbl(T, "course_enrollment")
+    if year is not None and "year" in ce.columns:
+        ce = ce.where(F.col("year") == F.lit(year))   # stored layout: partition pruning
+    ce = ce.select("student_id", "edition_id", "grade").where(F.col("grade").isNotNull())
     if year is not None:
         ed = tbl(T, "course_edition").select("edition_id", "year").where(F.col("year") == F.lit(year))
         ce = ce.join(ed.select("edition_id"), "edition_id")
@@ -125,7 +128,10 @@ def nest_details(T, students: DataFrame, year) -> DataFrame:
     grade, date} in ``year`` and ``activities`` = array of activity names; missing ->
     empty array. Arrays are sorted (JSON lists carry no order)."""
     ids = students.select("student_id").distinct()
-    ce = tbl(T, "course_enrollment").select("student_id", "edition_id", "grade").where(F.col("grade").isNotNull())
+    ce = tbl(T, "course_enrollment")
+    if "year" in ce.columns:
+        ce = ce.where(F.col("year") == F.lit(year))   # stored layout: partition pruning
+    ce = ce.select("student_id", "edition_id", "grade").where(F.col("grade").isNotNull())
     ce = ce.join(ids, "student_id", "left_semi")
     ed = tbl(T, "course_edition").select("edition_id", "course_code", "year").where(F.col("year") == F.lit(year))
     co = tbl(T, "course").select(F.col("code").alias("course_code"), F.col("name").alias("course_name"))
@@ -169,7 +175,10 @@ def evaluation_stats(T, as_of) -> DataFrame:
     """Per offering (labelled ``YEAR-01``): evaluated and passed counts, for offering
     years >= year(as_of) - 1. Offerings without an evaluated grade do not appear."""
     as_of_year = F.year(F.lit(as_of).cast("date"))
-    ce = tbl(T, "course_enrollment").select("student_id", "edition_id", "grade").where(F.col("grade").isNotNull())
+    ce = tbl(T, "course_enrollment")
+    if "year" in ce.columns:
+        ce = ce.where(F.col("year") >= as_of_year - 1)   # stored layout: partition pruning
+    ce = ce.select("student_id", "edition_id", "grade").where(F.col("grade").isNotNull())
     ed = (tbl(T, "course_edition").select("edition_id", "course_code", "year")
               .where(F.col("year") >= as_of_year - 1))
     co = tbl(T, "course").select(F.col("code").alias("course_code"), F.col("name").alias("course_edition_name"))
