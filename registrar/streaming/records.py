@@ -6,11 +6,12 @@ Each micro-batch (``foreachBatch``):
 
 1. keeps the latest change per (student, offering) of the batch (``max_by`` by
    (batch_id, pos), a grouped aggregate);
-2. appends it to the grade state, a parquet table partitioned by
+2. appends it to the grade-state log, a parquet table partitioned by
    ``epoch`` (overwritten per epoch, so a replayed epoch is harmless) and
-   bucketed by ``pmod(student_id, BUCKETS)``;
+   bucketed by ``pmod(student_id, BUCKETS)``; every few epochs the state is
+   compacted into a snapshot holding one row per (student, offering);
 3. re-aggregates only the students touched in the batch: their current grades =
-   latest of (initial grades, all state rows up to this epoch), then passing
+   latest of (initial grades, last snapshot, log epochs since), then passing
    count and exact average; written to ``records/epoch=<id>``.
 
 The record of a student is the one of the latest epoch that touched them.
@@ -53,19 +54,41 @@ def touched_records(initial: DataFrame, state: DataFrame, touched: DataFrame) ->
                       F.col("n").cast("long").alias("approved_courses"))
 
 
+def _latest_per_pair(state: DataFrame) -> DataFrame:
+    """Compact grade state: one row per (student, offering), the latest by (batch_id, pos)."""
+    return (state.groupBy("bucket", "student_id", "edition_id")
+                 .agg(F.max_by(F.struct("grade", "batch_id", "pos"), F.struct("batch_id", "pos")).alias("c"))
+                 .select("student_id", "edition_id", "c.grade", "c.batch_id", "c.pos", "bucket"))
+
+
 def run_academic_record(spark: SparkSession, initial: DataFrame, source_dir: str, work_dir: str,
-                        files_per_trigger: int = 1) -> DataFrame:
-    """Stream the change files in ``source_dir``; return each touched student's record."""
-    state_dir, rec_dir = f"{work_dir}/state", f"{work_dir}/records"
+                        files_per_trigger: int = 1, compact_every: int = 2) -> DataFrame:
+    """Stream the change files in ``source_dir``; return each touched student's record.
+
+    The grade state is an epoch log plus snapshots: after epoch ``e`` with
+    ``e % compact_every == compact_every - 1`` the latest grade per pair (previous
+    snapshot + log since) is written as ``snap/epoch=e``. Epoch ``e`` reads the last
+    snapshot before it and at most ``compact_every`` log epochs, not the whole history.
+    Log and snapshot folders are overwritten per epoch, so a replayed epoch rewrites
+    the same result.
+    """
+    state_dir, snap_dir, rec_dir = f"{work_dir}/state", f"{work_dir}/snap", f"{work_dir}/records"
     stream = (spark.readStream.schema(CHANGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
                    .parquet(source_dir))
 
     def sink(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
         latest = _latest_in_batch(batch)
         latest.write.mode("overwrite").partitionBy("bucket").parquet(f"{state_dir}/epoch={epoch}")
-        state = batch.sparkSession.read.parquet(state_dir).where(F.col("epoch") <= epoch)
+        last_snap = (epoch // compact_every) * compact_every - 1   # -1: no snapshot yet
+        log = session.read.parquet(state_dir).where((F.col("epoch") > last_snap) & (F.col("epoch") <= epoch)).drop("epoch")
+        state = log
+        if last_snap >= 0:
+            state = session.read.parquet(f"{snap_dir}/epoch={last_snap}").unionByName(log)
         rec = touched_records(initial, state, latest)
         rec.write.mode("overwrite").parquet(f"{rec_dir}/epoch={epoch}")
+        if epoch % compact_every == compact_every - 1:
+            _latest_per_pair(state).write.mode("overwrite").parquet(f"{snap_dir}/epoch={epoch}")
 
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{work_dir}/checkpoint")
                .trigger(availableNow=True).start())
