@@ -30,9 +30,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """Materialize ``df`` once in the shared checkpoint folder (a reliable
     ``checkpoint``, never a local one) and return it with its lineage cut. Used
     wherever a result is read by several branches of a plan: the helpers below read
-    their input twice —
-    per-chunk totals and the rows themselves — so without this every helper would
-    double the whole upstream lineage, and stacked helpers would multiply it."""
+    their input twice (per-chunk totals and the rows themselves), so without this
+    every helper would double the whole upstream lineage and stacked helpers would
+    multiply it. An eager reliable checkpoint computes the plan once and writes it
+    in the same job (checked with an evaluation counter on Spark 4.1); it measured
+    faster here than writing and re-reading parquet."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
