@@ -41,7 +41,11 @@ def transcript(T, student_ids=None) -> DataFrame:
     ed = tbl(T, "course_edition").select("edition_id", "course_code", "year", "coordinator_id")
     co = tbl(T, "course").select(F.col("code").alias("course_code"), F.col("name").alias("course_name"))
     us = tbl(T, "users").select(F.col("user_id").alias("coordinator_id"), F.col("username").alias("coordinator_name"))
-    out = (ce.join(ed, "edition_id").join(co, "course_code").join(us, "coordinator_id", "left")
+    # dimensions first (offering + course + coordinator name, one row per offering),
+    # then one join of the enrolment facts on edition_id: no fact join on a
+    # coordinator key, which one coordinator could dominate
+    offering = ed.join(co, "course_code").join(us, "coordinator_id", "left")
+    out = (ce.join(offering, "edition_id")
              .select("student_id", F.col("edition_id").alias("course_edition_id"), "course_name",
                      F.col("year").alias("course_edition_year"), F.col("grade").cast("double").alias("grade"),
                      "evaluation_period", "attendance", "course_code", "coordinator_id", "coordinator_name"))
