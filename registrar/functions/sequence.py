@@ -24,6 +24,7 @@ from registrar.session import checkpoint_root
 DEFAULT_CHUNK = 1 << 16
 
 _CHUNK = "__chunk"
+_KEY = "__key"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -46,17 +47,11 @@ def _with_chunk(df: DataFrame, order_cols: Sequence[str], width: int) -> tuple[D
     return df, [*lead, _CHUNK]
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Inner join on ``cols`` where null keys match null keys (keeps every left row)."""
-    r = right
-    for c in cols:
-        r = r.withColumnRenamed(c, f"__r_{c}")
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(r[f"__r_{c}"])
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, "inner").drop(*[f"__r_{c}" for c in cols])
-
+def _key(keys: Sequence[str], chunk_cols: Sequence[str]):
+    """One struct column for (keys, chunk): struct equality matches null fields, so
+    rows with a null key still find their chunk; and the join and the row window
+    below share this single partitioning column, so no second shuffle."""
+    return F.struct(*[F.col(c) for c in [*keys, *chunk_cols]])
 
 def running_sums(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                  values: dict[str, Column | str], inclusive: bool = False, width: int = DEFAULT_CHUNK) -> DataFrame:
@@ -79,14 +74,14 @@ def running_sums(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     d = materialize(d)
     totals = d.groupBy(*keys, *chunk_cols).agg(*[F.sum(n).alias(f"{n}_t") for n in vals])
     w_chunks = Window.partitionBy(*keys).orderBy(*chunk_cols).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, *chunk_cols,
+    offsets = totals.select(_key(keys, chunk_cols).alias(_KEY),
                             *[F.coalesce(F.sum(f"{n}_t").over(w_chunks), F.lit(0)).alias(f"{n}_o") for n in vals])
-    d = _null_safe_join(d, offsets, [*keys, *chunk_cols])
+    d = d.withColumn(_KEY, _key(keys, chunk_cols)).join(offsets, _KEY)
     upper = Window.currentRow if inclusive else -1
-    w_rows = Window.partitionBy(*keys, *chunk_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, upper)
+    w_rows = Window.partitionBy(_KEY).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, upper)
     for n in vals:
         d = d.withColumn(outs[n], F.col(f"{n}_o") + F.coalesce(F.sum(n).over(w_rows), F.lit(0)))
-    return d.drop(*vals, *[f"{n}_o" for n in vals], _CHUNK)
+    return d.drop(*vals, *[f"{n}_o" for n in vals], _CHUNK, _KEY)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: Column | str,
@@ -112,15 +107,15 @@ def previous_value(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     order_struct = F.struct(*[F.col(c) for c in order_cols])
     last = d.groupBy(*keys, *chunk_cols).agg(F.max_by(F.col(value), order_struct).alias("__last"))
     w_chunks = Window.partitionBy(*keys).orderBy(*chunk_cols)
-    carry = last.select(*keys, *chunk_cols, F.lag("__last", 1).over(w_chunks).alias("__carry"),
+    carry = last.select(_key(keys, chunk_cols).alias(_KEY), F.lag("__last", 1).over(w_chunks).alias("__carry"),
                         F.row_number().over(w_chunks).alias("__cn"))
-    d = _null_safe_join(d, carry, [*keys, *chunk_cols])
-    w_rows = Window.partitionBy(*keys, *chunk_cols).orderBy(*order_cols)
+    d = d.withColumn(_KEY, _key(keys, chunk_cols)).join(carry, _KEY)
+    w_rows = Window.partitionBy(_KEY).orderBy(*order_cols)
     first_of_key = (F.col("__cn") == 1) & (F.row_number().over(w_rows) == 1)
     prev = F.when(F.row_number().over(w_rows) == 1, F.col("__carry")).otherwise(F.lag(value, 1).over(w_rows))
     if default is not None:
         prev = F.when(first_of_key, default).otherwise(prev)
-    return d.withColumn(out, prev).drop("__carry", "__cn", _CHUNK)
+    return d.withColumn(out, prev).drop("__carry", "__cn", _CHUNK, _KEY)
 
 
 def dense_ids(df: DataFrame, order_cols: Sequence[str], out: str, start: Column | int = 0,
