@@ -115,7 +115,8 @@ CTES: dict[str, str] = {
                     ELSE [((event_id * 7 % 155) * 10 + 6) * 2, ((event_id * 7 % 155) * 10 + 6) * 2 + 1] END AS classes
         FROM events WHERE event_type = 'signup'""",
     "r_degree": """
-        SELECT event_id AS seq, user_id AS student_id, event_id % 7 AS degree_id,
+        SELECT event_id AS seq, CASE WHEN event_id % 23 = 0 THEN user_id + 2000000000 ELSE user_id END AS student_id,
+               event_id % 7 AS degree_id,
                CASE WHEN event_id % 19 <> 0 THEN CAST(ts AS DATE) END AS date
         FROM events WHERE event_type = 'click'""",
     "r_activity": """
@@ -132,9 +133,9 @@ CTES: dict[str, str] = {
                CASE WHEN event_id % 3 = 0 THEN TRUE END AS is_coordinator
         FROM events WHERE event_type = 'view'""",
     "r_grade_batch": """
-        SELECT b.batch_id, b.edition_id,
+        SELECT b.batch_id, CASE WHEN b.edition_id % 50 = 3 THEN b.edition_id + 100000 ELSE b.edition_id END AS edition_id,
                CASE WHEN b.edition_id % 20 = 0 THEN ed.coordinator_id + 1 ELSE ed.coordinator_id END AS submitter_id,
-               CASE WHEN b.edition_id % 50 = 7 THEN NULL
+               CASE WHEN b.edition_id % 50 = 6 THEN NULL
                     WHEN b.l_linenumber % 2 = 1 THEN 'Normal' ELSE 'Recurso' END AS period
         FROM (SELECT DISTINCT edition_id * 100 + l_linenumber AS batch_id, edition_id, l_linenumber FROM enr0) b
         LEFT JOIN d_course_edition ed ON ed.edition_id = b.edition_id""",

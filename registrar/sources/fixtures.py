@@ -247,8 +247,11 @@ def _admission_request(c: Campus) -> DataFrame:
 
 
 def _degree_request(c: Campus) -> DataFrame:
+    """'click' events: degree ``event_id % 7`` (0 and 6 do not exist), no date when
+    ``event_id % 19 = 0``, an unknown student when ``event_id % 23 = 0``."""
     ev = c.src.events.select("event_id", "user_id", "ts", "event_type").where(F.col("event_type") == "click")
-    return ev.select(F.col("event_id").alias("seq"), F.col("user_id").alias("student_id"),
+    student = F.when(F.col("event_id") % 23 == 0, F.col("user_id") + 2 * INSTRUCTOR_BASE).otherwise(F.col("user_id"))
+    return ev.select(F.col("event_id").alias("seq"), student.alias("student_id"),
                      (F.col("event_id") % 7).alias("degree_id"),
                      F.when(F.col("event_id") % 19 != 0, F.to_date("ts")).alias("date"))
 
@@ -277,15 +280,17 @@ def _registration(c: Campus) -> DataFrame:
 def _grade_batch(c: Campus) -> DataFrame:
     """One batch per (offering, line number): submitter is the coordinator except for
     offerings with ``edition_id % 20 = 0``; period from the line number; no period
-    when ``edition_id % 50 = 7``."""
+    when ``edition_id % 50 = 6``; the header names a missing offering (+100000)
+    when ``edition_id % 50 = 3``."""
     b = c.enr0.select((F.col("edition_id") * 100 + F.col("l_linenumber")).alias("batch_id"),
                       "edition_id", "l_linenumber").distinct()
     ed = c.course_edition.select("edition_id", "coordinator_id")
     j = b.join(ed, "edition_id", "left")
     submitter = F.when(F.col("edition_id") % 20 == 0, F.col("coordinator_id") + 1).otherwise(F.col("coordinator_id"))
-    period = (F.when(F.col("edition_id") % 50 == 7, F.lit(None).cast("string"))
+    period = (F.when(F.col("edition_id") % 50 == 6, F.lit(None).cast("string"))
                .when(F.col("l_linenumber") % 2 == 1, F.lit("Normal")).otherwise(F.lit("Recurso")))
-    return j.select("batch_id", "edition_id", submitter.alias("submitter_id"), period.alias("period"))
+    named = F.when(F.col("edition_id") % 50 == 3, F.col("edition_id") + 100000).otherwise(F.col("edition_id"))
+    return j.select("batch_id", named.alias("edition_id"), submitter.alias("submitter_id"), period.alias("period"))
 
 
 def _grade_row(c: Campus) -> DataFrame:
