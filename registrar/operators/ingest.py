@@ -5,7 +5,8 @@ enrolment, W11 tuition posting, W12 activity enrolment, W17 erasure).
 Checks run in the reference's order; the first failing check names the reason.
 In-batch conflicts are first-wins by ``seq``: the first valid request for a key
 is found with a grouped ``min(seq)`` (partial aggregation, so a hot key costs one
-row per map task) and joined back. New ids continue the table's largest id in
+row per map task) and joined back on (key, seq), a unique pair, so no join
+partition holds a hot key. New ids continue the table's largest id in
 request order (``dense_ids``), never through a single-task window.
 """
 
@@ -28,10 +29,16 @@ def _max_id(df: DataFrame, col: str):
 
 
 def _first_valid(df: DataFrame, keys: Sequence[str], valid, order: str = "seq") -> DataFrame:
-    """Join ``is_first`` = this row is the earliest ``valid`` row of its key."""
-    firsts = df.where(valid).groupBy(*keys).agg(F.min(order).alias("__first"))
-    j = df.join(firsts, list(keys), "left")
-    return j.withColumn("is_first", F.coalesce(F.col(order) == F.col("__first"), F.lit(False))).drop("__first")
+    """Add ``is_first`` = this row is the earliest ``valid`` row of its key.
+
+    The earliest ``order`` per key is a grouped ``min`` (partial aggregation, so a
+    hot key costs one row per map task); it is joined back on (key, order), which is
+    unique per row, so a key holding a third of the requests is not one partition
+    of the join."""
+    firsts = (df.where(valid).groupBy(*keys).agg(F.min(order).alias(order))
+                .withColumn("is_first", F.lit(True)))
+    j = df.join(firsts, [*keys, order], "left")
+    return j.withColumn("is_first", F.coalesce(F.col("is_first"), F.lit(False)))
 
 
 def _marker(df: DataFrame, name: str) -> DataFrame:
