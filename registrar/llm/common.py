@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +28,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An input table. Python workers are told where this package lies; on a cluster
+    it is installed or sent with the job."""
+    home = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if home not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (env.get("PYTHONPATH"), home)))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

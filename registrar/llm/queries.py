@@ -8,12 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrar.llm import bpe, chat, packing
-from registrar.llm.common import table
+from registrar.llm import bpe, chat, packing, quality, toxicity
+from registrar.llm.common import crc_mod, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of remainder 1 are held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = crc_mod(F.col("doc_id"), 3) == 1
+    model = quality.fit(docs, labels.select("doc_id", "quality").filter(~held))
+    out = quality.with_score(docs.select("doc_id", "text"), model, "score")
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and packed into sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -24,6 +33,15 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of remainder 0 are held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = crc_mod(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, labels.select("doc_id", "toxic").filter(~held))
+    out = toxicity.with_score(docs.select("doc_id", "text"), model, "score")
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and one that holds the control strings."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -36,7 +54,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_best_fit_packing, op6_bpe_round_trip, op8_chat_format)
+    f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op6_bpe_round_trip, op8_chat_format, op10_toxicity)
 }
 
 _OP8 = r"""
