@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrar.llm import bpe, chat, packing, quality, toxicity
+from registrar.llm import bpe, chat, html, packing, quality, toxicity
 from registrar.llm.common import crc_mod, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +28,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -54,7 +59,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op6_bpe_round_trip, op8_chat_format, op10_toxicity)
+    f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op4_html_text, op6_bpe_round_trip, op8_chat_format, op10_toxicity)
 }
 
 _OP8 = r"""
