@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrar.llm import bpe, chat, html, packing, quality, toxicity
+from registrar.llm import bpe, chat, html, minhash, packing, quality, toxicity
 from registrar.llm.common import crc_mod, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -47,6 +47,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 2-word shingles have Jaccard >= 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(shingle=2))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and one that holds the control strings."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -59,7 +64,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op4_html_text, op6_bpe_round_trip, op8_chat_format, op10_toxicity)
+    f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op4_html_text, op6_bpe_round_trip, op7_minhash_near_dedup, op8_chat_format, op10_toxicity)
 }
 
 _OP8 = r"""
