@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrar.llm import bpe, chat, html, minhash, packing, quality, toxicity
+from registrar.llm import ann, bpe, chat, embed_dedup, html, minhash, packing, quality, toxicity
 from registrar.llm.common import crc_mod, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,11 +33,21 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of vectors with one label and cosine >= 0.93."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op9_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other vectors of every vector whose id is divisible by 20."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of remainder 0 are held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -64,7 +74,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op4_html_text, op6_bpe_round_trip, op7_minhash_near_dedup, op8_chat_format, op10_toxicity)
+    f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op4_html_text, op5_embedding_near_dedup, op6_bpe_round_trip, op7_minhash_near_dedup, op8_chat_format, op9_permutation_ann, op10_toxicity)
 }
 
 _OP8 = r"""
