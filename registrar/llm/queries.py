@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrar.llm import ann, bpe, chat, embed_dedup, html, minhash, packing, quality, toxicity
+from registrar.llm import ann, bpe, chat, embed_dedup, html, lm, minhash, packing, quality, toxicity
 from registrar.llm.common import crc_mod, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +28,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document; remainder 0 is held out of the learning."""
+    return lm.score(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 10) == 0)
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(table(spark, sf_dir, "pages"))
@@ -74,7 +79,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op4_html_text, op5_embedding_near_dedup, op6_bpe_round_trip, op7_minhash_near_dedup, op8_chat_format, op9_permutation_ann, op10_toxicity)
+    f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op3_lm_score, op4_html_text, op5_embedding_near_dedup, op6_bpe_round_trip, op7_minhash_near_dedup, op8_chat_format, op9_permutation_ann, op10_toxicity)
 }
 
 _OP8 = r"""
