@@ -4,10 +4,10 @@ Features of a text are its words and their beginnings (3 to 6 characters), with
 the value 1 + log2(count). From a bounded sample of labelled rows (``SAMPLE``
 documents, by a hash of the id) the ``FEATURES`` features whose document counts
 differ most between the classes are chosen; words of the identity groups are always
-among them. For every sampled text that names an identity, a counterfactual text
-swaps each identity term for the next one of its group; the fit adds
-``CF_WEIGHT`` times the mean squared change of the linear score between the two, so
-that naming a group moves the score little. The fitted weights are at most
+among them. For every sampled text that names an identity, counterfactual texts swap
+each identity term for the next and the next but one of its group, and for no group
+at all; the fit adds ``CF_WEIGHT`` times the squared changes of the linear score, summed
+over these and scaled up to the sample, so that naming a group moves the score little. The fitted weights are at most
 ``FEATURES`` + the identity terms in number, so they travel with the task.
 
 Defined results: null and empty texts score the model's intercept; labels that are
@@ -51,7 +51,8 @@ IDENTITY_GROUPS = (
     ("musulmanes", "cristianos", "judíos", "budistas"), ("mujeres", "hombres"),
     ("disabled", "blind", "deaf"), ("old", "young"), ("elderly", "teenagers"),
 )
-NEXT_TERM = {a.encode(): b.encode() for g in IDENTITY_GROUPS for a, b in zip(g, (*g[1:], g[0]))}
+#: Term -> the words that take its place, one for each counterfactual text.
+SWAPS = {a.encode(): (g[(i + 1) % len(g)].encode(), g[(i + 2) % len(g)].encode(), b"") for g in IDENTITY_GROUPS for i, a in enumerate(g)}
 
 #: ASCII other than letters becomes a blank; other characters are kept.
 _BLANK = bytes.maketrans(bytes(range(128)), bytes(b if 97 <= b <= 122 else 32 for b in range(128)))
@@ -137,7 +138,8 @@ def chosen_features(sample: DataFrame, n: int, positive: int) -> list[str]:
 
 
 def design_rows(sample: DataFrame, features: list[str]) -> pd.DataFrame:
-    """Per sampled text: y, its feature counts, and those of its counterfactual."""
+    """Per sampled text: y, its feature counts (own); per counterfactual of it, the same
+    and the counterfactual's counts (b, bn)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index, known = {f: i for i, f in enumerate(features)}, {}
         for pdf in batches:
@@ -145,12 +147,15 @@ def design_rows(sample: DataFrame, features: list[str]) -> pd.DataFrame:
             for t, y in zip(pdf["t"], pdf["y"]):
                 words = words_of(t)
                 a = counts_of(words, index, known)
-                swapped = [NEXT_TERM.get(w, w) for w in words]
-                b = counts_of(swapped, index, known) if swapped != words else {}
-                out.append((int(y), [*a], [*a.values()], swapped != words, [*b], [*b.values()]))
-            yield pd.DataFrame(out, columns=["y", "a", "an", "swap", "b", "bn"])
+                row = (int(y), [*a], [*a.values()])
+                out.append((True, *row, [], []))
+                if any(w in SWAPS for w in words):
+                    for k in range(3):
+                        b = counts_of([v for w in words if (v := SWAPS[w][k] if w in SWAPS else w)], index, known)
+                        out.append((False, *row, [*b], [*b.values()]))
+            yield pd.DataFrame(out, columns=["own", "y", "a", "an", "b", "bn"])
 
-    return sample.mapInPandas(run, "y int, a array<int>, an array<int>, swap boolean, b array<int>, bn array<int>").toPandas()
+    return sample.mapInPandas(run, "own boolean, y int, a array<int>, an array<int>, b array<int>, bn array<int>").toPandas()
 
 
 def _dense(ids: pd.Series, counts: pd.Series, k: int) -> np.ndarray:
@@ -166,14 +171,15 @@ def _dense(ids: pd.Series, counts: pd.Series, k: int) -> np.ndarray:
 
 def fit_weights(rows: pd.DataFrame, k: int, l2: float = L2, cf_weight: float = CF_WEIGHT) -> np.ndarray:
     """Newton's method on the penalised logistic loss; the last weight is the bias."""
-    x, y = _dense(rows["a"], rows["an"], k), rows["y"].to_numpy(dtype=np.float64)
+    own, swapped = rows[rows["own"]], rows[~rows["own"]]
+    x, y = _dense(own["a"], own["an"], k), own["y"].to_numpy(dtype=np.float64)
     ridge = np.full(k + 1, l2)
     ridge[k] = 1e-6
     penalty = np.diag(ridge)
-    swapped = rows[rows["swap"]]
-    if len(swapped):
-        d = (_dense(swapped["a"], swapped["an"], k) - _dense(swapped["b"], swapped["bn"], k)).astype(np.float64)
-        penalty += cf_weight * len(x) / len(d) * (d.T @ d)
+    for i in range(0, len(swapped), 2048):
+        part = swapped.iloc[i:i + 2048]
+        d = (_dense(part["a"], part["an"], k) - _dense(part["b"], part["bn"], k)).astype(np.float64)
+        penalty += cf_weight * len(x) / len(swapped) * (d.T @ d)
     w = np.zeros(k + 1)
     rate = (y.sum() + 1) / (len(y) + 2)
     w[k] = np.log(rate / (1 - rate))
@@ -196,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SA
         rate = (positive + 1) / (n + 2)
         return Model(float(np.log(rate / (1 - rate))), {})
     features = chosen_features(sample, n, positive)
-    identity = ["=" + w.decode() for w in NEXT_TERM]
+    identity = ["=" + w.decode() for w in SWAPS]
     features = [*features, *(f for f in identity if f not in set(features))]
     w = fit_weights(design_rows(sample, features), len(features))
     return Model(float(w[-1]), {f: float(v) for f, v in zip(features, w) if abs(v) > 1e-9})
