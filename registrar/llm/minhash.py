@@ -7,16 +7,17 @@ as its leading-zero count and ``MANTISSA`` bits after the leading one. Empty reg
 borrow from a filled one by a fixed random preference (densification).
 
 Equal sets are one class from the start, represented by its smallest doc_id. Bands
-of registers are hashed; classes that share a band are candidates:
+of registers are hashed; classes that share a band bucket are candidates. All buckets
+with the same smallest class form one group, which holds each class once:
 
-1. every class of a band bucket against the bucket's smallest class;
-2. after linking those, for buckets that still hold several components, the pairs
-   across components (found by comparing sketches block by block, so a large bucket
-   is spread over tasks).
+1. sketches of a group are compared; a class stays if its collision-corrected Jaccard
+   estimate to another is within ``SIGMAS`` deviations of the threshold;
+2. the full sets of the classes left are compared, likeliest pairs first. A pair
+   whose ends are already joined needs no check, so a group of copies costs about
+   one check per member and gives as many links, not all pairs.
 
-Pairs inside one component need no check, so no group is expanded into all pairs and
-no bucket is cut. A pair is kept if its collision-corrected Jaccard estimate is
-within ``SIGMAS`` deviations of the threshold, and linked if the full sets say so.
+A group of over ``BLOCK`` classes is cut into blocks, and each pair of blocks is a task
+of its own: no bucket or group is cut short.
 
 Defined results: null and empty texts have 0 shingles and link with nothing; a null
 doc_id forms no link and has a null component; repeated rows share a component;
@@ -39,8 +40,8 @@ from registrar.llm.common import row_frames, staged
 from registrar.llm.components import components
 
 MANTISSA = 10
-SIGMAS = 5.0
-BLOCK = 1024
+SIGMAS = 4.5
+BLOCK = 2048
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -155,76 +156,86 @@ def document_sketches(docs: DataFrame, s: Settings, id_col: str = "doc_id", text
     return rows.mapInPandas(run, "doc_id long, n long, set_key binary, sketch binary, bands array<long>")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
-    """Of the pairs a, b, those whose full sets reach the threshold."""
-    def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in row_frames(batches, 4096):
-            if len(pdf):
-                a, b = (np.frombuffer(b"".join(pdf[c]), dtype=np.uint16).reshape(len(pdf), -1) for c in ("sa", "sb"))
-                sizes = np.maximum(pdf["na"].to_numpy(), pdf["nb"].to_numpy()).astype(float)
-                yield pdf.loc[estimate((a == b).mean(axis=1)) >= least_estimate(sizes, s), ["a", "b"]]
+def _close(x: int, size: np.ndarray, sketch: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The rows after ``x`` that may reach the threshold with it, and their estimates."""
+    y = np.arange(x + 1, len(size))
+    y = y[np.minimum(size[y], size[x]) * 100 >= np.maximum(size[y], size[x]) * s.percent]
+    guess = estimate((sketch[y] == sketch[x]).mean(axis=1))
+    near = guess >= least_estimate(np.maximum(size[y], size[x]).astype(float), s)
+    return y[near], guess[near]
 
-    def full_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _block_rows(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, bool]:
+    pdf = pdf.sort_values("rep", ignore_index=True)
+    sketch = np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint16).reshape(len(pdf), -1)
+    return pdf, pdf["block"].to_numpy(), sketch, pdf["i"].iloc[0] == pdf["j"].iloc[0]
+
+
+def _candidates(rows: DataFrame, s: Settings) -> DataFrame:
+    """Of the rows leader, i, j, block, rep, n, sketch: those with a close other."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, block, sketch, inner = _block_rows(pdf)
+        size, keep = pdf["n"].to_numpy(), np.zeros(len(pdf), dtype=bool)
+        for x in range(len(pdf) - 1):
+            y, _ = _close(x, size, sketch, s)
+            y = y if inner else y[block[y] != block[x]]
+            if len(y):
+                keep[x] = keep[y] = True
+        return pdf.loc[keep, ["leader", "i", "j", "block", "rep", "n", "sketch"]]
+
+    return rows.groupBy("leader", "i", "j").applyInPandas(
+        run, "leader long, i int, j int, block int, rep long, n long, sketch binary")
+
+
+def _links(rows: DataFrame, s: Settings) -> DataFrame:
+    """u, v: links that join all that the full sets join inside each group."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, block, sketch, inner = _block_rows(pdf)
+        size, rep = pdf["n"].to_numpy(), pdf["rep"].to_numpy()
+        sets = [np.frombuffer(h, dtype=np.uint64) for h in pdf["hashes"]]
+        found = []
+        for x in range(len(pdf) - 1):
+            y, guess = _close(x, size, sketch, s)
+            if not inner:
+                y, guess = y[block[y] != block[x]], guess[block[y] != block[x]]
+            found.append((guess, np.full(len(y), x), y))
+        if not found:
+            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+        guess, xs, ys = (np.concatenate(c) for c in zip(*found))
+        root, out = list(range(len(pdf))), []
+        for k in np.argsort(-guess, kind="stable"):
+            x, y = int(xs[k]), int(ys[k])
+            a, b = x, y
+            while root[a] != a:
+                root[a] = a = root[root[a]]
+            while root[b] != b:
+                root[b] = b = root[root[b]]
+            if a == b:
+                continue
+            both = np.sort(np.concatenate((sets[x], sets[y])), kind="stable")
+            shared = int((both[1:] == both[:-1]).sum())
+            if 100 * shared >= s.percent * (len(both) - shared):
+                root[max(a, b)] = min(a, b)
+                out.append((rep[x], rep[y]))
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+    return rows.groupBy("leader", "i", "j").applyInPandas(run, "u long, v long")
+
+
+def _full_sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
+    """rep, hashes of the wanted classes. Where a doc_id is on rows of several texts,
+    the class's own set is the one with its digest."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in row_frames(batches, 1000):
             sets = [shingle_set(t, s.shingle) for t in pdf["t"]]
             keys = [hashlib.blake2b(h.tobytes(), digest_size=16).digest() for h in sets]
             yield pd.DataFrame({"rep": pdf["k"].array, "set_key": pd.Series(keys, dtype=object),
                                 "hashes": pd.Series([h.tobytes() for h in sets], dtype=object)})
 
-    def same(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in row_frames(batches, 256):
-            keep = []
-            for x, y in zip(pdf["ha"], pdf["hb"]):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                both = np.sort(np.concatenate((x, y)), kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= s.percent * (len(x) + len(y) - shared))
-            yield pdf.loc[np.array(keep, dtype=bool), ["a", "b"]]
-
-    sketches = classes.select("rep", "n", "sketch")
-    near = (pairs.join(sketches.toDF("a", "na", "sa"), "a").join(sketches.toDF("b", "nb", "sb"), "b")
-                 .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * s.percent)
-                 .select("a", "b", "na", "nb", "sa", "sb").mapInPandas(close, "a long, b long"))
-    near = staged(near, "near-pairs")
-    wanted = near.select(F.col("a").alias("k")).unionByName(near.select(F.col("b").alias("k"))).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t")).join(wanted, "k", "left_semi")
-    # a doc_id on rows of several texts: the class's own set is the one with its digest
-    sets = (texts.mapInPandas(full_sets, "rep long, set_key binary, hashes binary")
-                 .join(classes.select("rep", "set_key"), ["rep", "set_key"], "left_semi")
-                 .dropDuplicates(["rep", "set_key"]).select("rep", "hashes"))
-    sets = staged(sets, "full-sets")
-    return (near.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b")
-                .select("a", "b", "ha", "hb").mapInPandas(same, "a long, b long"))
-
-
-def _across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of one bucket in different components, neither the bucket's smallest,
-    whose estimate allows a link."""
-    member = (buckets.filter("rep != leader").join(labels, F.col("rep") == F.col("node"), "left")
-                     .select("key", "rep", F.coalesce("component", "rep").alias("component")))
-    open_keys = (member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-                       .filter("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    rows = (member.join(open_keys, "key").join(classes.select("rep", "n", "sketch"), "rep")
-                  .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                  .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                          "block", "rep", "component", "n", "sketch"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        comp, rep, size = (pdf[c].to_numpy() for c in ("component", "rep", "n"))
-        found, i, j = [], pdf["i"].iloc[0], pdf["j"].iloc[0]
-        names, counts = np.unique(comp, return_counts=True)
-        block, sketch = pdf["block"].to_numpy(), np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint16).reshape(len(pdf), -1)
-        for x in np.flatnonzero(comp != names[counts.argmax()]):  # a pair has one outside the largest component
-            y = np.flatnonzero((comp != comp[x]) & ((block != block[x]) | (i == j)))
-            y = y[np.minimum(size[y], size[x]) * 100 >= np.maximum(size[y], size[x]) * s.percent]
-            if len(y):
-                share = (sketch[y] == sketch[x]).mean(axis=1)
-                y = y[estimate(share) >= least_estimate(np.maximum(size[y], size[x]).astype(float), s)]
-                found.extend((min(rep[x], r), max(rep[x], r)) for r in rep[y])
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t")).join(wanted.toDF("k"), "k", "left_semi")
+    own = classes.join(wanted, "rep", "left_semi").select("rep", "set_key")
+    return (texts.mapInPandas(run, "rep long, set_key binary, hashes binary").join(own, ["rep", "set_key"], "left_semi")
+                 .dropDuplicates(["rep", "set_key"]).select("rep", "set_key", "hashes"))
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,14 +246,17 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
     banded = classes.select("rep", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("size")).filter("size > 1").drop("size")
-    buckets = staged(banded.join(shared, "key"), "buckets")
-    first = buckets.filter("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    links = staged(_verified(first, classes, docs, s, id_col, text_col), "links")
-    labels = staged(components(links.toDF("u", "v")), "labels")
-    more = staged(_across(buckets, labels, classes, s), "across")
-    if not more.isEmpty():
-        extra = staged(_verified(more, classes, docs, s, id_col, text_col), "links")
-        labels = staged(components(links.unionByName(extra).toDF("u", "v")), "labels")
+    pairs = banded.join(shared, "key").select("leader", "rep").distinct()
+    groups = staged(pairs.join(classes.select("rep", "n", "sketch"), "rep"), "groups")
+    blocks = groups.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = (groups.join(blocks, "leader").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                  .select("leader", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                          "block", "rep", "n", "sketch"))
+    near = staged(_candidates(rows, s), "near")
+    sets = _full_sets(docs, near.select("rep").distinct(), classes, s, id_col, text_col)
+    links = staged(_links(near.join(sets, "rep"), s), "links")
+    labels = components(links)
     of_set = (classes.select("set_key", "rep").join(labels, F.col("rep") == F.col("node"), "left")
                      .select("set_key", F.coalesce("component", "rep").alias("component")))
     out = marked.select("doc_id", "n", "set_key").join(of_set, "set_key", "left")
