@@ -58,8 +58,9 @@ def avg_2dp(value) -> tuple[Column, Column]:
 
 
 def course_code(n) -> Column:
-    """Course code of course number n: 'C' + 3-digit zero-padded number."""
-    return F.concat(F.lit("C"), F.lpad(col(n).cast("string"), 3, "0"))
+    """Course code of course number n: 'C' and the number, zero-padded to 3 digits at least."""
+    digits = col(n).cast("string")
+    return F.concat(F.lit("C"), F.when(F.length(digits) < 3, F.lpad(digits, 3, "0")).otherwise(digits))
 
 
 def nonblank(c) -> Column:

@@ -2,11 +2,11 @@
 
 A window ``partitionBy(key).orderBy(seq)`` puts every row of a key into one task.
 When a single key (an offering, a student, a whole table with no key) may hold a
-third of all rows, that task is the job. The helpers here split each key's rows
-into chunks of the ordering column, aggregate per chunk (partial aggregation
-before the shuffle), carry chunk totals forward over the small per-chunk table
-(one row per chunk), and finish inside each (key, chunk) — so no task sees the
-rows of more than one chunk of a key.
+third of all rows, that task is the job. The helpers here deal the rows by range of
+(key, order) into partitions of about equal row counts, so a hot key spans many of
+them whatever its order values are; aggregate once per (key, partition); carry those
+totals forward over a table with at most one row per key and partition; and finish
+inside each (key, partition). No task sees more than one partition's rows of a key.
 
 Orderings must be unique within a key (ties would make "earlier" ambiguous).
 """
@@ -20,9 +20,6 @@ from pyspark.sql import functions as F
 
 from registrar.session import checkpoint_root
 
-# Rows of one key that may share a chunk when the ordering column is dense.
-DEFAULT_CHUNK = 1 << 16
-
 _CHUNK = "__chunk"
 _KEY = "__key"
 
@@ -40,11 +37,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _with_chunk(df: DataFrame, order_cols: Sequence[str], width: int) -> tuple[DataFrame, list[str]]:
-    """Chunk = all order columns but the last, plus the last one divided by ``width``."""
-    *lead, last = order_cols
-    df = df.withColumn(_CHUNK, F.floor(F.col(last) / F.lit(width)).cast("long"))
-    return df, [*lead, _CHUNK]
+def _dealt(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], parts: int | None) -> DataFrame:
+    """The rows dealt by range of (keys, order) into ``parts`` partitions (as many as the
+    session shuffles into by default), with the partition's number; materialized, since
+    the helpers read them twice and the numbers must not change in between."""
+    n = parts or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return materialize(df.repartitionByRange(n, *keys, *order_cols).withColumn(_CHUNK, F.spark_partition_id()))
 
 
 def _key(keys: Sequence[str], chunk_cols: Sequence[str]):
@@ -53,8 +51,9 @@ def _key(keys: Sequence[str], chunk_cols: Sequence[str]):
     below share this single partitioning column, so no second shuffle."""
     return F.struct(*[F.col(c) for c in [*keys, *chunk_cols]])
 
+
 def running_sums(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
-                 values: dict[str, Column | str], inclusive: bool = False, width: int = DEFAULT_CHUNK) -> DataFrame:
+                 values: dict[str, Column | str], inclusive: bool = False, parts: int | None = None) -> DataFrame:
     """Add one column per ``values`` entry (out name -> value): the sum of the value
     over earlier rows of the same key (and this row when ``inclusive``), in
     ``order_cols`` order. ``keys`` may be empty (whole table).
@@ -70,8 +69,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     d = df
     for name, v in vals.items():
         d = d.withColumn(name, F.coalesce(v.cast("long"), F.lit(0)))
-    d, chunk_cols = _with_chunk(d, order_cols, width)
-    d = materialize(d)
+    d, chunk_cols = _dealt(d, keys, order_cols, parts), [_CHUNK]
     totals = d.groupBy(*keys, *chunk_cols).agg(*[F.sum(n).alias(f"{n}_t") for n in vals])
     w_chunks = Window.partitionBy(*keys).orderBy(*chunk_cols).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(_key(keys, chunk_cols).alias(_KEY),
@@ -85,25 +83,24 @@ def running_sums(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: Column | str,
-                out: str, inclusive: bool = False, width: int = DEFAULT_CHUNK) -> DataFrame:
+                out: str, inclusive: bool = False, parts: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``value`` over earlier rows of the same key (see running_sums)."""
-    return running_sums(df, keys, order_cols, {out: value}, inclusive, width)
+    return running_sums(df, keys, order_cols, {out: value}, inclusive, parts)
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], flag: Column | str,
-                  out: str, inclusive: bool = False, width: int = DEFAULT_CHUNK) -> DataFrame:
+                  out: str, inclusive: bool = False, parts: int | None = None) -> DataFrame:
     """Number of earlier rows of the same key where ``flag`` holds (see running_sum)."""
     f = F.col(flag) if isinstance(flag, str) else flag
-    return running_sum(df, keys, order_cols, F.when(f, F.lit(1)).otherwise(F.lit(0)), out, inclusive, width)
+    return running_sum(df, keys, order_cols, F.when(f, F.lit(1)).otherwise(F.lit(0)), out, inclusive, parts)
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: str,
-                   out: str, default: Column | None = None, width: int = DEFAULT_CHUNK) -> DataFrame:
+                   out: str, default: Column | None = None, parts: int | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row of the same key (``lag(value, 1)``),
     or ``default`` for the first row of a key; split by chunks like running_sum."""
     keys = list(keys)
-    d, chunk_cols = _with_chunk(df, order_cols, width)
-    d = materialize(d)
+    d, chunk_cols = _dealt(df, keys, order_cols, parts), [_CHUNK]
     order_struct = F.struct(*[F.col(c) for c in order_cols])
     last = d.groupBy(*keys, *chunk_cols).agg(F.max_by(F.col(value), order_struct).alias("__last"))
     w_chunks = Window.partitionBy(*keys).orderBy(*chunk_cols)
@@ -119,10 +116,10 @@ def previous_value(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
 
 
 def dense_ids(df: DataFrame, order_cols: Sequence[str], out: str, start: Column | int = 0,
-              width: int = DEFAULT_CHUNK) -> DataFrame:
+              parts: int | None = None) -> DataFrame:
     """Number the rows 1..n in ``order_cols`` order and add ``start``: ids for new rows
     (like a SERIAL counter) without a single-task global ``row_number`` — the only
     global step runs over one total per chunk."""
-    numbered = running_count(df, [], order_cols, F.lit(True), "__k", inclusive=True, width=width)
+    numbered = running_count(df, [], order_cols, F.lit(True), "__k", inclusive=True, parts=parts)
     s = start if isinstance(start, Column) else F.lit(start)
     return numbered.withColumn(out, (s + F.col("__k")).cast("long")).drop("__k")

@@ -1,18 +1,19 @@
 """W13 admission to offerings and W14 class assignment, as one set-based plan.
 
 The reference admits one request at a time: class list empty -> offering exists
--> full -> already enrolled -> prerequisites -> insert -> each class belongs to
-the offering (a failed class check rolls the whole request back). Here the whole
+-> full -> already enrolled -> prerequisites -> insert (which fails for a
+student who doesn't exist) -> each class belongs to the offering (a failed class check
+rolls the whole request back). Here the whole
 request table is decided at once, deterministic by arrival order ``seq``:
 
-    base        = has_classes ∧ offering_exists ∧ ¬enrolled ∧ prereq_ok ∧ classes_ok
+    base        = has_classes ∧ offering_exists ∧ ¬enrolled ∧ prereq_ok ∧ student_exists ∧ classes_ok
     prior_base  = earlier base requests, same (offering, student)
     claim       = base ∧ prior_base = 0
     prior_claim = earlier claims, same offering
     status      = no_classes | no_edition
                 | full      if enrolled_now + prior_claim >= capacity
                 | duplicate if enrolled ∨ prior_base > 0
-                | prereq | class | ok
+                | prereq | no_student | class | ok
 
 A claim rejected as full never frees a seat later (counts only grow), so counting
 every earlier claim equals counting the accepted ones. The two running counts use
@@ -31,7 +32,7 @@ from registrar.functions.columns import first_reason
 from registrar.functions.sequence import running_count
 from registrar.operators.reports import missing_prerequisites, tbl
 
-STATUSES = ("ok", "no_classes", "no_edition", "full", "duplicate", "prereq", "class")
+STATUSES = ("ok", "no_classes", "no_edition", "full", "duplicate", "prereq", "no_student", "class")
 
 
 @dataclass
@@ -68,7 +69,7 @@ def assign_classes(T, requests: DataFrame) -> DataFrame:
     return pairs.join(good, "seq", "left_semi").select("student_id", "class_id").distinct()
 
 
-def admit_to_offering(T, requests: DataFrame, chunk: int | None = None) -> Outcome:
+def admit_to_offering(T, requests: DataFrame, parts: int | None = None) -> Outcome:
     """Decide every admission request (seq, student_id, edition_id, classes).
 
     Returns the status per request, the new ``course_enrollment`` (accepted rows
@@ -81,7 +82,8 @@ def admit_to_offering(T, requests: DataFrame, chunk: int | None = None) -> Outco
     current = ce.groupBy("edition_id").agg(F.count("*").alias("_current"))
     # everything known per offering in one table (one join with the requests)
     offering = ed.join(co, "course_code").join(current, "edition_id", "left").withColumn("_exists", F.lit(True))
-    enrolled = ce.select("student_id", "edition_id", F.lit(True).alias("_enrolled"))
+    enrolled = ce.select("student_id", "edition_id").distinct().withColumn("_enrolled", F.lit(True))
+    known = tbl(T, "student").select(F.col("user_id").alias("student_id")).distinct().withColumn("_student", F.lit(True))
 
     pairs = req.join(offering.select("edition_id", "course_code"), "edition_id").select("student_id", "course_code")
     gaps = missing_prerequisites(T, pairs).select("student_id", "course_code", "missing_count")
@@ -90,18 +92,20 @@ def admit_to_offering(T, requests: DataFrame, chunk: int | None = None) -> Outco
     r = (req.join(offering, "edition_id", "left")
             .join(enrolled, ["student_id", "edition_id"], "left")
             .join(gaps, ["student_id", "course_code"], "left")
+            .join(known, "student_id", "left")
             .join(cls_ok, "seq", "left"))
     has_classes = F.coalesce(F.size("classes") > 0, F.lit(False))
     exists = F.coalesce("_exists", F.lit(False))
     is_enrolled = F.coalesce("_enrolled", F.lit(False))
     prereq_ok = F.coalesce(F.col("missing_count") == 0, F.lit(True))
+    student_ok = F.coalesce("_student", F.lit(False))
     classes_ok = F.coalesce("classes_ok", F.lit(False))
     r = r.select("seq", "student_id", "edition_id", "capacity",
                  F.coalesce("_current", F.lit(0)).alias("current"),
                  has_classes.alias("has_classes"), exists.alias("exists"), is_enrolled.alias("enrolled"),
-                 prereq_ok.alias("prereq_ok"), classes_ok.alias("classes_ok"))
-    base = F.col("has_classes") & F.col("exists") & ~F.col("enrolled") & F.col("prereq_ok") & F.col("classes_ok")
-    kw = {"width": chunk} if chunk else {}
+                 prereq_ok.alias("prereq_ok"), student_ok.alias("student_ok"), classes_ok.alias("classes_ok"))
+    base = F.col("has_classes") & F.col("exists") & ~F.col("enrolled") & F.col("prereq_ok") & F.col("student_ok") & F.col("classes_ok")
+    kw = {"parts": parts} if parts else {}
     r = running_count(r.withColumn("base", base), ["edition_id", "student_id"], ["seq"], "base", "prior_base", **kw)
     r = r.withColumn("claim", F.col("base") & (F.col("prior_base") == 0))
     r = running_count(r, ["edition_id"], ["seq"], "claim", "prior_claim", **kw)
@@ -111,6 +115,7 @@ def admit_to_offering(T, requests: DataFrame, chunk: int | None = None) -> Outco
         (F.col("current") + F.col("prior_claim") < F.col("capacity"), "full"),
         (~F.col("enrolled") & (F.col("prior_base") == 0), "duplicate"),
         (F.col("prereq_ok"), "prereq"),
+        (F.col("student_ok"), "no_student"),
         (F.col("classes_ok"), "class"),
     )
     outcome = r.select("seq", "student_id", "edition_id", status.alias("status"))

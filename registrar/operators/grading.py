@@ -28,7 +28,7 @@ BATCH_STATUSES = ("ok", "missing_fields", "no_edition", "not_coordinator", "inva
 
 
 def split_batches(nested: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nested bodies ``(batch_id, edition_id, submitter_id, period, grades array<array<double>>)``
+    """Nested bodies ``(batch_id, edition_id, submitter_id, period, grades array<array<string>>)``
     -> (headers, rows) with ``pos`` = index in the list."""
     headers = nested.select("batch_id", "edition_id", "submitter_id", "period")
     rows = nested.select("batch_id", F.posexplode("grades").alias("pos", "pair")).withColumn("pos", F.col("pos").cast("long"))
@@ -38,12 +38,12 @@ def split_batches(nested: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _check_rows(T, headers: DataFrame, rows: DataFrame) -> DataFrame:
     """Every well-formed row with its reason (``ok`` or the row-level failure)."""
     well = rows.where(F.size("pair") == 2)
-    raw_student = F.col("pair")[0]
-    # ANSI mode: an out-of-range id must not fail the job, it is just not enrolled
-    student = F.when(raw_student == F.floor(raw_student), raw_student.try_cast("long"))
-    r = well.select("batch_id", "pos", student.alias("student_id"), F.col("pair")[1].alias("raw_grade"))
+    # an id that isn't a whole number in range is just not enrolled; a grade that isn't a
+    # number is null and fails the range check
+    student = F.when(F.col("pair")[0].rlike(r"^\s*[+-]?\d+(\.0*)?\s*$"), F.regexp_replace(F.col("pair")[0], r"\.0*\s*$", "").try_cast("long"))
+    r = well.select("batch_id", "pos", student.alias("student_id"), F.col("pair")[1].try_cast("double").alias("raw_grade"))
     r = r.join(headers.select("batch_id", "edition_id", "period"), "batch_id")
-    enrolled = tbl(T, "course_enrollment").select("student_id", "edition_id", F.lit(True).alias("_en"))
+    enrolled = tbl(T, "course_enrollment").select("student_id", "edition_id").distinct().withColumn("_en", F.lit(True))
     r = r.join(enrolled, ["student_id", "edition_id"], "left")
     reason = first_reason((valid_grade("raw_grade"), "invalid_grade"), (F.coalesce("_en", F.lit(False)), "not_enrolled"))
     return r.select("batch_id", "pos", "student_id", "edition_id", "period", "raw_grade", reason.alias("reason"))
@@ -102,15 +102,16 @@ def _record_degree(T) -> DataFrame:
              .select("student_id", F.col("d.degree_id").alias("degree_id"), F.col("d.enrollment_date").alias("enrollment_date"))
 
 
-def _finish_records(T, per_student: DataFrame) -> DataFrame:
-    """Keep existing record ids, open records (ids after the largest) for students
-    with a degree enrolment; students with neither get no record."""
+def _finish_records(T, per_student: DataFrame, opened_by: str) -> DataFrame:
+    """Keep existing record ids and open records (ids after the largest): the trigger
+    (``inner``) opens one only for a student with a degree enrolment, a recompute (``left``)
+    for every student with a pass."""
     old = tbl(T, "academic_record")
     per_student = materialize(per_student)  # read by three branches below
     kept = per_student.join(old.select("record_id", "student_id", "current_semester", "degree_id", "enrollment_date"),
                             "student_id")
     fresh = (per_student.join(old.select("student_id"), "student_id", "left_anti")
-                        .join(_record_degree(T), "student_id"))
+                        .join(_record_degree(T), "student_id", opened_by))
     fresh = dense_ids(fresh, ["student_id"], "record_id",
                       start=old.select(F.coalesce(F.max("record_id"), F.lit(0)).cast("long")).scalar())
     cols = ["record_id", "student_id", "average", "approved_courses", "current_semester", "degree_id", "enrollment_date"]
@@ -124,7 +125,8 @@ def refresh_academic_record(T, mode: str = "recompute", changes: DataFrame | Non
     """Academic record per student.
 
     ``recompute`` (right): approved_courses = passing enrolments, average = their
-    mean (2 decimals, exact) from the current ``course_enrollment``.
+    mean (2 decimals, exact) from the current ``course_enrollment``. A record whose
+    student has no pass left gets 0 courses and no average.
     ``replay`` reproduces the row trigger over the update log ``changes``
     (student_id, edition_id, grade, batch_id, pos) applied to the grades
     ``before`` the updates: each passing update adds 1 to the counter (a regrade
@@ -136,7 +138,9 @@ def refresh_academic_record(T, mode: str = "recompute", changes: DataFrame | Non
         per = ce.groupBy("student_id").agg(F.sum(cents("grade")).alias("s"), F.count("grade").alias("n"))
         per = per.select("student_id", rounded_mean_from_cents("s", "n").cast(GRADE_TYPE).alias("average"),
                          F.col("n").cast("long").alias("approved_courses"))
-        return _finish_records(T, per)
+        none = tbl(T, "academic_record").select("student_id").join(per.select("student_id"), "student_id", "left_anti")
+        none = none.select("student_id", F.lit(None).cast(GRADE_TYPE).alias("average"), F.lit(0).cast("long").alias("approved_courses"))
+        return _finish_records(T, per.unionByName(none), "left")
     if mode != "replay":
         raise ValueError(mode)
     assert changes is not None and before is not None
@@ -161,4 +165,4 @@ def refresh_academic_record(T, mode: str = "recompute", changes: DataFrame | Non
     old = tbl(T, "academic_record").select("student_id", F.col("approved_courses").alias("__a0"))
     per = per.join(old, "student_id", "left").select(
         "student_id", "average", (F.coalesce("__a0", F.lit(0)) + F.col("__k")).cast("long").alias("approved_courses"))
-    return _finish_records(T, per)
+    return _finish_records(T, per, "inner")

@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrar.functions.columns import first_reason, nonblank, to_money
-from registrar.functions.sequence import dense_ids
+from registrar.functions.sequence import dense_ids, materialize
 from registrar.operators.admission import Outcome
 from registrar.operators.reports import tbl
+from registrar.schema import FOREIGN_KEYS
 
 
 def _max_id(df: DataFrame, col: str):
@@ -83,22 +84,26 @@ def register_users(T, requests: DataFrame, role: str = "student") -> Outcome:
 # ------------------------------------------------------------------ W09 insert-if-absent
 
 def insert_if_absent(target: DataFrame, rows: DataFrame, keys: Sequence[str], order: str = "seq",
-                     id_col: str | None = None) -> DataFrame:
-    """``INSERT ... ON CONFLICT DO NOTHING``: rows whose key is null are dropped, the
-    first row of each key (by ``order``) is kept, keys already in ``target`` are
-    skipped. With ``id_col`` the inserted rows get ids after the table's largest."""
+                     id_col: str | None = None) -> Outcome:
+    """``INSERT ... ON CONFLICT DO NOTHING``: the first row of each key (by ``order``) is
+    kept, keys already in the target are skipped, and a row with a null in its key isn't
+    inserted. The outcome has a status per row: ``ok``, ``null_key``, ``exists`` or
+    ``duplicate_in_batch``; ``tables["target"]`` is the new table. With ``id_col`` the
+    inserted rows get ids after the table's largest."""
     keys = list(keys)
-    cols = [c for c in target.columns if c != id_col]
-    r = rows
+    r = rows.join(_marker(target.select(*keys), "_there"), keys, "left")
+    has_key = F.lit(True)
     for k in keys:
-        r = r.where(F.col(k).isNotNull())
-    firsts = (r.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in cols if c not in keys], F.col(order)),
-                                            F.col(order)).alias("__r"))
-               .select(*keys, "__r.*"))
-    new = firsts.join(target.select(*keys).distinct(), keys, "left_anti")
+        has_key = has_key & F.col(k).isNotNull()
+    r = r.withColumn("has_key", has_key).withColumn("there", F.coalesce("_there", F.lit(False)))
+    r = _first_valid(r, keys, F.col("has_key") & ~F.col("there"), order)
+    status = first_reason((F.col("has_key"), "null_key"), (~F.col("there"), "exists"), (F.col("is_first"), "duplicate_in_batch"))
+    r = r.withColumn("status", status)
+    new = r.where(F.col("status") == "ok")
     if id_col:
         new = dense_ids(new, [order], id_col, start=_max_id(target, id_col))
-    return target.unionByName(new.select(*target.columns))
+    return Outcome(r.select(order, *[k for k in keys if k != order], "status"),
+                   {"target": target.unionByName(new.select(*target.columns))})
 
 
 # ------------------------------------------------------------------ W10 / W11 degree enrolment and tuition
@@ -150,19 +155,21 @@ def enroll_degree(T, requests: DataFrame, as_of=None) -> Outcome:
 
 def enroll_activity(T, requests: DataFrame, as_of) -> Outcome:
     """Activity enrolment (student_id, activity_id): activity exists -> not already
-    enrolled (table or earlier request). The fee is added to the student's
+    enrolled (table or earlier request) -> student exists (the insert fails else). The fee is added to the student's
     existing account(s) only; ``fee_posted`` is false when there is none."""
     ac = tbl(T, "activity").select("activity_id", "fee", F.lit(True).alias("_ac"))
     ap = _marker(tbl(T, "activity_participation").select("student_id", "activity_id"), "_ap")
     accounts = tbl(T, "financial_account")
     has_acc = _marker(accounts.select("student_id"), "_acc")
+    st = _marker(tbl(T, "student").select(F.col("user_id").alias("student_id")), "_st")
     r = (requests.join(ac, "activity_id", "left").join(ap, ["student_id", "activity_id"], "left")
-                 .join(has_acc, "student_id", "left"))
+                 .join(has_acc, "student_id", "left").join(st, "student_id", "left"))
     r = r.select("seq", "student_id", "activity_id", "fee", F.coalesce("_ac", F.lit(False)).alias("activity_ok"),
+                 F.coalesce("_st", F.lit(False)).alias("student_ok"),
                  (~F.coalesce("_ap", F.lit(False))).alias("new_ok"), F.coalesce("_acc", F.lit(False)).alias("has_account"))
-    r = _first_valid(r, ["student_id", "activity_id"], F.col("activity_ok") & F.col("new_ok"))
+    r = _first_valid(r, ["student_id", "activity_id"], F.col("activity_ok") & F.col("new_ok") & F.col("student_ok"))
     status = first_reason((F.col("activity_ok"), "no_activity"), (F.col("new_ok"), "already_enrolled"),
-                          (F.col("is_first"), "already_enrolled"))
+                          (F.col("student_ok"), "no_student"), (F.col("is_first"), "already_enrolled"))
     r = r.withColumn("status", status)
     outcome = r.select("seq", "student_id", "activity_id", "status",
                        F.when(F.col("status") == "ok", F.col("has_account")).alias("fee_posted"))
@@ -180,40 +187,26 @@ def enroll_activity(T, requests: DataFrame, as_of) -> Outcome:
 
 # ------------------------------------------------------------------ W17 erasure
 
-# Tables holding a student's rows, in the reference's deletion order, with their key.
-ERASE_ORDER = (("activity_participation", "student_id"), ("student_class", "student_id"),
-               ("course_enrollment", "student_id"), ("financial_transaction", "account_id"),
-               ("financial_account", "student_id"), ("degree_enrollment", "student_id"),
-               ("academic_record", "student_id"), ("student", "user_id"), ("users", "user_id"))
+def student_tables() -> list[tuple[str, str]]:
+    """The tables that hold a student's rows and the column that says whose: those whose
+    foreign key leads to a student, the ledger of the students' accounts, and the users."""
+    own = {child: col for child, col, parent, _ in FOREIGN_KEYS if parent == "student"}
+    ledger = {child: col for child, col, parent, _ in FOREIGN_KEYS if parent in own and col == "account_id"}
+    return sorted({**own, **ledger, "student": "user_id", "users": "user_id"}.items())
 
 
 def erase_students(T, requests: DataFrame) -> Outcome:
     """Delete every row of the requested students (ids must be users with role
-    student; others are refused). The ledger rows of their accounts go too. The
-    outcome carries ``residual_rows``: rows of the student left in any new table
-    (0 when the erasure is complete)."""
-    users = tbl(T, "users")
-    students = users.where(F.col("role") == "student").select(F.col("user_id").alias("student_id"))
+    student; others are refused). The ledger rows of their accounts go too."""
+    students = tbl(T, "users").where(F.col("role") == "student").select(F.col("user_id").alias("student_id"))
     req = requests.select("seq", "student_id")
-    valid = req.join(students, "student_id", "left_semi").select("student_id").distinct()
-    gone_accounts = tbl(T, "financial_account").join(valid, "student_id", "left_semi").select("account_id").distinct()
+    valid = materialize(req.join(students, "student_id", "left_semi").select("student_id").distinct())  # read by every table
     tables: dict[str, DataFrame] = {}
-    for name, key in ERASE_ORDER:
-        df = tbl(T, name)
-        if name == "financial_transaction":
-            tables[name] = df.join(gone_accounts, "account_id", "left_anti")
-        else:
-            tables[name] = df.join(valid.withColumnRenamed("student_id", key), key, "left_anti")
-    left = None
-    for name, key in ERASE_ORDER:
-        if name == "financial_transaction":
-            continue
-        ids = tables[name].select(F.col(key).alias("student_id"))
-        left = ids if left is None else left.unionByName(ids)
-    residual = left.join(valid, "student_id", "left_semi").groupBy("student_id").agg(F.count("*").alias("__res"))
-    is_student = _marker(valid, "_ok")
-    outcome = (req.join(is_student, "student_id", "left").join(residual, "student_id", "left")
-                  .select("seq", "student_id",
-                          F.when(F.coalesce("_ok", F.lit(False)), F.lit("ok")).otherwise(F.lit("not_student")).alias("status"),
-                          F.coalesce("__res", F.lit(0)).cast("long").alias("residual_rows")))
+    for name, key in student_tables():
+        gone = valid
+        if key == "account_id":
+            gone = tbl(T, "financial_account").join(valid, "student_id", "left_semi").select("account_id").distinct()
+        tables[name] = tbl(T, name).join(gone.toDF(key), key, "left_anti")
+    outcome = req.join(_marker(valid, "_ok"), "student_id", "left").select(
+        "seq", "student_id", F.when(F.col("_ok"), F.lit("ok")).otherwise(F.lit("not_student")).alias("status"))
     return Outcome(outcome, tables)

@@ -15,38 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrar.operators.reports import tbl
-from registrar.schema import CLASS_TYPES, COURSE_CODE_MAX_LEN, PRIMARY_KEYS, ROLES, SCHEMAS
-
-# Foreign keys of the DDL: (child table, child column, parent table, parent column).
-FOREIGN_KEYS = (
-    ("student", "user_id", "users", "user_id"),
-    ("instructor", "user_id", "users", "user_id"),
-    ("admin", "user_id", "users", "user_id"),
-    ("academic_record", "student_id", "student", "user_id"),
-    ("financial_account", "student_id", "student", "user_id"),
-    ("course_edition", "course_code", "course", "code"),
-    ("course_edition", "coordinator_id", "instructor", "user_id"),
-    ("class", "edition_id", "course_edition", "edition_id"),
-    ("class_assignment", "class_id", "class", "class_id"),
-    ("class_assignment", "room_id", "classroom", "room_id"),
-    ("degree_enrollment", "student_id", "student", "user_id"),
-    ("degree_enrollment", "degree_id", "degree_program", "degree_id"),
-    ("course_enrollment", "student_id", "student", "user_id"),
-    ("course_enrollment", "edition_id", "course_edition", "edition_id"),
-    ("activity_participation", "student_id", "student", "user_id"),
-    ("activity_participation", "activity_id", "activity", "activity_id"),
-    ("instructor_assignment", "instructor_id", "instructor", "user_id"),
-    ("instructor_assignment", "edition_id", "course_edition", "edition_id"),
-    ("course_prerequisites", "course_code", "course", "code"),
-    ("course_prerequisites", "prerequisite_code", "course", "code"),
-    ("degree_courses", "degree_id", "degree_program", "degree_id"),
-    ("degree_courses", "course_code", "course", "code"),
-    ("financial_transaction", "account_id", "financial_account", "account_id"),
-    ("financial_transaction", "activity_id", "activity", "activity_id"),
-    ("financial_transaction", "degree_id", "degree_program", "degree_id"),
-    ("student_class", "student_id", "student", "user_id"),
-    ("student_class", "class_id", "class", "class_id"),
-)
+from registrar.schema import CLASS_TYPES, COURSE_CODE_MAX_LEN, FOREIGN_KEYS, PRIMARY_KEYS, ROLES, SCHEMAS
 
 # Unique constraints beyond the primary keys.
 UNIQUE = (
@@ -72,7 +41,12 @@ def _domain_rules():
 
 
 def _key_text(cols) -> F.Column:
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in cols])
+    """The key's values joined by ``|``; a backslash or bar inside a value is escaped and a
+    null is ``\\N``, so different keys have different texts."""
+    def part(c):
+        text = F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\\N"))
+    return F.concat_ws("|", *[part(c) for c in cols])
 
 
 def _table_facts(T, name: str, names: list[str]) -> DataFrame | None:
@@ -113,15 +87,18 @@ def audit_constraints(T, tables=None) -> DataFrame:
 
     Rules: ``primary_key`` / ``unique:<cols>`` (key text, number of rows with it),
     ``foreign_key:<col>`` (orphan value, rows), ``not_null:<col>`` (rows with null),
-    ``check:*`` / ``length:*`` (offending value, rows). Tables missing from ``T``
-    are skipped.
+    ``check:*`` / ``length:*`` (offending value, rows), ``missing_table`` (a declared or
+    named table that ``T`` lacks).
 
     Plan, whatever the number of rules: one scan per table emitting facts, one
     aggregation counting each (table, rule, target, value) (partial aggregation
     before the shuffle), then one window over (target, value) on the reduced rows
     telling whether a referenced value exists in its parent.
     """
-    names = list(tables) if tables else [n for n in SCHEMAS if _has(T, n)]
+    asked = list(tables) if tables else list(SCHEMAS)
+    names = [n for n in asked if _has(T, n)]
+    if not names:
+        raise ValueError("none of the tables to audit is there")
     facts = reduce(DataFrame.unionByName, [_table_facts(T, n, names) for n in names])
     counted = (facts.groupBy("table_name", F.col("f.rule").alias("rule"), F.col("f.target").alias("target"),
                              F.col("f.detail").alias("detail"))
@@ -131,7 +108,12 @@ def audit_constraints(T, tables=None) -> DataFrame:
     keep = ((F.col("rule").isin("primary_key") | F.col("rule").startswith("unique:")) & (F.col("n_rows") > 1)) \
         | (F.col("rule").startswith("not_null:") | F.col("rule").startswith("check:") | F.col("rule").startswith("length:")) \
         | (F.col("rule").startswith("foreign_key:") & ~F.coalesce(F.col("resolved"), F.lit(False)))
-    return flagged.where(keep).select("table_name", "rule", "detail", F.col("n_rows").cast("long").alias("n_rows"))
+    out = flagged.where(keep).select("table_name", "rule", "detail", F.col("n_rows").cast("long").alias("n_rows"))
+    lacking = [n for n in asked if n not in names]
+    if lacking:
+        gone = out.sparkSession.createDataFrame([(n, "missing_table", "", 1) for n in lacking], out.schema)
+        out = out.unionByName(gone)
+    return out
 
 
 def _has(T, name: str) -> bool:
@@ -146,10 +128,10 @@ def _has(T, name: str) -> bool:
 
 def inject_faults(T) -> dict[str, DataFrame]:
     """A copy of the core tables with faults of each kind: duplicated enrolment
-    keys (``student_id % 97 = 0``), orphan enrolments (offering + 100000 when
+    keys (``student_id % 97 = 0``), orphan enrolments (the negative offering less 1 when
     ``student_id % 89 = 1``) and bad class types (``class_id % 101 = 0``)."""
     ce = tbl(T, "course_enrollment")
     dup = ce.where(F.col("student_id") % 97 == 0)
-    orphan = ce.where(F.col("student_id") % 89 == 1).withColumn("edition_id", F.col("edition_id") + 100000)
+    orphan = ce.where(F.col("student_id") % 89 == 1).withColumn("edition_id", -F.col("edition_id") - 1)
     cl = tbl(T, "class").withColumn("type", F.when(F.col("class_id") % 101 == 0, F.lit("X")).otherwise(F.col("type")))
     return {"course_enrollment": ce.unionByName(dup).unionByName(orphan), "class": cl}

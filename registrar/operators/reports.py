@@ -49,7 +49,9 @@ def transcript(T, student_ids=None) -> DataFrame:
              .select("student_id", F.col("edition_id").alias("course_edition_id"), "course_name",
                      F.col("year").alias("course_edition_year"), F.col("grade").cast("double").alias("grade"),
                      "evaluation_period", "attendance", "course_code", "coordinator_id", "coordinator_name"))
-    return out.orderBy("student_id", F.col("course_edition_year").desc(), F.col("course_edition_id").desc())
+    # a student's rows together and in order; students in no order, so no global sort
+    return out.repartition("student_id").sortWithinPartitions(
+        "student_id", F.col("course_edition_year").desc(), F.col("course_edition_id").desc())
 
 
 # ------------------------------------------------------------------ W02 offering statistics
@@ -208,12 +210,15 @@ def best_per_period(stats: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ W18 / W19 admission inputs
 
-def passed_courses(T) -> DataFrame:
-    """Distinct (student_id, course_code) with a passing grade."""
+def passed_courses(T, courses: DataFrame | None = None) -> DataFrame:
+    """Distinct (student_id, course_code) with a passing grade, of the given courses
+    (column course_code) or of all."""
     ce = tbl(T, "course_enrollment").select("student_id", "edition_id", "grade").where(passed("grade"))
     ed = tbl(T, "course_edition").select("edition_id", "course_code")
     co = tbl(T, "course").select(F.col("code").alias("course_code"))
-    return ce.join(ed, "edition_id").join(co, "course_code").select("student_id", "course_code").distinct()
+    if courses is not None:  # only these courses matter: reduce before the fact join
+        co = co.join(courses, "course_code", "left_semi")
+    return ce.join(ed.join(co, "course_code"), "edition_id").select("student_id", "course_code").distinct()
 
 
 def missing_prerequisites(T, pairs: DataFrame) -> DataFrame:
@@ -222,7 +227,7 @@ def missing_prerequisites(T, pairs: DataFrame) -> DataFrame:
     pairs = pairs.select("student_id", "course_code").distinct()
     pre = tbl(T, "course_prerequisites").select("course_code", "prerequisite_code")
     need = pairs.join(pre, "course_code")
-    done = passed_courses(T).select("student_id", F.col("course_code").alias("prerequisite_code"))
+    done = passed_courses(T, pre.select(F.col("prerequisite_code").alias("course_code")).distinct()).select("student_id", F.col("course_code").alias("prerequisite_code"))
     missing = need.join(done, ["student_id", "prerequisite_code"], "left_anti")
     agg = missing.groupBy("student_id", "course_code").agg(
         F.count("*").alias("missing_count"), F.array_sort(F.collect_list("prerequisite_code")).alias("missing"))

@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from registrar.operators import admission as A
 from registrar.operators import grading as G
 from registrar.operators import ingest as I
+from registrar.operators import programs as P
 from registrar.operators import quality as Q
 from registrar.operators import reports as R
 from registrar.streaming import balances as SB
 from registrar.streaming import records as SR
+from registrar.schema import SCHEMAS
 from registrar.sources.fixtures import Campus
+from registrar.sources.requests import parse_bodies
 
 TOP_YEAR = 2000
 TOP_N = 3
@@ -49,6 +52,13 @@ def _transcript(c: Campus) -> DataFrame:
     return R.transcript(c)
 
 
+@query("transcript_chosen")
+def _transcript_chosen(c: Campus) -> DataFrame:
+    """W01 for the students with ``id % 100 = 1``, given as a table."""
+    chosen = c.student.select("user_id").where(F.col("user_id") % 100 == 1)
+    return R.transcript(c, chosen)
+
+
 def _offering(c: Campus, mode: str) -> DataFrame:
     out = R.offering_stats(c, None, mode).withColumn("instructors", R.as_array_text("instructors"))
     return out.drop("degree_id") if mode == "nonempty" else out
@@ -60,6 +70,12 @@ def _offering_stats(c: Campus) -> DataFrame:
     return _offering(c, "correct")
 
 
+@query("offering_stats_degree")
+def _offering_stats_degree(c: Campus) -> DataFrame:
+    """W02 of one degree."""
+    return R.offering_stats(c, 2).withColumn("instructors", R.as_array_text("instructors"))
+
+
 @query("offering_stats_fanout")
 def _offering_stats_fanout(c: Campus) -> DataFrame:
     """W02 with the reference's instructor fan-out in the counts."""
@@ -78,6 +94,12 @@ def _top_n(c: Campus) -> DataFrame:
     return R.top_n_by_average(c, TOP_YEAR, TOP_N)
 
 
+@query("top_overall")
+def _top_overall(c: Campus) -> DataFrame:
+    """Best 3 averages over all years."""
+    return R.top_n_by_average(c, None, TOP_N)
+
+
 @query("nest_grades")
 def _nest_grades(c: Campus) -> DataFrame:
     """The top-3 students' grade lists, one row per element."""
@@ -136,10 +158,25 @@ def _admit(c: Campus) -> DataFrame:
 
 @query("assign_classes")
 def _assign_classes(c: Campus) -> DataFrame:
-    """(student, class) rows added by the accepted admissions."""
-    res = A.admit_to_offering(c, c.admission_request)
-    _, pairs = A.class_check(c, c.admission_request)
-    return pairs.join(res.accepted.select("seq"), "seq", "left_semi").select("student_id", "class_id").distinct()
+    """(student, class) rows of the requests whose classes all belong to the offering."""
+    return A.assign_classes(c, c.admission_request)
+
+
+@query("student_class_after_admission")
+def _student_class_after(c: Campus) -> DataFrame:
+    """The table of students' classes after the admissions."""
+    return A.admit_to_offering(c, c.admission_request).tables["student_class"]
+
+
+def _enrolment_out(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select("student_id", "edition_id", F.col("grade").cast("double").alias("grade"), *cols)
+
+
+@query("enrollment_after_admission")
+def _enrollment_after(c: Campus) -> DataFrame:
+    """The enrolments after the admissions."""
+    out = A.admit_to_offering(c, c.admission_request).tables["course_enrollment"]
+    return _enrolment_out(out, "attendance", "evaluation_period")
 
 
 # ---------------------------------------------------------------- ingest
@@ -150,11 +187,39 @@ def _register_users(c: Campus) -> DataFrame:
     return I.register_users(c, c.registration, "student").outcome
 
 
+def _registered(role: str) -> None:
+    @query(f"users_after_{role}s")
+    def users_after(c: Campus) -> DataFrame:
+        """The users after registrations of a role."""
+        return I.register_users(c, c.registration, role).tables["users"]
+
+    @query(f"{role}s_registered")
+    def registered(c: Campus) -> DataFrame:
+        """The role's own table after registrations."""
+        own = I.register_users(c, c.registration, role).tables[role]
+        coordinator = F.col("is_coordinator") if role == "instructor" else F.lit(None).cast("boolean")
+        return own.select("user_id", coordinator.alias("is_coordinator"))
+
+
+for _role in ("student", "instructor", "admin"):
+    _registered(_role)
+
+
+def _absent(c: Campus):
+    rows = c.registration.select("seq", "username", "email", F.lit("student").alias("role"))
+    return I.insert_if_absent(c.users, rows, ["username"], "seq", id_col="user_id")
+
+
+@query("insert_if_absent_outcome")
+def _insert_if_absent_outcome(c: Campus) -> DataFrame:
+    """What became of each registration inserted by username."""
+    return _absent(c).outcome
+
+
 @query("insert_if_absent")
 def _insert_if_absent(c: Campus) -> DataFrame:
     """Registrations inserted into users keyed by username, conflicts ignored."""
-    rows = c.registration.select("seq", "username", "email", F.lit("student").alias("role"))
-    return I.insert_if_absent(c.users, rows, ["username"], "seq", id_col="user_id")
+    return _absent(c).tables["target"]
 
 
 @query("enroll_degree")
@@ -185,7 +250,7 @@ def _activity_balances(c: Campus) -> DataFrame:
 
 @query("erase_students")
 def _erase_students(c: Campus) -> DataFrame:
-    """Erasure requests with the residual-row check."""
+    """Erasure requests."""
     return I.erase_students(c, c.erasure_request).outcome
 
 
@@ -194,7 +259,7 @@ def _erase_students_tables(c: Campus) -> DataFrame:
     """Row count of every table after the erasure."""
     res = I.erase_students(c, c.erasure_request)
     parts = [res.tables[name].agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
-             for name, _ in I.ERASE_ORDER]
+             for name, _ in I.student_tables()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -213,6 +278,21 @@ def _submit_grades(c: Campus) -> DataFrame:
     return _graded(c).outcome
 
 
+@query("submit_grades_json")
+def _submit_grades_json(c: Campus) -> DataFrame:
+    """W15 from JSON bodies: a batch's rows as one body in list order, parsed again."""
+    lists = c.grade_row.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("pos", "pair"))).alias("rows"))
+    body = F.to_json(F.struct("period", F.transform("rows", lambda r: r["pair"]).alias("grades")))
+    bodies = c.grade_batch.join(lists, "batch_id").select("batch_id", "edition_id", "submitter_id", body.alias("body"))
+    return G.submit_grades(c, *G.split_batches(parse_bodies(bodies, "grade_batch"))).outcome
+
+
+@query("enrollment_after_grades")
+def _enrollment_after_grades(c: Campus) -> DataFrame:
+    """The enrolments after the accepted batches."""
+    return _enrolment_out(_graded(c).tables["course_enrollment"], "evaluation_period")
+
+
 def _record_out(df: DataFrame) -> DataFrame:
     return df.select("record_id", "student_id", F.col("average").cast("double").alias("average"),
                      "approved_courses", "degree_id", "enrollment_date")
@@ -239,10 +319,47 @@ def _academic_record_replay(c: Campus) -> DataFrame:
 
 # ---------------------------------------------------------------- audit
 
-AUDITED = ("users", "student", "instructor", "degree_program", "financial_account", "course", "course_edition",
-           "class", "activity", "degree_enrollment", "course_enrollment", "activity_participation",
-           "instructor_assignment", "course_prerequisites", "degree_courses", "financial_transaction",
-           "student_class")
+AUDITED = tuple(SCHEMAS)
+
+
+# ---------------------------------------------------------------- programmes, refunds, ledger
+
+@query("activity_refunds")
+def _activity_refunds(c: Campus) -> DataFrame:
+    """Cancelled activities."""
+    return P.cancel_activities(c, c.cancellation, AS_OF).outcome
+
+
+@query("refund_balances")
+def _refund_balances(c: Campus) -> DataFrame:
+    """Accounts after the refunds."""
+    acc = P.cancel_activities(c, c.cancellation, AS_OF).tables["financial_account"]
+    return acc.select("account_id", "student_id", F.col("balance").cast("double").alias("balance"))
+
+
+@query("charge_ledger")
+def _charge_ledger(c: Campus) -> DataFrame:
+    """Every charge with the balance after it."""
+    out = P.charge_ledger(c.charge)
+    return out.withColumn("amount", F.col("amount").cast("double")).withColumn("balance_after", F.col("balance_after").cast("double"))
+
+
+@query("program_restriction")
+def _program_restriction(c: Campus) -> DataFrame:
+    """Enrolments inside and outside the student's programmes."""
+    return P.program_restriction(c, c.course_enrollment)
+
+
+@query("degree_progress")
+def _degree_progress(c: Campus) -> DataFrame:
+    """Credits passed and required per degree enrolment."""
+    return P.degree_progress(c)
+
+
+@query("passed_last_12_months")
+def _passed_last_12_months(c: Campus) -> DataFrame:
+    """P5: passes per course in the 12 months to 2001-12-31."""
+    return P.most_passed(c, AS_OF)
 
 
 @query("audit_constraints")

@@ -8,10 +8,12 @@ Keys are ``long`` throughout (keys taken from test data are 64-bit).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import types as T
 
 # Fixed values of the domain (must equal the reference's for right results).
-PASS_MARK = 9.5          # a grade >= 9.5 on the 0-20 scale passes
+PASS_MARK = Decimal("9.50")  # a grade >= 9.5 on the 0-20 scale passes; of the grades' type, so the filter is pushed down
 GRADE_MIN = 0.0
 GRADE_MAX = 20.0
 ROLES = ("student", "instructor", "admin")
@@ -73,7 +75,7 @@ REQUEST_SCHEMAS: dict[str, T.StructType] = {
                              ("classes", T.ArrayType(L), True)),
     "grade_batch": _st(("batch_id", L, False), ("edition_id", L, True), ("submitter_id", L, True),
                        ("period", S, True)),
-    "grade_row": _st(("batch_id", L, False), ("pos", L, False), ("pair", T.ArrayType(T.DoubleType()), True)),
+    "grade_row": _st(("batch_id", L, False), ("pos", L, False), ("pair", T.ArrayType(S), True)),
     "erasure_request": _st(("seq", L, False), ("student_id", L, True)),
     "charge": _st(("charge_id", L, False), ("student_id", L, False), ("amount", MONEY_TYPE, False),
                   ("kind", S, False), ("charge_date", D, True)),
@@ -96,6 +98,38 @@ PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
+# Foreign keys of the DDL: (child table, child column, parent table, parent column).
+FOREIGN_KEYS = (
+    ("student", "user_id", "users", "user_id"),
+    ("instructor", "user_id", "users", "user_id"),
+    ("admin", "user_id", "users", "user_id"),
+    ("academic_record", "student_id", "student", "user_id"),
+    ("financial_account", "student_id", "student", "user_id"),
+    ("course_edition", "course_code", "course", "code"),
+    ("course_edition", "coordinator_id", "instructor", "user_id"),
+    ("class", "edition_id", "course_edition", "edition_id"),
+    ("class_assignment", "class_id", "class", "class_id"),
+    ("class_assignment", "room_id", "classroom", "room_id"),
+    ("degree_enrollment", "student_id", "student", "user_id"),
+    ("degree_enrollment", "degree_id", "degree_program", "degree_id"),
+    ("course_enrollment", "student_id", "student", "user_id"),
+    ("course_enrollment", "edition_id", "course_edition", "edition_id"),
+    ("activity_participation", "student_id", "student", "user_id"),
+    ("activity_participation", "activity_id", "activity", "activity_id"),
+    ("instructor_assignment", "instructor_id", "instructor", "user_id"),
+    ("instructor_assignment", "edition_id", "course_edition", "edition_id"),
+    ("course_prerequisites", "course_code", "course", "code"),
+    ("course_prerequisites", "prerequisite_code", "course", "code"),
+    ("degree_courses", "degree_id", "degree_program", "degree_id"),
+    ("degree_courses", "course_code", "course", "code"),
+    ("financial_transaction", "account_id", "financial_account", "account_id"),
+    ("financial_transaction", "activity_id", "activity", "activity_id"),
+    ("financial_transaction", "degree_id", "degree_program", "degree_id"),
+    ("student_class", "student_id", "student", "user_id"),
+    ("student_class", "class_id", "class", "class_id"),
+)
+
+
 def empty(spark, name: str):
     """An empty table with the declared schema (initial state of a derived table)."""
     schema = SCHEMAS.get(name) or REQUEST_SCHEMAS[name]

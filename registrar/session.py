@@ -52,28 +52,36 @@ def build_session(master: str | None = None, app: str = "registrar",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, streaming state and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; it is read from the session
-    and only set here when unset (local tests), to a fresh scratch folder.
+    The cluster names it in ``spark.checkpoint.dir``; it is read from the session. Only
+    a local session may do without: it gets a scratch folder that goes with the JVM. On a
+    cluster an unset folder is an error, for executors would write to their own disks.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
-        sc = None
-    if not path and sc is not None:
-        path = sc.getCheckpointDir()
+    path, sc = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
+    path = path or sc.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="registrar-ckpt-", dir="/tmp")
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # noqa: BLE001 - static conf on some deployments
-            pass
-    if sc is not None and not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="registrar-ckpt-")
+        _delete_on_exit(spark, path)
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
+    try:
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # noqa: BLE001 - a static setting in this deployment; sc has it
+        pass
     return path.rstrip("/")
 
 
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Let the file system delete the folder when the driver's JVM ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/registrar/{name}/{uuid.uuid4().hex}"
+    """A new, unique folder under the shared checkpoint root, deleted when the driver ends."""
+    path = f"{checkpoint_root(spark)}/registrar/{name}/{uuid.uuid4().hex}"
+    spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(
+        spark._jvm.org.apache.hadoop.fs.Path(path))
+    _delete_on_exit(spark, path)
+    return f"{path}/data"

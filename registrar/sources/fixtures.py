@@ -5,7 +5,8 @@ the TPC-H-like tables and the ``events`` table by a fixed rule (FIXTURES.md §3)
 These rules only shape rows into the domain schema; the operators never rely on
 them. ``plans/oracle.py`` repeats every rule in SQL for the independent check.
 
-Base: ``enr0`` = lineitem ⋈ orders, course number ``cno = l_partkey % 150``,
+Every row of every table takes part, whatever the scale. Base: ``enr0`` = lineitem ⋈
+orders, course number ``cno = l_partkey``,
 ``year = year(o_orderdate)``, ``edition_id = cno*10 + (year - 1995)``,
 ``student_id = o_custkey``.
 """
@@ -16,11 +17,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from registrar.functions.columns import course_code, to_grade, to_money
-from registrar.schema import empty
 from registrar.sources.tables import Source
 
 # Fixed parameters of the derivation.
-COURSES = 150
 FIRST_YEAR = 1995
 INSTRUCTOR_BASE = 1_000_000_000
 
@@ -50,11 +49,11 @@ class Campus:
 def _enr0(c: Campus) -> DataFrame:
     li = c.src.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
     o = c.src.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    cno = F.col("l_partkey") % COURSES
+    cno = F.col("l_partkey")
     yr = F.year("o_orderdate").cast("long")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
               .select("l_orderkey", "l_partkey", "l_suppkey", F.col("l_linenumber").cast("long").alias("l_linenumber"),
-                      "l_quantity", "l_returnflag",
+                      "l_quantity", "l_returnflag", F.to_date("o_orderdate").alias("ordered_on"),
                       cno.alias("cno"), yr.alias("yr"),
                       (cno * 10 + (yr - FIRST_YEAR)).alias("edition_id"),
                       F.col("o_custkey").alias("student_id")))
@@ -70,7 +69,7 @@ def _student(c: Campus) -> DataFrame:
 
 
 def _instructor_ids(c: Campus) -> DataFrame:
-    s = c.src.supplier.select("s_suppkey").where(F.col("s_suppkey") % 10 != 0)
+    s = c.src.supplier.select("s_suppkey")
     return s.select((F.col("s_suppkey") + INSTRUCTOR_BASE).alias("user_id"), "s_suppkey")
 
 
@@ -79,11 +78,14 @@ def _users(c: Campus) -> DataFrame:
     students = students.select("user_id", "username",
                                F.concat(F.lit("s"), F.col("user_id").cast("string"), F.lit("@uni.example")).alias("email"),
                                F.lit("student").alias("role"))
-    sup = c.src.supplier.select("s_suppkey", "s_name").where(F.col("s_suppkey") % 10 != 0)
+    sup = c.src.supplier.select("s_suppkey", "s_name")
     instr = sup.select((F.col("s_suppkey") + INSTRUCTOR_BASE).alias("user_id"), F.col("s_name").alias("username"),
                        F.concat(F.lit("i"), F.col("s_suppkey").cast("string"), F.lit("@uni.example")).alias("email"),
                        F.lit("instructor").alias("role"))
-    return students.unionByName(instr)
+    admins = c.src.nation.select((F.col("n_nationkey") + 3 * INSTRUCTOR_BASE).alias("user_id"),
+                                 F.concat(F.lit("admin-"), F.col("n_name")).alias("username"),
+                                 F.lit(None).cast("string").alias("email"), F.lit("admin").alias("role"))
+    return students.unionByName(instr).unionByName(admins)
 
 
 def _instructor(c: Campus) -> DataFrame:
@@ -91,21 +93,23 @@ def _instructor(c: Campus) -> DataFrame:
 
 
 def _admin(c: Campus) -> DataFrame:
-    return empty(c.spark, "admin")
+    return c.src.nation.select((F.col("n_nationkey") + 3 * INSTRUCTOR_BASE).alias("user_id"))
 
 
 def _course(c: Campus) -> DataFrame:
-    p = c.src.part.select("p_partkey", "p_name").where(F.col("p_partkey") < COURSES)
+    p = c.src.part.select("p_partkey", "p_name")
     return p.select(course_code("p_partkey").alias("code"), F.col("p_name").alias("name"),
                     (F.lit(3) + F.col("p_partkey") % 10).cast("long").alias("credits"))
 
 
 def _course_edition(c: Campus) -> DataFrame:
+    # every tenth course's coordinator has no instructor row
     g = c.enr0.groupBy("edition_id", "cno", "yr").agg(F.min("l_suppkey").alias("min_supp"))
+    coordinator = F.col("min_supp") + INSTRUCTOR_BASE + F.when(F.col("cno") % 10 == 9, INSTRUCTOR_BASE // 2).otherwise(0)
     return g.select("edition_id", course_code("cno").alias("course_code"), F.col("yr").alias("year"),
-                    (F.lit(20) + F.col("cno") % 60).cast("long").alias("capacity"),
+                    (F.lit(2) + F.col("cno") % 8).cast("long").alias("capacity"),
                     F.lit(None).cast("string").alias("schedule"),
-                    (F.col("min_supp") + INSTRUCTOR_BASE).alias("coordinator_id"))
+                    coordinator.cast("long").alias("coordinator_id"))
 
 
 def _course_enrollment(c: Campus) -> DataFrame:
@@ -120,8 +124,7 @@ def _course_enrollment(c: Campus) -> DataFrame:
 
 
 def _instructor_assignment(c: Campus) -> DataFrame:
-    ia = (c.enr0.where(F.col("l_linenumber") == 1)
-                .select((F.col("l_suppkey") + INSTRUCTOR_BASE).alias("instructor_id"), "edition_id").distinct())
+    ia = c.enr0.select((F.col("l_suppkey") + INSTRUCTOR_BASE).alias("instructor_id"), "edition_id").distinct()
     ed = c.course_edition.select("edition_id", "coordinator_id")
     return (ia.join(ed, "edition_id")
               .select("instructor_id", "edition_id", (F.col("instructor_id") == F.col("coordinator_id")).alias("is_coordinator")))
@@ -134,6 +137,14 @@ def _degree_program(c: Campus) -> DataFrame:
     return ranked.select("degree_id", "name", to_money(F.lit(4000) + F.lit(500) * F.col("degree_id")).alias("tuition_fee"))
 
 
+def _n_degrees(c: Campus):
+    return c.src.customer.select(F.count_distinct("c_mktsegment")).scalar()
+
+
+def _n_activities(c: Campus):
+    return c.src.events.select(F.count_distinct("event_type")).scalar()
+
+
 def _degree_enrollment(c: Campus) -> DataFrame:
     first = (c.src.orders.groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("first_order")))
     cu = c.src.customer.select("c_custkey", "c_mktsegment")
@@ -142,20 +153,21 @@ def _degree_enrollment(c: Campus) -> DataFrame:
              .select(F.col("c_custkey").alias("student_id"), "degree_id",
                      F.coalesce("first_order", F.lit("1995-01-01").cast("date")).alias("enrollment_date")))
     second = (own.where(F.col("student_id") % 10 == 0)
-                 .select("student_id", (F.col("degree_id") % 5 + 1).alias("degree_id"), "enrollment_date"))
+                 .select("student_id", (F.col("degree_id") % _n_degrees(c) + 1).alias("degree_id"), "enrollment_date"))
     return own.unionByName(second)
 
 
 def _degree_courses(c: Campus) -> DataFrame:
-    cno = c.src.part.select(F.col("p_partkey").alias("cno")).where(F.col("cno") < COURSES)
-    first = cno.select((F.col("cno") % 5 + 1).alias("degree_id"), course_code("cno").alias("course_code"))
-    extra = cno.where(F.col("cno") % 7 == 0).select(((F.col("cno") + 2) % 5 + 1).alias("degree_id"),
+    cno = c.src.part.select(F.col("p_partkey").alias("cno"))
+    n = _n_degrees(c)
+    first = cno.select((F.col("cno") % n + 1).alias("degree_id"), course_code("cno").alias("course_code"))
+    extra = cno.where(F.col("cno") % 7 == 0).select(((F.col("cno") + 2) % n + 1).alias("degree_id"),
                                                     course_code("cno").alias("course_code"))
     return first.unionByName(extra)
 
 
 def _course_prerequisites(c: Campus) -> DataFrame:
-    cno = c.src.part.select(F.col("p_partkey").alias("cno")).where(F.col("cno") < COURSES)
+    cno = c.src.part.select(F.col("p_partkey").alias("cno"))
     return cno.where(F.col("cno") % 30 == 1).select(course_code("cno").alias("course_code"),
                                                     course_code(F.col("cno") - 1).alias("prerequisite_code"))
 
@@ -182,7 +194,7 @@ def _activity_rank(c: Campus) -> DataFrame:
 
 
 def _activity_participation(c: Campus) -> DataFrame:
-    ev = c.src.events.select("user_id", "event_type", "ts", "value").where(F.col("value") > 150)
+    ev = c.src.events.select("user_id", "event_type", "ts")
     return (ev.groupBy("user_id", "event_type").agg(F.min("ts").alias("first"))
               .select(F.col("user_id").alias("student_id"), F.col("event_type").alias("activity_id"),
                       F.to_date("first").alias("registration_date")))
@@ -198,14 +210,17 @@ def _financial_account(c: Campus) -> DataFrame:
 
 
 def _charge(c: Campus) -> DataFrame:
-    """Charges: one tuition row per degree enrolment, one fee row per activity participation."""
+    """Charges: one tuition row per degree enrolment, one fee row per activity
+    participation. A student's ids are as many as there are degrees and activities."""
+    n_degrees = _n_degrees(c)
+    step = F.col("student_id") * (n_degrees + _n_activities(c))
     de = c.degree_enrollment.join(c.degree_program.select("degree_id", "tuition_fee"), "degree_id")
-    tuition = de.select((F.col("student_id") * 16 + F.col("degree_id")).alias("charge_id"), "student_id",
+    tuition = de.select((step + F.col("degree_id") - 1).alias("charge_id"), "student_id",
                         F.col("tuition_fee").alias("amount"), F.lit("tuition").alias("kind"),
                         F.col("enrollment_date").alias("charge_date"))
     ap = (c.activity_participation.join(c.activity.select("activity_id", "fee"), "activity_id")
            .join(c.activity_rank, "activity_id"))
-    fees = ap.select((F.col("student_id") * 16 + 8 + F.col("rk")).alias("charge_id"), "student_id",
+    fees = ap.select((step + n_degrees + F.col("rk") - 1).alias("charge_id"), "student_id",
                      F.col("fee").alias("amount"), F.lit("activity").alias("kind"),
                      F.col("registration_date").alias("charge_date"))
     return tuition.unionByName(fees)
@@ -228,17 +243,57 @@ def _student_class(c: Campus) -> DataFrame:
 
 
 def _academic_record(c: Campus) -> DataFrame:
-    return empty(c.spark, "academic_record")
+    """An old record of every third student, opened before any grade was submitted."""
+    de = c.degree_enrollment.where(F.col("student_id") % 3 == 0).groupBy("student_id").agg(F.min("degree_id").alias("degree_id"))
+    return de.select(F.col("student_id").alias("record_id"), "student_id", to_grade(F.lit(10)).alias("average"),
+                     F.lit(1).cast("long").alias("approved_courses"), F.lit(None).cast("long").alias("current_semester"),
+                     "degree_id", F.lit("1995-01-01").cast("date").alias("enrollment_date"))
+
+
+def _grade_date(c: Campus) -> DataFrame:
+    """When an enrolment got its grade: the last order date of its graded rows."""
+    g = c.enr0.where(F.col("l_returnflag") != "N")
+    return g.groupBy("student_id", "edition_id").agg(F.max("ordered_on").alias("graded_on"))
+
+
+def _cancellation(c: Campus) -> DataFrame:
+    """Events with ``event_id % 6 = 5`` cancel their activity; those with ``% 12 = 11`` for a
+    student seven ids on, who may not take part."""
+    ev = c.src.events.select("event_id", "user_id", "event_type").where(F.col("event_id") % 6 == 5)
+    return ev.select(F.col("event_id").alias("seq"), (F.col("user_id") + F.when(F.col("event_id") % 12 == 11, 7).otherwise(0)).alias("student_id"),
+                     F.col("event_type").alias("activity_id"))
+
+
+def _classroom(c: Campus) -> DataFrame:
+    return c.src.nation.select(F.col("n_nationkey").alias("room_id"), F.col("n_name").alias("building"),
+                               F.lit(30).cast("long").alias("capacity"), F.lit("campus").alias("location"))
+
+
+def _class_assignment(c: Campus) -> DataFrame:
+    """Every class in a room; five of the thirty rooms named don't exist."""
+    cl = getattr(c, "class")
+    return cl.select("class_id", (F.col("class_id") % 30).alias("room_id"))
 
 
 # ---------------------------------------------------------------- request tables
 
 def _admission_request(c: Campus) -> DataFrame:
-    """'signup' events in arrival order; offering ``(event_id*7 % 155)*10 + 6`` (course
-    numbers above 149 do not exist); no classes when ``event_id % 13 = 0``; a class of
-    the next offering when ``event_id % 11 = 0``."""
+    """'signup' events in arrival order; course ``event_id*7 % (n + n div 30 + 1)`` of the
+    n courses (larger numbers do not exist) in the year ``event_id % 7``; when
+    ``event_id % 9 = 0`` a past enrolment of the order ``event_id`` asked for again; an
+    unknown student when ``event_id % 31 = 0``; no classes when ``event_id % 13 = 0``; a
+    class of the next offering when ``event_id % 11 = 0``."""
     ev = c.src.events.select("event_id", "user_id", "event_type").where(F.col("event_type") == "signup")
-    ed = (F.col("event_id") * 7 % 155) * 10 + 6
+    past = c.enr0.groupBy(F.col("l_orderkey").alias("event_id")).agg(
+        F.min("edition_id").alias("past_edition"), F.min("student_id").alias("past_student"))
+    n = c.src.part.select(F.count("*")).scalar()
+    again = (F.col("event_id") % 9 == 0) & F.col("past_edition").isNotNull()
+    asked = (F.col("event_id") * 7 % (n + F.floor(n / 30) + 1)) * 10 + F.col("event_id") % 7
+    student = (F.when(F.col("event_id") % 31 == 0, F.col("user_id") + 2 * INSTRUCTOR_BASE)
+                .when(again, F.col("past_student")).otherwise(F.col("user_id")))
+    ev = ev.join(past, "event_id", "left").select("event_id", student.alias("user_id"),
+                                                  F.when(again, F.col("past_edition")).otherwise(asked).cast("long").alias("ed"))
+    ed = F.col("ed")
     classes = (F.when(F.col("event_id") % 13 == 0, F.array().cast("array<bigint>"))
                 .when(F.col("event_id") % 11 == 0, F.array(ed * 2, ed * 2 + 3))
                 .otherwise(F.array(ed * 2, ed * 2 + 1)))
@@ -247,20 +302,20 @@ def _admission_request(c: Campus) -> DataFrame:
 
 
 def _degree_request(c: Campus) -> DataFrame:
-    """'click' events: degree ``event_id % 7`` (0 and 6 do not exist), no date when
+    """'click' events: degree ``event_id % (n + 2)`` of the n degrees (0 and n + 1 do not exist), no date when
     ``event_id % 19 = 0``, an unknown student when ``event_id % 23 = 0``."""
     ev = c.src.events.select("event_id", "user_id", "ts", "event_type").where(F.col("event_type") == "click")
     student = F.when(F.col("event_id") % 23 == 0, F.col("user_id") + 2 * INSTRUCTOR_BASE).otherwise(F.col("user_id"))
     return ev.select(F.col("event_id").alias("seq"), student.alias("student_id"),
-                     (F.col("event_id") % 7).alias("degree_id"),
+                     (F.col("event_id") % (_n_degrees(c) + 2)).alias("degree_id"),
                      F.when(F.col("event_id") % 19 != 0, F.to_date("ts")).alias("date"))
 
 
 def _activity_request(c: Campus) -> DataFrame:
     ev = (c.src.events.select("event_id", "user_id", "event_type").where(F.col("event_type") == "purchase")
-           .select("event_id", "user_id", (F.col("event_id") % 6).alias("rk")))
+           .select("event_id", "user_id", (F.col("event_id") % (_n_activities(c) + 1)).alias("rk")))
     j = ev.join(c.activity_rank, "rk", "left")
-    return j.select(F.col("event_id").alias("seq"), (F.col("user_id") * 2).alias("student_id"),
+    return j.select(F.col("event_id").alias("seq"), (F.col("user_id") * 13).alias("student_id"),
                     F.coalesce("activity_id", F.concat(F.lit("unknown-"), F.col("rk").cast("string"))).alias("activity_id"))
 
 
@@ -280,8 +335,8 @@ def _registration(c: Campus) -> DataFrame:
 def _grade_batch(c: Campus) -> DataFrame:
     """One batch per (offering, line number): submitter is the coordinator except for
     offerings with ``edition_id % 20 = 0``; period from the line number; no period
-    when ``edition_id % 50 = 6``; the header names a missing offering (+100000)
-    when ``edition_id % 50 = 3``."""
+    when ``edition_id % 50 = 6``; the header names a missing offering (the negative id
+    less 1) when ``edition_id % 50 = 3``."""
     b = c.enr0.select((F.col("edition_id") * 100 + F.col("l_linenumber")).alias("batch_id"),
                       "edition_id", "l_linenumber").distinct()
     ed = c.course_edition.select("edition_id", "coordinator_id")
@@ -289,25 +344,24 @@ def _grade_batch(c: Campus) -> DataFrame:
     submitter = F.when(F.col("edition_id") % 20 == 0, F.col("coordinator_id") + 1).otherwise(F.col("coordinator_id"))
     period = (F.when(F.col("edition_id") % 50 == 6, F.lit(None).cast("string"))
                .when(F.col("l_linenumber") % 2 == 1, F.lit("Normal")).otherwise(F.lit("Recurso")))
-    named = F.when(F.col("edition_id") % 50 == 3, F.col("edition_id") + 100000).otherwise(F.col("edition_id"))
+    named = F.when(F.col("edition_id") % 50 == 3, -F.col("edition_id") - 1).otherwise(F.col("edition_id"))
     return j.select("batch_id", named.alias("edition_id"), submitter.alias("submitter_id"), period.alias("period"))
 
 
 def _grade_row(c: Campus) -> DataFrame:
-    """Grade pairs [student, grade] at position
-    ``l_orderkey*2^31 + l_partkey*2^16 + l_suppkey*2^6 + l_quantity`` (unique within a
-    batch: (order, part, supplier, line, quantity) is unique in the test data, and
-    part keys < 2^15, supplier keys < 2^10, quantities < 2^6);
-    grade 25 when ``l_orderkey % 97 = 0``, student -1 when ``l_orderkey % 89 = 0``,
-    a malformed 3-element entry when ``l_orderkey % 83 = 0``."""
+    """Grade pairs [student, grade] as texts; position: the row's place in its batch by
+    (order, part, supplier, quantity, return flag). Grade 25 when ``l_orderkey % 97 = 0``, not a
+    number when ``l_orderkey % 79 = 0``, student -1 when ``l_orderkey % 89 = 0``, a malformed
+    3-element entry when ``l_orderkey % 83 = 0``."""
     e = c.enr0
-    student = F.when(e.l_orderkey % 89 == 0, F.lit(-1)).otherwise(F.col("student_id")).cast("double")
-    grade = F.when(e.l_orderkey % 97 == 0, F.lit(25.0)).otherwise(F.col("l_quantity") * F.lit(0.4))
-    pair = F.when(e.l_orderkey % 83 == 0, F.array(student, grade, F.lit(0.0))).otherwise(F.array(student, grade))
-    return e.select((F.col("edition_id") * 100 + F.col("l_linenumber")).alias("batch_id"),
-                    (F.col("l_orderkey") * (1 << 31) + F.col("l_partkey") * (1 << 16) + F.col("l_suppkey") * (1 << 6)
-                     + F.col("l_quantity").cast("long")).alias("pos"),
-                    pair.alias("pair"))
+    student = F.when(e.l_orderkey % 89 == 0, F.lit(-1)).otherwise(F.col("student_id")).cast("string")
+    grade = (F.when(e.l_orderkey % 97 == 0, F.lit("25")).when(e.l_orderkey % 79 == 0, F.lit("x"))
+              .otherwise((F.col("l_quantity") * F.lit(0.4)).cast("string")))
+    pair = F.when(e.l_orderkey % 83 == 0, F.array(student, grade, F.lit("0"))).otherwise(F.array(student, grade))
+    # a batch is one submitted list; its rows are numbered as a list is
+    w = Window.partitionBy("batch_id").orderBy("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+    return (e.withColumn("batch_id", F.col("edition_id") * 100 + F.col("l_linenumber"))
+             .select("batch_id", (F.row_number().over(w) - 1).cast("long").alias("pos"), pair.alias("pair")))
 
 
 def _erasure_request(c: Campus) -> DataFrame:
@@ -330,6 +384,7 @@ _BUILDERS = {
     "activity_rank": _activity_rank, "activity_participation": _activity_participation,
     "financial_account": _financial_account, "charge": _charge, "financial_transaction": _financial_transaction,
     "student_class": _student_class, "academic_record": _academic_record,
+    "grade_date": _grade_date, "cancellation": _cancellation, "classroom": _classroom, "class_assignment": _class_assignment,
     "admission_request": _admission_request, "degree_request": _degree_request,
     "activity_request": _activity_request, "registration": _registration, "grade_batch": _grade_batch,
     "grade_row": _grade_row, "erasure_request": _erasure_request,

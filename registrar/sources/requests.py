@@ -15,7 +15,7 @@ from registrar.schema import REQUEST_SCHEMAS
 
 # Nested body of a grade submission: {"period": ..., "grades": [[student, grade], ...]}
 GRADE_BODY = T.StructType([T.StructField("period", T.StringType()),
-                           T.StructField("grades", T.ArrayType(T.ArrayType(T.DoubleType())))])
+                           T.StructField("grades", T.ArrayType(T.ArrayType(T.StringType())))])
 
 _BODY_FIELDS = {
     "registration": ("username", "email", "password", "is_coordinator"),

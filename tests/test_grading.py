@@ -20,8 +20,10 @@ def _enrol(spark):
 
 
 def _nested(spark, rows):
+    text = lambda v: str(int(v)) if isinstance(v, float) and v.is_integer() else str(v)
+    rows = [(*r[:4], [[text(v) for v in pair] for pair in r[4]]) for r in rows]
     return spark.createDataFrame(rows, "batch_id long, edition_id long, submitter_id long, period string, "
-                                       "grades array<array<double>>")
+                                       "grades array<array<string>>")
 
 
 def test_batches_whole_rejection_first_position(spark):
@@ -37,13 +39,14 @@ def test_batches_whole_rejection_first_position(spark):
         (8, 101, 11, "Normal", [[3.0, 11.0], [3.0, 13.0]]),                        # last write wins
         (9, 101, 11, "Normal", [[1e30, 11.0]]),                                   # id out of range
         (10, 101, 11, "Normal", [[3.5, 11.0]]),                                   # not an integer id
+        (11, 101, 11, "Normal", [[3, "x"]]),                                       # not a number
     ])
     headers, rows = split_batches(nested)
     res = submit_grades(T, headers, rows)
     st = {r.batch_id: (r.status, r.bad_pos) for r in res.outcome.collect()}
     assert st == {1: ("ok", None), 2: ("invalid_grade", 1), 3: ("not_coordinator", None),
                   4: ("missing_fields", None), 5: ("no_edition", None), 6: ("invalid_grade", 0),
-                  7: ("not_enrolled", 0), 8: ("ok", None), 9: ("not_enrolled", 0), 10: ("not_enrolled", 0)}
+                  7: ("not_enrolled", 0), 8: ("ok", None), 9: ("not_enrolled", 0), 10: ("not_enrolled", 0), 11: ("invalid_grade", 0)}
     ce = {(r.student_id, r.edition_id): (r.grade, r.evaluation_period)
           for r in res.tables["course_enrollment"].collect()}
     assert ce[(1, 100)] == (D("12.00"), "Normal")
@@ -51,7 +54,8 @@ def test_batches_whole_rejection_first_position(spark):
     assert ce[(3, 101)] == (D("13.00"), "Normal")
     rec = {r.student_id: (r.average, r.approved_courses, r.degree_id)
            for r in refresh_academic_record(dict(T, course_enrollment=res.tables["course_enrollment"])).collect()}
-    assert rec == {1: (D("12.00"), 1, 7), 2: (D("9.50"), 1, 3)}   # no degree enrolment -> the trigger opens no record
+    # a recompute opens a record without a degree too (only the trigger needs one)
+    assert rec == {1: (D("12.00"), 1, 7), 2: (D("9.50"), 1, 3), 3: (D("13.00"), 1, None)}
 
 
 def _q(x):
@@ -104,3 +108,20 @@ def test_recompute_average_exact(spark):
     exact = (Decimal("9.5") + Decimal("9.51") + Decimal("19.99")) / 3
     assert r.average == _q(exact) and r.approved_courses == 3
     assert not math.isnan(float(r.average))
+
+
+def test_recompute_empties_a_record_without_passes(spark):
+    T = campus(spark, degree_enrollment=[(1, 1, date(2024, 1, 1))], course_enrollment=[(1, 100, D(8), None, None)],
+               academic_record=[(5, 1, D(12), 1, None, 1, date(2024, 1, 1))])
+    r = refresh_academic_record(T).collect()
+    assert [(x.record_id, x.average, x.approved_courses) for x in r] == [(5, None, 0)]
+
+
+def test_large_ids_stay_exact_and_copies_do_not_multiply(spark):
+    big = 9007199254740993
+    T = campus(spark, course_edition=EDS, course_enrollment=[(big, 100, None, None, None)] * 2 + [(big - 1, 100, None, None, None)])
+    headers, rows = split_batches(_nested(spark, [(1, 100, 10, "Normal", [[str(big), 12.0]])]))
+    res = submit_grades(T, headers, rows)
+    assert [r.status for r in res.outcome.collect()] == ["ok"] and res.tables["grade_change"].count() == 1
+    got = {(r.student_id, r.grade) for r in res.tables["course_enrollment"].collect()}
+    assert got == {(big, D("12.00")), (big - 1, None)}

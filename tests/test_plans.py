@@ -5,6 +5,8 @@ import importlib
 
 import pytest
 
+from registrar.plans.catalog import queries
+
 E = importlib.import_module("__spark_entry__")
 SMOKE = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -15,11 +17,30 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
-def test_no_forbidden_operators(spark, name):
-    text = plan(E.queries()[name](spark, SMOKE))
-    for op in FORBIDDEN:
-        assert op not in text, (name, op)
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_no_forbidden_operators(spark, name, monkeypatch):
+    """Also before each checkpoint, where the plan would be cut off."""
+    from registrar.functions import sequence
+    from registrar.operators import grading, ingest
+    seen, real = [], sequence.materialize
+
+    def watched(df):
+        seen.append(plan(df))
+        return real(df)
+
+    for module in (sequence, grading, ingest):
+        monkeypatch.setattr(module, "materialize", watched)
+    for text in (plan(queries()[name](spark, SMOKE)), *seen):
+        for op in FORBIDDEN:
+            assert op not in text, (name, op)
+
+
+def test_pass_mark_reaches_a_stored_scan(spark, tmp_path):
+    from helpers import D, campus
+    from registrar.functions.columns import passed
+    campus(spark, course_enrollment=[(1, 1, D(10), None, None)])["course_enrollment"].write.parquet(f"{tmp_path}/e")
+    text = plan(spark.read.parquet(f"{tmp_path}/e").where(passed("grade")))
+    assert "GreaterThanOrEqual(grade,9.50)" in text
 
 
 def test_rank_filter_limits_before_shuffle(spark):

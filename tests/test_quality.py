@@ -27,3 +27,11 @@ def test_audit_clean_and_faulty(spark):
                    ("course_enrollment", "foreign_key:student_id", "5", 1),
                    ("course_enrollment", "foreign_key:edition_id", "999", 1),
                    ("course", "length:code", "ABCDEFGHIJK", 1)}
+
+
+def test_keys_with_bars_and_missing_tables(spark):
+    T = campus(spark, course_prerequisites=[("a|b", "c"), ("a", "b|c")], course=[("a|b", "x", 1), ("c", "x", 1), ("a", "x", 1), ("b|c", "x", 1)])
+    T = {n: T[n] for n in ("course_prerequisites", "course")}
+    assert audit_constraints(T, ["course_prerequisites", "course"]).count() == 0
+    got = [(r.table_name, r.rule) for r in audit_constraints(T, ["course", "class"]).collect()]
+    assert got == [("class", "missing_table")]

@@ -43,3 +43,12 @@ def test_json_result_keeps_nulls_and_nesting(spark):
     assert by_id[1]["grades"] == [{"course_edition_id": 100, "course_edition_name": "Eng - 2024",
                                    "grade": 12.0, "date": "2024-01-01"}]
     assert by_id[2]["grades"] == [] and by_id[1]["activities"] == []
+
+
+def test_grade_body_with_entries_that_are_not_numbers(spark):
+    T = campus(spark, course_edition=[(100, "EI", 2024, 5, None, 10)], course_enrollment=[(1, 100, None, None, None)])
+    bodies = spark.createDataFrame([(1, 100, 10, '{"period": "Normal", "grades": [[1, "bad"]]}'),
+                                    (2, 100, 10, '{"period": "Normal", "grades": [[1, 12], [1, "x", 3]]}')],
+                                   "batch_id long, edition_id long, submitter_id long, body string")
+    out = submit_grades(T, *split_batches(parse_bodies(bodies, "grade_batch"))).outcome.collect()
+    assert {r.batch_id: r.status for r in out} == {1: "invalid_grade", 2: "ok"}

@@ -1,5 +1,5 @@
-"""The chunked order helpers equal plain windows, with chunks small enough that every
-key spans many of them (the hot-key path)."""
+"""The order helpers equal plain windows, with so few rows to a partition that every key
+spans several of them (the hot-key path)."""
 
 import random
 
@@ -18,7 +18,7 @@ def test_running_sum_matches_brute_force(spark):
     rows = _rows(1)
     df = spark.createDataFrame(rows, "k long, seq long, v long")
     for inclusive in (False, True):
-        got = {(r.k, r.seq): r.out for r in running_sum(df, ["k"], ["seq"], "v", "out", inclusive, width=7).collect()}
+        got = {(r.k, r.seq): r.out for r in running_sum(df, ["k"], ["seq"], "v", "out", inclusive, parts=7).collect()}
         for k, s, _ in rows:
             exp = sum(v for k2, s2, v in rows if k2 == k and (s2 < s or (inclusive and s2 == s)))
             assert got[(k, s)] == exp
@@ -27,7 +27,7 @@ def test_running_sum_matches_brute_force(spark):
 def test_running_count_without_key(spark):
     rows = _rows(2)
     df = spark.createDataFrame(rows, "k long, seq long, v long")
-    got = {r.seq: r.out for r in running_count(df, [], ["seq"], F.col("v") > 3, "out", width=5).collect()}
+    got = {r.seq: r.out for r in running_count(df, [], ["seq"], F.col("v") > 3, "out", parts=5).collect()}
     for _, s, _ in rows:
         assert got[s] == sum(1 for _, s2, v in rows if s2 < s and v > 3)
 
@@ -36,7 +36,7 @@ def test_previous_value_matches_lag(spark):
     rows = _rows(3)
     df = spark.createDataFrame(rows, "k long, seq long, v long")
     got = {(r.k, r.seq): r.prev for r in
-           previous_value(df, ["k"], ["seq"], "v", "prev", default=F.lit(-99), width=11).collect()}
+           previous_value(df, ["k"], ["seq"], "v", "prev", default=F.lit(-99), parts=11).collect()}
     for k, s, _ in rows:
         earlier = sorted((s2, v) for k2, s2, v in rows if k2 == k and s2 < s)
         assert got[(k, s)] == (earlier[-1][1] if earlier else -99)
@@ -46,7 +46,7 @@ def test_previous_value_two_order_columns(spark):
     rnd = random.Random(4)
     rows = [(rnd.randrange(2), b, p, rnd.randrange(100)) for b in range(6) for p in rnd.sample(range(50), 8)]
     df = spark.createDataFrame(rows, "k long, b long, p long, v long")
-    got = {(r.k, r.b, r.p): r.prev for r in previous_value(df, ["k"], ["b", "p"], "v", "prev", width=4).collect()}
+    got = {(r.k, r.b, r.p): r.prev for r in previous_value(df, ["k"], ["b", "p"], "v", "prev", parts=4).collect()}
     for k, b, p, _ in rows:
         earlier = sorted(((b2, p2), v) for k2, b2, p2, v in rows if k2 == k and (b2, p2) < (b, p))
         assert got[(k, b, p)] == (earlier[-1][1] if earlier else None)
@@ -55,5 +55,17 @@ def test_previous_value_two_order_columns(spark):
 def test_dense_ids(spark):
     seqs = random.Random(5).sample(range(1000), 40)
     df = spark.createDataFrame([(s,) for s in seqs], "seq long")
-    got = {r.seq: r.id for r in dense_ids(df, ["seq"], "id", start=100, width=3).collect()}
+    got = {r.seq: r.id for r in dense_ids(df, ["seq"], "id", start=100, parts=3).collect()}
     assert got == {s: 101 + i for i, s in enumerate(sorted(seqs))}
+
+
+def test_sparse_order_and_one_hot_key(spark):
+    """Order values far apart and one key with most rows: every partition gets some of
+    the hot key, none gets all."""
+    from registrar.functions.sequence import _dealt
+    rows = [(1 if i % 10 else i, i * 10**12 + i * i, 1) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k long, seq long, v long")
+    per = _dealt(df, ["k"], ["seq"], 8).where("k = 1").groupBy("__chunk").count().collect()
+    assert len(per) >= 6 and max(r["count"] for r in per) < 500
+    got = [r.out for r in running_sum(df, ["k"], ["seq"], "v", "out", inclusive=True, parts=8).where("k = 1").orderBy("seq").collect()]
+    assert got == list(range(1, len(got) + 1))
