@@ -18,6 +18,7 @@ from registrar.schema import MONEY_TYPE, REQUEST_SCHEMAS
 from registrar.session import scratch_path
 
 CHARGE_SCHEMA = REQUEST_SCHEMAS["charge"]
+BATCH_BYTES = 8 << 30
 
 
 def stream_balances(charges: DataFrame) -> DataFrame:
@@ -33,11 +34,17 @@ def current_balances(changes: DataFrame) -> DataFrame:
                        F.col("b.n_charges").alias("n_charges"))
 
 
-def run_balances(spark: SparkSession, source_dir: str, work_dir: str, files_per_trigger: int = 1) -> DataFrame:
+def paced(reader, files_per_trigger: int | None):
+    """A file stream's micro-batch: so many files, or by default so many bytes."""
+    if files_per_trigger:
+        return reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.option("maxBytesPerTrigger", BATCH_BYTES)
+
+
+def run_balances(spark: SparkSession, source_dir: str, work_dir: str, files_per_trigger: int | None = None) -> DataFrame:
     """Process every charge file under ``source_dir`` (``availableNow``) and return
     the resulting balances (read back from the changelog)."""
-    stream = (spark.readStream.schema(CHARGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
-                   .parquet(source_dir))
+    stream = paced(spark.readStream.schema(CHARGE_SCHEMA), files_per_trigger).parquet(source_dir)
     out = f"{work_dir}/changes"
 
     def sink(batch: DataFrame, epoch: int) -> None:
@@ -49,14 +56,17 @@ def run_balances(spark: SparkSession, source_dir: str, work_dir: str, files_per_
     return current_balances(spark.read.parquet(out))
 
 
-def stage_charges(charges: DataFrame, path: str, files: int = 4) -> None:
-    """Write a charge table as ``files`` parquet files: the stream's input. Split by
-    charge, so one student's charges arrive over several micro-batches."""
-    charges.select(*CHARGE_SCHEMA.fieldNames()).repartition(files, "charge_id").write.mode("overwrite").parquet(path)
+def stage_charges(charges: DataFrame, path: str, files: int | None = None) -> None:
+    """Write a charge table as parquet files: the stream's input. The table's own
+    partitions become files; with ``files`` it is dealt into so many, by charge, so one
+    student's charges arrive over several micro-batches."""
+    rows = charges.select(*CHARGE_SCHEMA.fieldNames())
+    (rows.repartition(files, "charge_id") if files else rows).write.mode("overwrite").parquet(path)
 
 
-def balances_from_table(spark: SparkSession, charges: DataFrame, files: int = 4) -> DataFrame:
-    """Stage ``charges`` under the shared checkpoint folder and stream it."""
+def balances_from_table(spark: SparkSession, charges: DataFrame, files: int | None = None) -> DataFrame:
+    """Stage ``charges`` under the shared checkpoint folder and stream it; with ``files``,
+    one micro-batch a file."""
     work = scratch_path(spark, "stream_balances")
     stage_charges(charges, f"{work}/source", files)
-    return run_balances(spark, f"{work}/source", work)
+    return run_balances(spark, f"{work}/source", work, 1 if files else None)

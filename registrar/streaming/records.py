@@ -8,10 +8,12 @@ Each micro-batch (``foreachBatch``):
    (batch_id, pos), a grouped aggregate);
 2. appends it to the grade-state log, a parquet table partitioned by
    ``epoch`` (overwritten per epoch, so a replayed epoch is harmless) and
-   bucketed by ``pmod(student_id, BUCKETS)``; every few epochs the state is
-   compacted into a snapshot holding one row per (student, offering);
+   bucketed by ``pmod(student_id, buckets)`` (as many as the session shuffles into),
+   like the initial grades; every few epochs the state is compacted into a snapshot
+   holding one row per (student, offering), and log and snapshots before the one
+   that a replay may need are deleted;
 3. re-aggregates only the students touched in the batch: their current grades =
-   latest of (initial grades, last snapshot, log epochs since), then passing
+   latest of (initial grades, last snapshot, log epochs since) in the buckets touched, then passing
    count and exact average; written to ``records/epoch=<id>``.
 
 The record of a student is the one of the latest epoch that touched them.
@@ -25,23 +27,27 @@ from pyspark.sql import functions as F
 from registrar.functions.columns import cents, passed, rounded_mean_from_cents
 from registrar.schema import REQUEST_SCHEMAS
 from registrar.session import scratch_path
+from registrar.streaming.balances import paced
 
 CHANGE_SCHEMA = REQUEST_SCHEMAS["grade_change"]
-BUCKETS = 16
 
 
-def _latest_in_batch(batch: DataFrame) -> DataFrame:
+def _bucket(buckets: int):
+    return F.pmod(F.col("student_id"), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _latest_in_batch(batch: DataFrame, buckets: int) -> DataFrame:
     return (batch.groupBy("student_id", "edition_id")
                  .agg(F.max_by(F.struct("grade", "batch_id", "pos"), F.struct("batch_id", "pos")).alias("c"))
                  .select("student_id", "edition_id", "c.grade", "c.batch_id", "c.pos")
-                 .withColumn("bucket", F.pmod(F.col("student_id"), F.lit(BUCKETS))))
+                 .select("*", _bucket(buckets)))
 
 
 def touched_records(initial: DataFrame, state: DataFrame, touched: DataFrame) -> DataFrame:
     """Current passing count and average of the ``touched`` students."""
     ids = touched.select("bucket", "student_id").distinct()
-    base = (initial.select("student_id", "edition_id", "grade")
-                   .join(ids.select("student_id"), "student_id", "left_semi")
+    base = (initial.select("bucket", "student_id", "edition_id", "grade")
+                   .join(ids, ["bucket", "student_id"], "left_semi")
                    .select("student_id", "edition_id", "grade", F.lit(-1).cast("long").alias("batch_id"),
                            F.lit(-1).cast("long").alias("pos")))
     upd = state.join(ids, ["bucket", "student_id"], "left_semi").select("student_id", "edition_id", "grade",
@@ -61,9 +67,19 @@ def _latest_per_pair(state: DataFrame) -> DataFrame:
                  .select("student_id", "edition_id", "c.grade", "c.batch_id", "c.pos", "bucket"))
 
 
+def _buckets(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def run_academic_record(spark: SparkSession, initial: DataFrame, source_dir: str, work_dir: str,
-                        files_per_trigger: int = 1, compact_every: int = 2) -> DataFrame:
+                        files_per_trigger: int | None = None, compact_every: int = 2) -> DataFrame:
     """Stream the change files in ``source_dir``; return each touched student's record.
+    ``initial``: bucket, student_id, edition_id, grade, stored by bucket.
 
     The grade state is an epoch log plus snapshots: after epoch ``e`` with
     ``e % compact_every == compact_every - 1`` the latest grade per pair (previous
@@ -73,13 +89,13 @@ def run_academic_record(spark: SparkSession, initial: DataFrame, source_dir: str
     the same result.
     """
     state_dir, snap_dir, rec_dir = f"{work_dir}/state", f"{work_dir}/snap", f"{work_dir}/records"
-    stream = (spark.readStream.schema(CHANGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
-                   .parquet(source_dir))
+    buckets = _buckets(spark)
+    stream = paced(spark.readStream.schema(CHANGE_SCHEMA), files_per_trigger).parquet(source_dir)
 
     def sink(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
-        latest = _latest_in_batch(batch)
-        latest.write.mode("overwrite").partitionBy("bucket").parquet(f"{state_dir}/epoch={epoch}")
+        _latest_in_batch(batch, buckets).write.mode("overwrite").partitionBy("bucket").parquet(f"{state_dir}/epoch={epoch}")
+        latest = session.read.parquet(f"{state_dir}/epoch={epoch}")  # what was just written
         last_snap = (epoch // compact_every) * compact_every - 1   # -1: no snapshot yet
         log = session.read.parquet(state_dir).where((F.col("epoch") > last_snap) & (F.col("epoch") <= epoch)).drop("epoch")
         state = log
@@ -88,7 +104,11 @@ def run_academic_record(spark: SparkSession, initial: DataFrame, source_dir: str
         rec = touched_records(initial, state, latest)
         rec.write.mode("overwrite").parquet(f"{rec_dir}/epoch={epoch}")
         if epoch % compact_every == compact_every - 1:
-            _latest_per_pair(state).write.mode("overwrite").parquet(f"{snap_dir}/epoch={epoch}")
+            _latest_per_pair(state).write.mode("overwrite").partitionBy("bucket").parquet(f"{snap_dir}/epoch={epoch}")
+            # a replay of this epoch reads the snapshot before it and the log since
+            for old in range(epoch - 3 * compact_every + 1, epoch - compact_every + 1):
+                _drop(session, f"{state_dir}/epoch={old}")
+            _drop(session, f"{snap_dir}/epoch={epoch - 2 * compact_every}")
 
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{work_dir}/checkpoint")
                .trigger(availableNow=True).start())
@@ -98,14 +118,15 @@ def run_academic_record(spark: SparkSession, initial: DataFrame, source_dir: str
     return last.select("student_id", "r.average", "r.approved_courses")
 
 
-def records_from_changes(spark: SparkSession, initial: DataFrame, changes: DataFrame, files: int = 4) -> DataFrame:
-    """Stage a change table as ``files`` files (split by batch) and stream it.
+def records_from_changes(spark: SparkSession, initial: DataFrame, changes: DataFrame, files: int | None = None) -> DataFrame:
+    """Stage a change table as files (its own partitions, or ``files`` dealt by batch, each
+    a micro-batch) and stream it.
     The initial grades are written once to the shared folder and read from there by
     every micro-batch (a stored table, not a lineage recomputed per epoch)."""
     work = scratch_path(spark, "stream_academic_record")
-    # hash split by batch: no sampling pass; a student's changes land in several epochs,
-    # and the result does not depend on the order the files are read in.
-    (changes.select(*CHANGE_SCHEMA.fieldNames()).repartition(files, "batch_id")
-            .write.mode("overwrite").parquet(f"{work}/source"))
-    initial.select("student_id", "edition_id", "grade").write.mode("overwrite").parquet(f"{work}/initial")
-    return run_academic_record(spark, spark.read.parquet(f"{work}/initial"), f"{work}/source", work)
+    # the result does not depend on the order the files are read in
+    rows = changes.select(*CHANGE_SCHEMA.fieldNames())
+    (rows.repartition(files, "batch_id") if files else rows).write.mode("overwrite").parquet(f"{work}/source")
+    stored = initial.select("student_id", "edition_id", "grade", _bucket(_buckets(spark)))
+    stored.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{work}/initial")
+    return run_academic_record(spark, spark.read.parquet(f"{work}/initial"), f"{work}/source", work, 1 if files else None)
