@@ -253,7 +253,8 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
                   .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                   .select("leader", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                           "block", "rep", "n", "sketch"))
-    near = staged(_candidates(rows, s), "near")
+    # block pairs of one large group go to tasks of their own
+    near = staged(_candidates(rows.repartition("leader", "i", "j"), s), "near")
     sets = _full_sets(docs, near.select("rep").distinct(), classes, s, id_col, text_col)
     links = staged(_links(near.join(sets, "rep"), s), "links")
     labels = components(links)
