@@ -101,4 +101,35 @@ SELECT conv_id, count(*) AS n_turns,
        bool_and(fits) AND arg_max(role, n) = 'assistant' AS valid
 FROM c GROUP BY conv_id"""
 
-ORACLE_SQL: dict[str, str] = {"op8_chat_format": _OP8}
+_REACH = """
+reach AS (SELECT id, id AS root FROM nodes
+          UNION SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.id),
+comp AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id)"""
+
+# every pair of one label
+_OP5 = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+nodes AS (SELECT vec_id AS id FROM embeddings),{_REACH}
+SELECT c.id AS vec_id, (SELECT count(*) FROM links WHERE x = c.id) AS n_links, c.component_id, c.id = c.component_id AS kept
+FROM comp c"""
+
+# every pair of documents with a shingle in common
+_OP7 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\x0C\\r]+'), lambda s: s <> '') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS g FROM w),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+near AS (SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id
+         GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+links AS (SELECT x, y FROM near UNION ALL SELECT y, x FROM near),
+nodes AS (SELECT doc_id AS id FROM documents),{_REACH}
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN comp c ON c.id = s.doc_id"""
+
+ORACLE_SQL: dict[str, str] = {"op5_embedding_near_dedup": _OP5, "op7_minhash_near_dedup": _OP7, "op8_chat_format": _OP8}
