@@ -265,7 +265,7 @@ def _cancellation(c: Campus) -> DataFrame:
 
 
 def _classroom(c: Campus) -> DataFrame:
-    return c.src.nation.select(F.col("n_nationkey").alias("room_id"), F.col("n_name").alias("building"),
+    return c.src.nation.select(F.col("n_nationkey").cast("long").alias("room_id"), F.col("n_name").alias("building"),
                                F.lit(30).cast("long").alias("capacity"), F.lit("campus").alias("location"))
 
 
