@@ -42,6 +42,8 @@ from registrar.llm.components import components
 MANTISSA = 10
 SIGMAS = 4.5
 BLOCK = 2048
+#: Up to so many ids (8 bytes each) are sent to every task; more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -255,7 +257,10 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
                           "block", "rep", "n", "sketch"))
     # block pairs of one large group go to tasks of their own
     near = staged(_candidates(rows.repartition("leader", "i", "j"), s), "near")
-    sets = _full_sets(docs, near.select("rep").distinct(), classes, s, id_col, text_col)
+    wanted = staged(near.select("rep").distinct(), "wanted")
+    if wanted.count() <= BROADCAST_IDS:  # else the texts of all documents would be shuffled for a few
+        wanted = F.broadcast(wanted)
+    sets = _full_sets(docs, wanted, classes, s, id_col, text_col)
     links = staged(_links(near.join(sets, "rep"), s), "links")
     labels = components(links)
     of_set = (classes.select("set_key", "rep").join(labels, F.col("rep") == F.col("node"), "left")
