@@ -4,10 +4,13 @@ A page is read into a tree (void elements, raw-text elements, implied end tags a
 unclosed elements as browsers treat them). Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are known by element
 name, role, class or id and left out. For every element left, the link-adjusted
-density of characters per tag is computed; the children's densities are summed; the
-element with the largest sum, among those whose density reaches the least density on
-the path from the body to the densest element, is the text's subtree; an article or main
-element around it is taken whole. Its blocks are joined by an empty line.
+density of characters per tag is computed; the children's densities are summed. The
+least density on the path from the body to the element with the largest sum is the
+threshold: from the body down, of every element that reaches it the subtree with the
+largest sum is taken, and loose text that reaches it as an element would, and of the
+headings those before them. An article or main element around a subtree is taken whole; where
+the largest sum is inside one, only such elements are taken. All blocks taken are joined
+in page order by an empty line.
 
 White space is what ``str.split`` splits at. Defined results: null, empty and
 text-free pages give an empty text; repeated rows give repeated results; an empty
@@ -61,12 +64,14 @@ _LABEL = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*
 
 
 class Node:
-    __slots__ = ("tag", "dropped", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "dropped", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total",
+                 "head_chars", "inline", "peak")
 
     def __init__(self, tag: str, parent: "Node | None", dropped: bool):
         self.tag, self.parent, self.dropped, self.parts = tag, parent, dropped, []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.chars = self.tags = self.link_chars = self.link_tags = self.head_chars = 0
         self.density = self.total = 0.0
+        self.inline, self.peak = tag not in BLOCKS, self
 
 
 def _dropped(tag: str, attributes: str, inside: Node) -> bool:
@@ -157,37 +162,142 @@ def measure(root: Node) -> list[Node]:
                 x.tags += p.tags + 1
                 x.link_chars += p.link_chars
                 x.link_tags += p.link_tags + (p.tag == "a")
+                x.head_chars += p.head_chars
+                x.inline = x.inline and p.inline
         if x.tag == "a":
             x.link_chars = x.chars
-    all_chars, all_links = max(root.chars, 1), root.link_chars
+        if x.tag in HEADINGS:
+            x.head_chars = x.chars
     for x in nodes:
-        if x.chars:
-            c, t, lc, lt = x.chars, max(x.tags, 1), max(x.link_chars, 1), max(x.link_tags, 1)
-            base = math.log(c / max(c - x.link_chars, 1) * x.link_chars + all_links / all_chars * c + math.e)
-            x.density = c / t * math.log(max(c / lc * t / lt, 1.0)) / math.log(base) if base > 1 else c / t * math.log(max(c / lc * t / lt, 1.0))
+        x.density = _density(x, root)
     for x in nodes:
         x.total = sum(p.density for p in x.parts if isinstance(p, Node) and not p.dropped)
+    for x in reversed(nodes):  # the first of the largest sums in the subtree
+        for p in reversed(x.parts):
+            if isinstance(p, Node) and not p.dropped and p.chars and (
+                    p.peak.total > x.peak.total or x.peak is not x and p.peak.total == x.peak.total):
+                x.peak = p.peak
     return nodes
 
 
-def main_node(root: Node) -> Node | None:
+def _density(x: Node, root: Node) -> float:
+    if not x.chars:
+        return 0.0
+    c, t, lc, lt = x.chars, max(x.tags, 1), max(x.link_chars, 1), max(x.link_tags, 1)
+    base = math.log(c / max(c - x.link_chars, 1) * x.link_chars + root.link_chars / max(root.chars, 1) * c + math.e)
+    return c / t * math.log(max(c / lc * t / lt, 1.0)) / (math.log(base) if base > 1 else 1.0)
+
+
+def _runs(x: Node) -> list[Node]:
+    """The kept parts with text; text and inline elements in a row are one part."""
+    out, run = [], None
+    for p in x.parts:
+        if isinstance(p, Node) and not p.dropped and not p.inline:
+            out.append(p)
+            run = None
+        else:
+            if run is None:
+                out.append(run := Node("", x, False))
+            run.parts.append(p)
+            if isinstance(p, str):
+                run.chars += len("".join(p.split()))
+            elif not p.dropped:
+                run.chars, run.tags = run.chars + p.chars, run.tags + p.tags + 1
+                run.link_chars, run.link_tags = run.link_chars + p.link_chars, run.link_tags + p.link_tags + (p.tag == "a")
+    return [p for p in out if p.chars]
+
+
+def _outermost_keeper(x: Node) -> Node | None:
+    keeper, up = None, x
+    while up is not None:
+        keeper, up = (up if up.tag in KEEPERS else keeper), up.parent
+    return keeper
+
+
+def main_nodes(root: Node) -> list[Node]:
+    """The subtrees that are the page's text, in page order."""
     nodes = [x for x in measure(root) if x.chars]
     if not nodes:
-        return None
-    best = up = max(nodes, key=lambda x: x.total)
-    least = best.density
-    while up is not None and up.tag != "html":  # the path from the body
-        least, up = min(least, up.density), up.parent
-    best = max((x for x in nodes if x.density >= least), key=lambda x: x.total, default=best)
+        return []
+    best = root.peak
     if best.total == 0:  # no element holds another with text
         best = root
-    keeper, up = None, best
-    while up is not None:
-        keeper, up = (up if up.tag in KEEPERS else keeper), up.parent
-    if keeper is None and best is not root:
-        inner = [x for x in nodes if x.tag in KEEPERS and x.total == max(y.total for y in nodes if y.tag in KEEPERS)]
-        keeper = inner[0] if inner else None
-    return keeper or best
+    in_keeper = _outermost_keeper(best) is not None
+    bodied = any(isinstance(p, Node) and p.tag == "body" and p.chars for p in root.parts)
+    least, up = best.density, best
+    while up is not None and not (bodied and up is root):  # the path from the body
+        least, up = min(least, up.density), up.parent
+
+    taken: set[Node] = set()
+    runs: dict[Node, list[Node]] = {}
+
+    def take(x: Node) -> None:
+        while x.inline and x.parent is not None:
+            x = x.parent
+        if (keeper := _outermost_keeper(x)) is not None:
+            taken.add(keeper)
+            return
+        inner = [y for y in _topmost(x) if y.chars]
+        if 2 * sum(y.chars for y in inner) > x.chars:
+            taken.update(y for y in inner if y.density >= least or y.total == max(z.total for z in inner))
+        elif not in_keeper:
+            taken.add(x)
+
+    chosen: set[Node] = set()
+    todo = [root]
+    while todo:  # from the body down
+        x = todo.pop()
+        if x.peak not in chosen:
+            chosen.add(x.peak)
+            take(x.peak)
+        if x in chosen or x in taken:
+            continue
+        runs[x] = _runs(x)
+        for p in runs[x]:
+            if p.tag and p.density >= least and p.head_chars < p.chars:
+                todo.append(p)
+            elif not p.tag and not in_keeper and _density(p, root) >= least:
+                taken.add(p)
+
+    # the headings that stand before something taken, however short
+    holds: set[Node] = set()
+    for x in taken:
+        while (x := x.parent) is not None and x not in holds:
+            holds.add(x)
+    for x, parts in runs.items():
+        before, past_heading = False, False
+        for p in reversed(parts):
+            if p in taken or p in holds:
+                before, past_heading = True, False
+            elif p.tag and p.head_chars == p.chars:
+                past_heading = True
+                if before and not in_keeper:
+                    taken.add(p)
+            elif past_heading or 2 * p.link_chars > p.chars:
+                before = False
+
+    out, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        if x in taken:
+            out.append(x)
+        elif x in runs:
+            todo.extend(reversed(runs[x]))
+        else:
+            todo.extend(p for p in reversed(x.parts) if isinstance(p, Node) and not p.dropped)
+    return out
+
+
+def _topmost(x: Node) -> list[Node]:
+    """The outermost articles and mains inside a subtree."""
+    out, todo = [], [x]
+    while todo:
+        y = todo.pop()
+        if y.tag in KEEPERS:
+            out.append(y)
+        else:
+            todo.extend(p for p in reversed(y.parts) if isinstance(p, Node) and not p.dropped)
+    return out
 
 
 def blocks(node: Node) -> list[str]:
@@ -223,8 +333,7 @@ def blocks(node: Node) -> list[str]:
 def extract_text(page: str | None) -> str:
     if not page:
         return ""
-    node = main_node(parse(page))
-    return "" if node is None else "\n\n".join(blocks(node))
+    return "\n\n".join(b for x in main_nodes(parse(page)) for b in blocks(x))
 
 
 def extract(pages: DataFrame) -> DataFrame:

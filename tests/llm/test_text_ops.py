@@ -182,6 +182,20 @@ def test_densest_subtree_without_semantic_tags():
     assert html.extract_text(page).count("\n\n") == 4 and "l1" not in html.extract_text(page)
 
 
+def test_text_split_over_sibling_sections():
+    def section(name, n):
+        return f"<div id={name}>" + "".join(f"<p>{(name + ' words of the story told here ') * 7}{i}</p>" for i in range(n)) + "</div>"
+
+    links = "<div>" + "".join(f"<a href={i}>link {i}</a>" for i in range(9)) + "</div>"
+    text = html.extract_text(f"<body>{links}<div id=content><h1>Heading</h1>{section('one', 6)}{section('two', 4)}</div>{links}</body>")
+    assert text.startswith("Heading\n\none words") and text.count("\n\n") == 10 and "link" not in text
+    assert text.index("one words") < text.index("two words")
+    # headings after other text, and loose text beside the sections
+    text = html.extract_text(f"<body>{links}<h3>More</h3>{links}<div>{section('one', 6)}<h2>Next</h2>{section('two', 4)}"
+                             f"{'loose text of <i>the</i> story ' * 30}</div></body>")
+    assert "Next\n\ntwo" in text and text.endswith("the story") and "More" not in text and "link" not in text
+
+
 # ------------------------------------------------------------- classifiers
 
 def auc(score, y):
