@@ -3,7 +3,9 @@
 A page is read into a tree (void elements, raw-text elements, implied end tags and
 unclosed elements as browsers treat them). Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are known by element
-name, role, class or id and left out. For every element left, the link-adjusted
+name, role, class or id and left out. An element known by its class or id only stays if
+it holds the page's main, most of the text of its articles or, without articles
+elsewhere, most of its text (reader comments: only a main or all articles). For every element left, the link-adjusted
 density of characters per tag is computed; the children's densities are summed. The
 least density on the path from the body to the element with the largest sum is the
 threshold: from the body down, of every element that reaches it the subtree with the
@@ -41,13 +43,16 @@ NOT_TEXT = frozenset((
     "iframe object svg canvas menu dialog noembed noframes xmp datalist").split())
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form toolbar".split())
 KEEPERS = frozenset(("article", "main"))
-#: Words in a class or id that mark what isn't the article.
+#: Words in a class or id that mark what isn't the article; reader comments apart.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?:$|[\s_\d-])")
 BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promo(?:tion|s)?|banner|"
     r"nav|navbar|navigation|menus?|breadcrumbs?|sidebar|side-bar|aside|footer|foot|masthead|topbar|"
-    r"site-header|page-header|comments?|commentlist|disqus|replies|respond|cookies?|consent|gdpr|notices?|popup|modal|"
+    r"site-header|page-header|cookies?|consent|gdpr|notices?|popup|modal|"
     r"overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended|"
     r"widgets?|toolbar|search|pagination|pager|skip-link|copyright|legal|disclaimer)(?:$|[\s_\d-])")
+#: Names that say what an element has or how it is, not what it is.
+MODIFIER = re.compile(r"(?:has|have|no|not|with|without)[_-]|.*[_-](?:open|opened|closed|enabled|disabled|on|off)$")
 #: The same, but for parts of an article.
 PAGE_HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_\d-])")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -60,37 +65,75 @@ BOUNDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "option": ("
     ("tr", "td", "th", "tbody", "tfoot", "thead"), ("table",))
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-_LABEL = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+_LABELS = frozenset(("class", "id", "role", "hidden"))
 
 
 class Node:
     __slots__ = ("tag", "dropped", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total",
-                 "head_chars", "inline", "peak")
+                 "head_chars", "inline", "peak", "suspect", "within")
 
     def __init__(self, tag: str, parent: "Node | None", dropped: bool):
         self.tag, self.parent, self.dropped, self.parts = tag, parent, dropped, []
         self.chars = self.tags = self.link_chars = self.link_tags = self.head_chars = 0
         self.density = self.total = 0.0
         self.inline, self.peak = tag not in BLOCKS, self
+        self.suspect = ""  # known by its class or id: "comments" or "other"
+        self.within = tag in KEEPERS or parent is not None and parent.within
 
 
-def _dropped(tag: str, attributes: str, inside: Node) -> bool:
-    if inside.dropped or tag in NOT_TEXT:
-        return True
-    if tag in ("html", "body") or tag in KEEPERS or tag in HEADINGS:
-        return False
-    up = inside  # an article's own heading part stays
-    while up is not None and up.tag not in KEEPERS:
-        up = up.parent
-    if tag == "header" and up is None:
-        return True
-    for name, a, b, c in _LABEL.findall(attributes):
-        name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden" or name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id") and (BOILERPLATE.search(value) or up is None and PAGE_HEADER.search(value)):
-            return True
-    return False
+def labels(attributes: str) -> dict[str, str]:
+    """class, id, role and hidden of a start tag in lower case; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        if (name := name.lower()) in _LABELS:
+            out.setdefault(name, (a or b or c).lower())
+    return out
+
+
+def _judge(x: Node, attributes: str) -> None:
+    """Whether a new element is left out, or to be judged when the page is read."""
+    tag, inside = x.tag, x.parent
+    x.dropped = inside.dropped or tag in NOT_TEXT
+    if x.dropped or tag in ("html", "body") or tag in KEEPERS or tag in HEADINGS:
+        return
+    if tag == "header" and not inside.within:  # an article's own heading part stays
+        x.dropped = True
+        return
+    found = labels(attributes) if attributes else {}
+    if "hidden" in found or found.get("role") in ROLES:
+        x.dropped = True
+        return
+    names = " ".join(n for k in ("class", "id") for n in found.get(k, "").split() if not MODIFIER.match(n))
+    if COMMENTS.search(names):
+        x.suspect = "comments"
+    elif BOILERPLATE.search(names) or not inside.within and PAGE_HEADER.search(names):
+        x.suspect = "other"
+
+
+def _settle(root: Node) -> None:
+    """Leave out the elements known by class or id that don't hold the page's text."""
+    nodes = _nodes(root)
+    if not any(x.suspect for x in nodes):
+        return
+    chars, kept, mains = {}, {}, {}  # of all text, of text in articles and mains, mains with text
+    for x in reversed(nodes):
+        n = k = m = 0
+        for p in x.parts:
+            if isinstance(p, str):
+                n += len("".join(p.split()))
+            elif not p.dropped:
+                n, k, m = n + chars[p], k + kept[p], m + mains[p]
+        chars[x], kept[x], mains[x] = n, n if x.tag in KEEPERS else k, m + (x.tag == "main" and n > 0)
+    for x in nodes:
+        if x.suspect:
+            keeps = 0 if x.parent.within else kept[x]
+            if x.suspect == "comments":
+                stays = mains[x] or keeps and keeps == kept[root]
+            else:
+                elsewhere = 0 if x.parent.within else kept[root] - kept[x]
+                stays = mains[x] or 2 * keeps > kept[root] or 2 * chars[x] > chars[root] and not elsewhere
+            x.dropped = not stays
 
 
 def parse(page: str) -> Node:
@@ -129,7 +172,8 @@ def parse(page: str) -> Node:
                 up = up.parent
             if last is not None and last.parent is not None:
                 node = last.parent
-        child = Node(tag, node, _dropped(tag, found[3] or "", node))
+        child = Node(tag, node, False)
+        _judge(child, found[3] or "")
         node.parts.append(child)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
@@ -137,6 +181,7 @@ def parse(page: str) -> Node:
             at = stop + 1 if stop >= 0 else n
         elif tag not in VOID and not (found[3] or "").endswith("/"):
             node = child
+    _settle(root)
     return root
 
 

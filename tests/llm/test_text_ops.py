@@ -196,6 +196,25 @@ def test_text_split_over_sibling_sections():
     assert "Next\n\ntwo" in text and text.endswith("the story") and "More" not in text and "link" not in text
 
 
+def test_labels_are_attributes_of_their_own():
+    assert html.labels(' style="overflow: hidden" title="the hidden truth" data-id="nav" alt=\'class="ad"\' class = "A b" ID=x class=ad') == {"class": "a b", "id": "x"}
+    assert "hidden" in html.labels(" hidden") and html.labels("class=ad/hidden") == {"class": "ad/hidden"}
+    body = "".join(f"<p>{'words of the story told here ' * 7}{i}</p>" for i in range(4))
+    for wrapper in ('div style="overflow: hidden" title="the hidden truth"', 'div class="layout has-sidebar"', 'div class="no-sidebar"',
+                    'div class="page sidebar-layout"', 'div id="search-page"', 'section class="post comments-open"'):
+        for inner in (body, f"<article>{body}</article>", f"<main>{body}</main>"):
+            page = f'<body><{wrapper}><div class="sidebar">side text</div>{inner}<div id="comments">a reader</div></{wrapper.split()[0]}></body>'
+            assert html.extract_text(page) == html.extract_text(f"<body>{body}</body>"), wrapper
+    # what is left out stays left out, however long
+    reader = "<div class=comment><article>" + body.replace("story", "reader") * 3 + "</article></div>"
+    for page in (f"<article>{body}<section class=comments>{body.replace('story', 'reader') * 3}</section></article>",
+                 f"<article>{body}</article><div id=comments>{reader}</div>",
+                 f"<article>{body}</article><div class=sidebar>{body.replace('story', 'reader') * 3}</div>",
+                 f"<div>{body}</div><div hidden>{body.replace('story', 'reader')}</div><div role=search>reader</div>"):
+        text = html.extract_text(page)
+        assert "story" in text and "reader" not in text
+
+
 # ------------------------------------------------------------- classifiers
 
 def auc(score, y):
