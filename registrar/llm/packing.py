@@ -2,12 +2,12 @@
 
 A document's ids are its text's byte-level BPE ids and an end id. A document
 longer than the capacity is cut into pieces of exactly the capacity; only the first
-may be shorter. Pieces are dealt by a hash into groups of about ``GROUP_ROWS``
-pieces, so the number of groups grows with the data and a group is bounded. Inside a group,
-per bin: the longest piece left opens it, a bitset subset-sum over the lengths left
-finds the fullest feasible combination, and those pieces are taken out. A second
-round repacks the pieces of the bins that stayed below ``FULL`` of the capacity,
-from all groups, in ever fewer groups.
+may be shorter. Bins are planned on the number of pieces per length, at most as many
+numbers as the capacity whatever the rows: the longest length left opens a bin, a
+bitset subset-sum over the lengths left finds the fullest feasible combination, and it
+is taken as many times as the lengths last. Every piece is numbered within its length
+(its number in its partition and the partitions' counts before it), and the number says
+its bin and offset, so no task holds more than a partition's rows of a length.
 
 Defined results: a null text counts as empty and is one piece holding the end id;
 repeated rows are packed once each; a null doc_id stays null; an empty table gives
@@ -19,12 +19,13 @@ from __future__ import annotations
 import json
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrar.llm.bpe import MARKS, PATTERN, Memo, byte_symbols
@@ -32,8 +33,8 @@ from registrar.llm.common import staged
 
 CAPACITY = 2048
 END_ID = 0
+#: Without effect since bins are planned on lengths; kept for callers that set it.
 GROUP_ROWS = 8192
-FULL = 0.999
 MEMO = 1_000_000
 
 
@@ -104,10 +105,12 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
     return rows.mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def fill_bins(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Bins of lengths by minimum bin slack. Bit s of ``reach`` says that some of the
-    lengths looked at add up to s."""
-    left = np.bincount(np.asarray(lengths, dtype=np.int64), minlength=capacity + 1).tolist()
+def plan_bins(left: list[int], capacity: int) -> list[tuple[list[int], int]]:
+    """Bins of lengths by minimum bin slack from the number of pieces of each length
+    (``left[n]``): combinations, longest first, and how many bins each fills. The fullest
+    combination stays the fullest while the lengths left allow it. Bit s of ``reach``
+    says that some of the lengths looked at add up to s."""
+    left = list(left)
     order = [n for n in range(capacity, 0, -1) if left[n]]
     bins = []
     while order:
@@ -128,59 +131,83 @@ def fill_bins(lengths: list[int], capacity: int) -> list[list[int]]:
                 reach = wider
                 if reach >> room:
                     break
+        left[longest] += 1
         chosen, at = [longest], reach.bit_length() - 1
         for n, before in reversed(steps):
             if not before >> at & 1:
                 chosen.append(n)
-                left[n] -= 1
                 at -= n
-        bins.append(chosen)
-        order = [n for n in order if left[n]] if any(not left[n] for n in chosen) else order
+        uses = Counter(chosen)
+        times = min(left[n] // u for n, u in uses.items())
+        for n, u in uses.items():
+            left[n] -= u * times
+        bins.append((sorted(chosen, reverse=True), times))
+        order = [n for n in order if left[n]] if any(not left[n] for n in uses) else order
     return bins
 
 
-def _packed(pieces: DataFrame, groups: int, level: int, capacity: int) -> DataFrame:
-    """Pack inside groups; adds sequence_id, offset and the bin's fill."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "piece"], ignore_index=True)
-        rows_of: dict[int, list[int]] = {}
-        for i, n in enumerate(pdf["length"]):
-            rows_of.setdefault(n, []).append(i)
-        seq, off, fill = (np.zeros(len(pdf), dtype=np.int64) for _ in range(3))
-        group = int(pdf["grp"].iloc[0])
-        for b, chosen in enumerate(fill_bins(pdf["length"].tolist(), capacity)):
-            at, total = 0, sum(chosen)
-            for n in chosen:
-                i = rows_of[n].pop()
-                seq[i], off[i], fill[i] = (level << 56) | (group << 24) | b, at, total
-                at += n
-        return pdf.assign(sequence_id=seq, offset=off, fill=fill).drop(columns="grp")
-
-    # the check sum deals repeated ids apart; rows alike in all columns stay together
-    grp = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length", F.lit(level)), F.lit(groups))
+def fill_bins(lengths: list[int], capacity: int) -> list[list[int]]:
+    """The planned bins one by one."""
+    counts = np.bincount(np.asarray(lengths, dtype=np.int64), minlength=capacity + 1).tolist()
+    return [list(chosen) for chosen, times in plan_bins(counts, capacity) for _ in range(times)]
+
+
+def places(bins: list[tuple[list[int], int]]) -> dict[int, np.ndarray]:
+    """Per length, rows of: first number of the length, first bin, pieces of the length in
+    a bin, offset of the first of them."""
+    out: dict[int, list] = {}
+    used: Counter = Counter()
+    at = 0
+    for chosen, times in bins:
+        offset = 0
+        for n, u in Counter(chosen).items():
+            out.setdefault(n, []).append((used[n], at, u, offset))
+            used[n] += u * times
+            offset += n * u
+        at += times
+    return {n: np.array(rows, dtype=np.int64) for n, rows in out.items()}
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Every piece with sequence_id and offset."""
+    spark = pieces.sparkSession
+
+    def number(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        """The number among the partition's pieces of the length."""
+        seen = np.zeros(capacity + 1, dtype=np.int64)
+        for lengths in batches:
+            out = seen[lengths.to_numpy()] + lengths.groupby(lengths).cumcount().to_numpy()
+            seen += np.bincount(lengths.to_numpy(), minlength=capacity + 1)
+            yield pd.Series(out)
+
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long"
-    return pieces.select(*names, grp.alias("grp")).groupBy("grp").applyInPandas(run, schema)
-
-
-def pack(pieces: DataFrame, n_rows: int, capacity: int = CAPACITY) -> DataFrame:
-    """Every piece with sequence_id and offset. ``n_rows``: about how many pieces
-    there are (it sets the number of groups only)."""
-    out = None
-    groups, level = max(1, -(-n_rows // GROUP_ROWS)), 0
-    todo = pieces
-    while True:
-        done = _packed(todo, groups, level, capacity)
-        if groups == 1:
-            return done.drop("fill") if out is None else out.unionByName(done.drop("fill"))
-        done = staged(done, f"packing-{level}")
-        good = done.filter(F.col("fill") >= FULL * capacity).drop("fill")
-        out = good if out is None else out.unionByName(good)
-        todo = done.filter(F.col("fill") < FULL * capacity).drop("fill", "sequence_id", "offset")
-        groups, level = min(groups // 2, -(-todo.count() // GROUP_ROWS)) or 1, level + 1
+    nth = F.pandas_udf(number, "long").asNondeterministic()
+    rows = staged(pieces.select(*names, F.spark_partition_id().alias("part"), nth("length").alias("nth")), "pieces")
+    per_part = staged(rows.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
+    counts = [0] * (capacity + 1)
+    for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect():  # one row per length
+        counts[r["length"]] = r["n"]
+    shared = spark.sparkContext.broadcast(places(plan_bins(counts, capacity)))
+
+    def place(length: pd.Series, k: pd.Series) -> pd.DataFrame:
+        length, k = length.to_numpy(), k.to_numpy()
+        out = np.zeros((2, len(k)), dtype=np.int64)
+        order = np.argsort(length, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(length[order])) + 1):
+            if len(own):
+                n = int(length[own[0]])
+                table = shared.value[n]
+                first, at, uses, offset = table[np.searchsorted(table[:, 0], k[own], side="right") - 1].T
+                out[0, own] = at + (k[own] - first) // uses
+                out[1, own] = offset + (k[own] - first) % uses * n
+        return pd.DataFrame({"sequence_id": out[0], "offset": out[1]})
+
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = per_part.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    placed = F.pandas_udf(place, "sequence_id long, offset long")("length", F.col("first") + F.col("nth"))
+    return rows.join(first, ["part", "length"]).select(*names, placed.alias("at")).select(*names, "at.sequence_id", "at.offset")
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    pieces = staged(cut_pieces(docs, path, capacity, end_id, id_col, text_col), "pieces")
-    return pack(pieces, pieces.count(), capacity)
+    return pack(cut_pieces(docs, path, capacity, end_id, id_col, text_col), capacity)

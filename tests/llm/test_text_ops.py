@@ -125,6 +125,23 @@ def test_packing_rounds_and_tables(spark, monkeypatch):
     assert packing.pack_documents(docs(spark, []), VOCABULARY).count() == 0
 
 
+def test_packing_of_lengths_that_never_fill_a_bin(spark):
+    plans = packing.plan_bins([{1200: 4_000_000, 1100: 7_000_001, 900: 3}.get(n, 0) for n in range(2049)], 2048)
+    assert len(plans) < 10 and sum(times for _, times in plans) == 11_000_001
+    rows = spark.range(0, 9000, numPartitions=5).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") + (1 << 60)).alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"),
+        F.when(F.col("id") % 3 > 0, 1200).when(F.col("id") % 2 > 0, 1500).otherwise(400).cast("long").alias("length"), F.col("id").alias("ids_crc32"))
+    out = packing.pack(rows)
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().toString()
+    got = out.toPandas()
+    assert len(got) == 9000 and got["sequence_id"].nunique() == 7500
+    got = got.sort_values(["sequence_id", "offset"])
+    ends = got["offset"] + got["length"]
+    same = got["sequence_id"].eq(got["sequence_id"].shift())
+    assert (got["offset"] == ends.shift(fill_value=0).where(same, 0)).all() and ends.max() <= 2048
+    assert sorted(r.doc_id for r in out.select("doc_id").collect() if r.doc_id is not None) == [i + (1 << 60) for i in range(9000) if i % 7]
+
+
 # ---------------------------------------------------------------- chat
 
 def rows(spark, turns):
