@@ -2,13 +2,18 @@
 
 Vectors with the same label are linked by cosine >= ``threshold``. Copies (equal
 label and equal numbers) are one class from the start, represented by the smallest
-vec_id. In each of ``passes`` passes a class gets a string of random-projection signs;
+vec_id. In each pass a class gets a string of random-projection signs;
 all classes are put in the order (pass, label, signs) by a range shuffle, numbered
 without a global window (counts per partition are the only thing that meets), and
 cut into runs of ``window`` neighbours. A run is compared with itself and the next
 run by one matrix product in double precision. Verified pairs of all passes are
 united; links are counted with the sizes of the classes, components by stars.
 
+A label gets as many passes as its size asks for, ``passes`` at least: two vectors at
+the threshold agree on one sign with a known probability, and have to agree on about as
+many signs as halve the label down to a window; the passes bring the chance that some
+pass holds such a pair to ``recall``.
+
 A window only bounds one pass. Where a run and the farthest run compared with it
 still share a link for every row (a group larger than the window), the next run is
 compared too, until they don't, so large groups lose no neighbours to the bound.
@@ -21,6 +26,7 @@ columns are ignored; null vec_ids have a null component.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +45,7 @@ class Settings:
     bits: int = 48
     window: int = 512
     seed: int = 11
+    recall: float = 0.999
 
 
 def usable(vector: str = "embedding"):
@@ -48,12 +55,19 @@ def usable(vector: str = "embedding"):
     return v.isNotNull() & (F.size(v) > 0) & F.coalesce(fine, F.lit(False)) & F.exists(v, lambda x: x != 0)
 
 
-def sign_strings(x: np.ndarray, label: np.ndarray, s: Settings) -> np.ndarray:
+def passes_for(rows: int, s: Settings) -> int:
+    """Passes over a label of ``rows`` classes."""
+    agree = 1 - math.acos(min(max(s.threshold, -1.0), 1.0)) / math.pi
+    meet = agree ** max(0.0, math.log2(max(rows, 1) / s.window))
+    return s.passes if meet >= 1 else max(s.passes, math.ceil(math.log(1 - s.recall) / math.log1p(-meet)))
+
+
+def sign_strings(x: np.ndarray, label: np.ndarray, s: Settings, passes: int | None = None) -> np.ndarray:
     """Per pass and vector, the signs of ``bits`` random projections as one number."""
     rng = np.random.default_rng(s.seed)
     weight = (1 << np.arange(s.bits - 1, -1, -1, dtype=np.int64))
     out = []
-    for _ in range(s.passes):
+    for _ in range(passes or s.passes):
         planes = rng.standard_normal((x.shape[1], s.bits))
         out.append(((x @ planes) > 0) @ weight)
     return np.stack(out)
@@ -120,13 +134,21 @@ def _compare(runs: DataFrame, steps: DataFrame, s: Settings) -> DataFrame:
 
 def linked_pairs(classes: DataFrame, s: Settings) -> DataFrame:
     """a, b: distinct pairs of classes (id, label, v) with cosine >= threshold."""
+    # only labels large enough for more passes are collected
+    least = next(n for n in (s.window << k for k in range(63)) if passes_for(2 * n, s) > s.passes or n >> 50)
+    large = classes.groupBy("label").agg(F.count("*").alias("n")).filter(F.col("n") > least).collect()
+    more = {r["label"]: passes_for(r["n"], s) for r in large}
+
     def signs(batches):
         for pdf in batches:
             for _, group in pdf.groupby(pdf["v"].map(len)):
                 x = np.stack(group["v"].to_numpy()).astype(np.float64)
                 x /= np.abs(x).max(axis=1, keepdims=True)
-                for p, key in enumerate(sign_strings(x, group["label"].to_numpy(), s)):
-                    yield pd.DataFrame({"pass": p, "label": group["label"], "signs": key, "id": group["id"], "v": group["v"]})
+                label = group["label"].to_numpy()
+                passes = np.fromiter((more.get(k, s.passes) for k in label.tolist()), dtype=np.int64, count=len(label))
+                for p, key in enumerate(sign_strings(x, label, s, int(passes.max()))):
+                    own = passes > p
+                    yield pd.DataFrame({"pass": p, "label": group["label"][own], "signs": key[own], "id": group["id"][own], "v": group["v"][own]})
 
     kind = dict(classes.dtypes)
     rows = classes.select("id", "label", "v").mapInPandas(

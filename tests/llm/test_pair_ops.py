@@ -256,3 +256,21 @@ def test_pipeline_runs_and_takes_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, none, SF)
         assert out.count() == 0 and (name == "packing" or out.columns == none.columns)
+
+
+def test_passes_grow_with_the_label(spark):
+    s = embed_dedup.Settings()
+    assert [embed_dedup.passes_for(n, s) for n in (0, 1, 512, 2000)] == [8] * 4
+    assert 8 < embed_dedup.passes_for(200_000, s) < embed_dedup.passes_for(1_000_000, s) < embed_dedup.passes_for(10_000_000, s)
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((1000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal(x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    both = np.concatenate([x, 0.94 * x + np.sqrt(1 - 0.94 ** 2) * side])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(both)] + [(9999, [1.0] * 32, 2)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    out = embed_dedup.near_duplicates(d, embed_dedup.Settings(window=32, passes=1)).toPandas()
+    found = (out["n_links"] > 0).sum()
+    assert found >= 0.995 * 2000, found
