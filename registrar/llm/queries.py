@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrar.llm import ann, bpe, chat, embed_dedup, html, lm, minhash, packing, quality, toxicity
+from registrar.llm import ann, bpe, chat, embed_dedup, html, lm, minhash, packing, quality, token_counts, toxicity, vector_codes, vocabulary_audit
 from registrar.llm.common import crc_mod, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,8 +78,24 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("first_bad_turn")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of the sources of every language in the terms that it keeps."""
+    return vocabulary_audit.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part codes and errors of every vector."""
+    return vector_codes.digest(*vector_codes.quantise(table(spark, sf_dir, "embeddings")))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every whole text."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op3_lm_score, op4_html_text, op5_embedding_near_dedup, op6_bpe_round_trip, op7_minhash_near_dedup, op8_chat_format, op9_permutation_ann, op10_toxicity)
+    f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op3_lm_score, op4_html_text, op5_embedding_near_dedup, op6_bpe_round_trip, op7_minhash_near_dedup, op8_chat_format, op9_permutation_ann, op10_toxicity,
+                            op11_source_divergence, op12_vector_codes, op13_token_counts)
 }
 
 _OP8 = r"""
@@ -132,4 +148,57 @@ nodes AS (SELECT doc_id AS id FROM documents),{_REACH}
 SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
 FROM s JOIN comp c ON c.id = s.doc_id"""
 
-ORACLE_SQL: dict[str, str] = {"op5_embedding_near_dedup": _OP5, "op7_minhash_near_dedup": _OP7, "op8_chat_format": _OP8}
+
+
+# every kept term for every group; every pair of sources of a language
+_OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+  t AS (SELECT doc, lang, source, unnest(ts) AS term FROM d),
+  kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+  v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+  groups AS (SELECT DISTINCT lang, source FROM d),
+  c AS (SELECT t.lang, t.source, t.term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+  cells AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c FROM groups g JOIN kept k ON k.lang = g.lang
+            LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+  p AS MATERIALIZED (SELECT lang, source, term, c, CAST(1 + (1000000000 * (c + 5)) // (sum(c) OVER (PARTITION BY lang, source) + 5 * v) AS BIGINT) AS p FROM cells JOIN v USING (lang)),
+  whole AS (SELECT lang, term, sum(c) AS c FROM cells GROUP BY lang, term),
+  q AS (SELECT lang, term, CAST(1 + (1000000000 * (c + 5)) // (sum(c) OVER (PARTITION BY lang) + 5 * v) AS BIGINT) AS q FROM whole JOIN v USING (lang)),
+  far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+  pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+  terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, p.p - q.q AS value FROM p JOIN q USING (lang, term) WHERE p.c > 0 AND p.p > q.q),
+  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+             FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+
+def _vector_codes_sql(rounds: int = 6) -> str:
+    """The rounds one after the other, every part against every entry."""
+    ctes = [r"""
+  k AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label,
+               list_transform(embedding, lambda e: CAST(floor(4096 * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+  x AS (SELECT rid, g.p, v[CAST(g.p * (len(v) // 8) + 1 AS BIGINT):CAST((g.p + 1) * (len(v) // 8) AS BIGINT)] AS x FROM k, range(8) g(p))""",
+            "  c0 AS (SELECT p, rid - 1 AS j, x FROM x WHERE rid <= 16)"]
+    for r in range(rounds + 1):
+        ctes.append(f"""
+  a{r} AS MATERIALIZED (SELECT x.rid, x.p, min({{'d': list_sum(list_transform(range(1, len(x.x) + 1), lambda i: (x.x[i] - c.x[i]) * (x.x[i] - c.x[i]))), 'j': c.j}}) AS best
+         FROM x JOIN c{r} c ON c.p = x.p GROUP BY x.rid, x.p)""")
+        if r < rounds:
+            ctes.append(f"""
+  m{r} AS (SELECT p, j, i, sum(e) AS s, count(*) AS n FROM (
+             SELECT x.p, a.best.j AS j, unnest(x.x) AS e, unnest(range(1, len(x.x) + 1)) AS i FROM x JOIN a{r} a ON a.rid = x.rid AND a.p = x.p) GROUP BY p, j, i),
+  n{r} AS (SELECT p, j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM m{r} GROUP BY p, j),
+  c{r + 1} AS MATERIALIZED (SELECT c.p, c.j, coalesce(n.x, c.x) AS x FROM c{r} c LEFT JOIN n{r} n ON n.p = c.p AND n.j = c.j)""")
+    return "WITH " + ",\n".join(ctes) + f""",
+  o AS (SELECT k.vec_id, k.label, k.rid, string_agg(printf('%02x', CAST(a.best.j AS BIGINT)), '' ORDER BY a.p) AS code, CAST(sum(a.best.d) AS BIGINT) AS error
+        FROM k JOIN a{rounds} a ON a.rid = k.rid GROUP BY k.vec_id, k.label, k.rid),
+  sha AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, j)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM o, sha"""
+
+
+ORACLE_SQL: dict[str, str] = {"op5_embedding_near_dedup": _OP5, "op7_minhash_near_dedup": _OP7, "op8_chat_format": _OP8,
+                              "op11_source_divergence": _OP11, "op12_vector_codes": _vector_codes_sql()}
