@@ -44,7 +44,7 @@ SHARD = 131_072
 PASS_BYTES = 32 << 20
 BLOCK_BYTES = 4 << 20
 FLUSH = 1_000_000
-TERM_BLOCK = 4096
+TERM_BLOCK = 256
 SOURCE_BLOCK = 256
 
 #: Bytes of a text as the transducer reads them: 0 between terms, capital letters small.
