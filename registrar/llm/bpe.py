@@ -8,7 +8,8 @@ joins the vocabulary's byte strings and reads them as UTF-8 (bad sequences becom
 U+FFFD).
 
 Pieces repeat, so each Python worker keeps a bounded memo of encoded pieces
-(``memo``; emptied when full). Texts are worked on whole, one at a time.
+(``Memo``; bounded by its characters and emptied when full; long pieces aren't kept).
+Texts are worked on whole, one at a time.
 
 Defined results: a null text counts as empty and has 0 tokens; repeated rows give
 repeated results; an empty table gives no rows; other columns are ignored.
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: ASCII marks: a word with such marks behind it is two pieces.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-MEMO = 1_000_000
+#: Characters that a memo holds, and of the longest piece that it keeps.
+MEMO = 8_000_000
+KEPT = 128
 
 
 def byte_symbols() -> dict[str, int]:
@@ -42,16 +45,21 @@ def byte_symbols() -> dict[str, int]:
 
 
 class Memo(dict):
-    """Encoded chunks of a text, computed when first asked for, ``limit`` at most."""
+    """Encoded chunks of a text, computed when first asked for. It holds ``limit``
+    characters of chunks at most; chunks longer than ``KEPT`` are computed each time."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.held = make, limit, 0
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        out = self[key] = self.make(key)
+        out = self.make(key)
+        if len(key) <= KEPT:
+            if self.held > self.limit:
+                self.clear()
+                self.held = 0
+            self[key] = out
+            self.held += len(key)
         return out
 
 

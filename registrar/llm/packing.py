@@ -24,18 +24,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from registrar.llm.bpe import MARKS, PATTERN, Memo, byte_symbols
+from registrar.llm.bpe import MARKS, MEMO, PATTERN, Memo, byte_symbols
 from registrar.llm.common import staged
 
 CAPACITY = 2048
 END_ID = 0
 #: Without effect since bins are planned on lengths; kept for callers that set it.
 GROUP_ROWS = 8192
-MEMO = 1_000_000
+#: Runs of white space from this length on are cut by the pattern's rule, not by the pattern,
+#: whose look-ahead takes as many steps back as the run is long.
+LONG_BLANK = 10_000
+_LONG_BLANK = regex.compile(rf"\s{{{LONG_BLANK}}}\s*")
 
 
 class Encoder:
@@ -52,6 +56,7 @@ class Encoder:
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         ranks = {bytes(symbols[c] for c in t): i for t, i in vocab.items() if t not in self.added}
         self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.added)
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.pieces = Memo(self.piece, MEMO)
         self.words = Memo(self.word, MEMO)
 
@@ -68,7 +73,26 @@ class Encoder:
             return self.pieces[" " + core] + self.pieces[chunk[len(core):]]
         return self.pieces[" " + core] if core.isalpha() else self.piece(" " + chunk)
 
+    def long_blanks(self, text: str) -> bytes:
+        """Ids of a text with long runs of white space: a run is one piece, without its last
+        character if something that isn't white space or added follows."""
+        out, parts = [], self.cut.split(text) if self.added else [text]
+        for part in parts:
+            if part in self.added:
+                out.append(array("I", [self.added[part]]).tobytes())
+                continue
+            at = 0
+            for run in _LONG_BLANK.finditer(part):
+                end = run.end() - (run.end() < len(part))
+                out.append(self.encode(part[at:run.start()]))
+                out.append(array("I", self.bpe._encode_single_piece(part[run.start():end])).tobytes())
+                at = end
+            out.append(self.encode(part[at:]) if at < len(part) else b"")
+        return b"".join(out)
+
     def encode(self, text: str) -> bytes:
+        if len(text) >= LONG_BLANK and _LONG_BLANK.search(text):
+            return self.long_blanks(text)
         if any(t in text for t in self.added):
             return array("I", self.bpe.encode(text, allowed_special="all")).tobytes()
         first, *rest = text.split(" ")

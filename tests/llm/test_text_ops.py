@@ -63,8 +63,24 @@ def test_bpe_stale_entries_and_small_memo(tokenizer):
         assert v.encode(t) == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_bpe_memo_is_bounded_by_characters():
+    memo = bpe.Memo(str.upper, 20)
+    for w in ("a" * 15, "b" * 15, "c" * 4, "d" * 1000, "c" * 4):
+        assert memo[w] == w.upper()
+    assert set(memo) == {"c" * 4} and memo.held == 4
+
+
 # -------------------------------------------------------------- packing
 
+@pytest.mark.parametrize("blank", [" ", "\t", "\n", "\u3000"])
+def test_long_white_space_is_encoded_as_by_the_library(tokenizer, blank):
+    e = packing.Encoder(VOCABULARY)
+    run = blank * (2_000_000 if blank != "\u3000" else 100_000)
+    for text in (run, f"one{run}", f"{run}two <|endoftext|>", f"a {run}b{run}<|endoftext|>{run}!", f"x\x1c{run}\x1c{run}'s"):
+        ids = np.frombuffer(e.encode(text), dtype="<u4").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_pieces_cover_documents(spark, tokenizer):
     out = packing.pack_documents(docs(spark, TEXTS), VOCABULARY).collect()
     ids = {i if i != 3 else None: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for i, t in enumerate(TEXTS)}
