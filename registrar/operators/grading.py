@@ -53,8 +53,9 @@ def submit_grades(T, headers: DataFrame, rows: DataFrame) -> Outcome:
     """Decide every batch; apply the accepted ones to ``course_enrollment``.
 
     Outcome: ``(batch_id, edition_id, status, bad_pos)``. Tables: the new
-    ``course_enrollment`` and ``grade_change`` — every applied row in
-    (batch_id, pos) order (the updates the record trigger would see).
+    ``course_enrollment``, ``grade_change`` — every applied row in (batch_id, pos) order (the
+    updates the record trigger would see) — and ``grade_update``, the last of them per
+    enrolment, as a change of a stored ``course_enrollment`` by key.
     """
     ed = tbl(T, "course_edition").select("edition_id", "coordinator_id", F.lit(True).alias("_ed"))
     n_rows = rows.groupBy("batch_id").agg(F.count("*").alias("_n"))
@@ -65,7 +66,7 @@ def submit_grades(T, headers: DataFrame, rows: DataFrame) -> Outcome:
         (F.col("submitter_id") == F.col("coordinator_id"), "not_coordinator"))
     h = h.select("batch_id", "edition_id", head_reason.alias("head_reason"))
 
-    checked = _check_rows(T, headers, rows)
+    checked = materialize(_check_rows(T, headers, rows))  # read for the first failure and for the accepted rows
     first_bad = (checked.where(F.col("reason") != "ok").groupBy("batch_id")
                         .agg(F.min_by(F.struct("reason", "pos"), F.col("pos")).alias("bad")))
     b = h.join(first_bad, "batch_id", "left")
@@ -90,7 +91,8 @@ def submit_grades(T, headers: DataFrame, rows: DataFrame) -> Outcome:
         F.when(F.col("__hit"), F.col("__p")).otherwise(F.col("evaluation_period")).alias("evaluation_period"),
         *extra)
     changes = applied.select("student_id", "edition_id", "grade", "batch_id", "pos")
-    return Outcome(outcome, {"course_enrollment": new_ce, "grade_change": changes})
+    update = latest.select("student_id", "edition_id", F.col("__g").alias("grade"), F.col("__p").alias("evaluation_period"))
+    return Outcome(outcome, {"course_enrollment": new_ce, "grade_change": changes, "grade_update": update})
 
 
 # ------------------------------------------------------------------ W16 academic record

@@ -21,7 +21,8 @@ from registrar.functions.columns import first_reason, nonblank, to_money
 from registrar.functions.sequence import dense_ids, materialize
 from registrar.operators.admission import Outcome
 from registrar.operators.reports import tbl
-from registrar.schema import FOREIGN_KEYS
+from registrar.schema import FOREIGN_KEYS, PRIMARY_KEYS
+from registrar.sources.versions import StoredTable
 
 
 def _max_id(df: DataFrame, col: str):
@@ -108,20 +109,38 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, keys: Sequence[str], or
 
 # ------------------------------------------------------------------ W10 / W11 degree enrolment and tuition
 
-def post_tuition(accounts: DataFrame, enrollments: DataFrame, degrees: DataFrame, as_of=None) -> DataFrame:
-    """Each new degree enrolment adds its degree's fee to the student's balance; a
-    student without an account gets one (ids after the largest, by student)."""
+def _fees(enrollments: DataFrame, degrees: DataFrame, as_of):
+    """Fees to add per student, and the time of the change."""
     add = (enrollments.select("student_id", "degree_id")
            .join(degrees.select("degree_id", "tuition_fee"), "degree_id")
            .groupBy("student_id").agg(F.sum("tuition_fee").alias("__add")))
-    stamp = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.lit(None).cast("timestamp_ntz")
+    return add, F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.lit(None).cast("timestamp_ntz")
+
+
+def _opened(accounts: DataFrame, add: DataFrame, stamp) -> DataFrame:
+    """New accounts of the students without one (ids after the largest, by student)."""
+    opened = add.join(accounts.select("student_id").distinct(), "student_id", "left_anti")
+    opened = dense_ids(opened, ["student_id"], "account_id", start=_max_id(accounts, "account_id"))
+    return opened.select("account_id", "student_id", to_money("__add").alias("balance"), stamp.alias("last_update"))
+
+
+def post_tuition(accounts: DataFrame, enrollments: DataFrame, degrees: DataFrame, as_of=None) -> DataFrame:
+    """Each new degree enrolment adds its degree's fee to the student's balance; a
+    student without an account gets one (ids after the largest, by student)."""
+    add, stamp = _fees(enrollments, degrees, as_of)
     old = accounts.join(add, "student_id", "left").select(
         "account_id", "student_id", to_money(F.col("balance") + F.coalesce("__add", F.lit(0))).alias("balance"),
         F.when(F.col("__add").isNotNull(), stamp).otherwise(F.col("last_update")).alias("last_update"))
-    opened = add.join(accounts.select("student_id").distinct(), "student_id", "left_anti")
-    opened = dense_ids(opened, ["student_id"], "account_id", start=_max_id(accounts, "account_id"))
-    opened = opened.select("account_id", "student_id", to_money("__add").alias("balance"), stamp.alias("last_update"))
-    return old.unionByName(opened)
+    return old.unionByName(_opened(accounts, add, stamp))
+
+
+def tuition_changes(accounts: DataFrame, enrollments: DataFrame, degrees: DataFrame, as_of=None) -> DataFrame:
+    """Only the accounts that :func:`post_tuition` changes or opens, for a stored table."""
+    add, stamp = _fees(enrollments, degrees, as_of)
+    add = materialize(add)  # read for the changed and for the new accounts
+    changed = accounts.join(add, "student_id").select(
+        "account_id", "student_id", to_money(F.col("balance") + F.col("__add")).alias("balance"), stamp.alias("last_update"))
+    return changed.unionByName(_opened(accounts, add, stamp))
 
 
 def enroll_degree(T, requests: DataFrame, as_of=None) -> Outcome:
@@ -210,3 +229,42 @@ def erase_students(T, requests: DataFrame) -> Outcome:
     outcome = req.join(_marker(valid, "_ok"), "student_id", "left").select(
         "seq", "student_id", F.when(F.col("_ok"), F.lit("ok")).otherwise(F.lit("not_student")).alias("status"))
     return Outcome(outcome, tables)
+
+
+def store_student_tables(T, root: str, buckets: int) -> dict[str, StoredTable]:
+    """The tables that an erasure writes, stored in buckets by the column that says whose row it is."""
+    return {name: StoredTable.create(tbl(T, name), f"{root}/{name}", PRIMARY_KEYS[name], _bucketed_by(name, key), buckets)
+            for name, key in student_tables()}
+
+
+def _bucketed_by(name: str, key: str) -> list[str]:
+    return [key] if key in PRIMARY_KEYS[name] else list(PRIMARY_KEYS[name])
+
+
+def erase_stored(stored: dict[str, StoredTable], requests: DataFrame) -> Outcome:
+    """:func:`erase_students` on stored tables: rows go by key, in new versions that rewrite only the
+    buckets touched, tables that refer to others first. The versions written are read again
+    along the foreign keys; table ``confirmation`` says for each table how many rows it has
+    and how many are left that name an erased student or account (``residual``)."""
+    req = requests.select("seq", "student_id")
+    students = stored["users"].read().where(F.col("role") == "student").select(F.col("user_id").alias("student_id"))
+    valid = materialize(req.join(students, "student_id", "left_semi").select("student_id").distinct())
+    accounts = materialize(stored["financial_account"].read().join(valid, "student_id", "left_semi").select("account_id").distinct())
+    gone = {name: (accounts if key == "account_id" else valid).toDF(key) for name, key in student_tables()}
+    for name, key in sorted(student_tables(), key=lambda t: _depth(t[0]), reverse=True):
+        stored[name].delete_by(key, gone[name])
+    confirmation = None
+    for name, key in student_tables():
+        left = stored[name].read()
+        marks = left.join(_marker(gone[name], "__gone"), key, "left")
+        row = marks.agg(F.count("*").alias("n_rows"), F.count("__gone").alias("residual")).select(F.lit(name).alias("table_name"), "n_rows", "residual")
+        confirmation = row if confirmation is None else confirmation.unionByName(row)
+    outcome = req.join(_marker(valid, "_ok"), "student_id", "left").select(
+        "seq", "student_id", F.when(F.col("_ok"), F.lit("ok")).otherwise(F.lit("not_student")).alias("status"))
+    return Outcome(outcome, {name: stored[name].read() for name, _ in student_tables()} | {"confirmation": confirmation})
+
+
+def _depth(name: str) -> int:
+    """How many foreign keys lead from a table up to one without any of the student tables above it."""
+    above = {parent for child, _, parent, _ in FOREIGN_KEYS if child == name and parent in dict(student_tables())}
+    return 1 + max(map(_depth, above)) if above else 0

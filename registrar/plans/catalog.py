@@ -21,9 +21,11 @@ from registrar.operators import quality as Q
 from registrar.operators import reports as R
 from registrar.streaming import balances as SB
 from registrar.streaming import records as SR
-from registrar.schema import SCHEMAS
+from registrar.schema import PRIMARY_KEYS, SCHEMAS
+from registrar.session import scratch_path
 from registrar.sources.fixtures import Campus
 from registrar.sources.requests import parse_bodies
+from registrar.sources.versions import StoredTable
 
 TOP_YEAR = 2000
 TOP_N = 3
@@ -266,8 +268,50 @@ def _erase_students_tables(c: Campus) -> DataFrame:
     return out
 
 
+def _stored(c: Campus, name: str, keys=None, by=None) -> StoredTable:
+    """A derived table, stored in as many buckets as the session shuffles into."""
+    buckets = int(c.spark.conf.get("spark.sql.shuffle.partitions"))
+    return StoredTable.create(getattr(c, name), scratch_path(c.spark, f"stored_{name}"), keys or PRIMARY_KEYS[name], by, buckets)
+
+
+@query("stored_erasure")
+def _stored_erasure(c: Campus) -> DataFrame:
+    """W17 on stored tables: rows and residual rows of every table, read back from the versions written."""
+    buckets = int(c.spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = I.store_student_tables(c, scratch_path(c.spark, "stored_students"), buckets)
+    return I.erase_stored(stored, c.erasure_request).tables["confirmation"]
+
+
+@query("stored_insert_if_absent")
+def _stored_insert(c: Campus) -> DataFrame:
+    """W09 on stored users keyed by username: the first registration of each name is inserted."""
+    users = _stored(c, "users", keys=("username",))
+    rows = c.registration.select("seq", "username", "email", F.lit("student").alias("role"))
+    new = I.insert_if_absent(users.read(), rows, ["username"], "seq", id_col="user_id").tables["target"]
+    users.insert_if_absent(new)
+    return users.read()
+
+
+@query("stored_tuition")
+def _stored_tuition(c: Campus) -> DataFrame:
+    """W11 on stored accounts: balances updated and accounts opened by one insert-else-update."""
+    accounts = _stored(c, "financial_account", keys=("student_id",))
+    taken = I.enroll_degree(c, c.degree_request, AS_OF).outcome.where("status = 'ok'")
+    accounts.upsert(I.tuition_changes(accounts.read(), taken, c.degree_program, AS_OF))
+    return accounts.read().select("account_id", "student_id", F.col("balance").cast("double").alias("balance"))
+
+
 # ---------------------------------------------------------------- grading
 
+@query("stored_grades")
+def _stored_grades(c: Campus) -> DataFrame:
+    """W15 on stored enrolments: the accepted grades applied by key."""
+    stored = _stored(c, "course_enrollment", by=("student_id",))
+    t = {"course_enrollment": stored.read(), "course_edition": c.course_edition}
+    stored.update(G.submit_grades(t, c.grade_batch, c.grade_row).tables["grade_update"])
+    return _enrolment_out(stored.read(), "evaluation_period")
+
+
 def _graded(c: Campus):
     return G.submit_grades(c, c.grade_batch, c.grade_row)
 
