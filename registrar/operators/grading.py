@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrar.functions.columns import cents, first_reason, passed, rounded_mean_from_cents, to_grade, valid_grade
-from registrar.functions.sequence import dense_ids, materialize, previous_value, running_sums
+from registrar.functions.sequence import dense_ids, materialize
 from registrar.operators.admission import Outcome
 from registrar.operators.reports import tbl
 from registrar.schema import GRADE_TYPE
@@ -146,25 +146,58 @@ def refresh_academic_record(T, mode: str = "recompute", changes: DataFrame | Non
     if mode != "replay":
         raise ValueError(mode)
     assert changes is not None and before is not None
-    order = ["batch_id", "pos"]
-    init = before.select("student_id", "edition_id", F.col("grade").alias("__init"))
-    ch = changes.join(init, ["student_id", "edition_id"], "left")
-    ch = previous_value(ch, ["student_id", "edition_id"], order, "grade", "__old", default=F.col("__init"))
-    pc = lambda g: F.when(passed(g), cents(g)).otherwise(F.lit(0))
-    pn = lambda g: F.when(passed(g), F.lit(1)).otherwise(F.lit(0))
-    ch = ch.withColumn("__ds", pc("grade") - pc("__old")).withColumn("__dn", pn("grade") - pn("__old"))
-    ch = running_sums(ch, ["student_id"], order, {"__rs": "__ds", "__rn": "__dn"}, inclusive=True)
-    base = (before.where(passed("grade")).groupBy("student_id")
-                  .agg(F.sum(cents("grade")).alias("__s0"), F.count("grade").alias("__n0")))
-    ch = ch.join(base, "student_id", "left")
-    s = F.coalesce("__s0", F.lit(0)) + F.col("__rs")
-    n = F.coalesce("__n0", F.lit(0)) + F.col("__rn")
-    ch = ch.withColumn("__avg", rounded_mean_from_cents(s, n))
-    hits = ch.where(passed("grade"))
-    per = hits.groupBy("student_id").agg(
-        F.max_by("__avg", F.struct(*order)).cast(GRADE_TYPE).alias("average"),
-        F.count("*").alias("__k"))
+    order = F.struct("batch_id", "pos")
+    hits = changes.where(passed("grade")).groupBy("student_id").agg(F.max(order).alias("__last"), F.count("*").alias("__k"))
+    # the average is taken at the student's last passing update: the steps of an enrolment up to
+    # there add up to its grade then less its grade before, so no row needs the one before it
+    then = (changes.join(hits.select("student_id", "__last"), "student_id").where(order <= F.col("__last"))
+                   .groupBy("student_id", "edition_id").agg(F.max_by("grade", order).alias("grade")))
+    moved = signed_deltas(before, then).groupBy("student_id").agg(F.sum("d_cents").alias("__ds"), F.sum("d_count").alias("__dn"))
+    base = passing_sums(before)
     old = tbl(T, "academic_record").select("student_id", F.col("approved_courses").alias("__a0"))
-    per = per.join(old, "student_id", "left").select(
-        "student_id", "average", (F.coalesce("__a0", F.lit(0)) + F.col("__k")).cast("long").alias("approved_courses"))
+    per = hits.join(moved, "student_id", "left").join(base, "student_id", "left").join(old, "student_id", "left")
+    s = F.coalesce("cents", F.lit(0)) + F.coalesce("__ds", F.lit(0))
+    n = F.coalesce("n", F.lit(0)) + F.coalesce("__dn", F.lit(0))
+    per = per.select("student_id", rounded_mean_from_cents(s, n).cast(GRADE_TYPE).alias("average"),
+                     (F.coalesce("__a0", F.lit(0)) + F.col("__k")).cast("long").alias("approved_courses"))
     return _finish_records(T, per, "inner")
+
+
+# ------------------------------------------------------------------ W16 kept up by signed deltas
+
+def passing_sums(enrollments: DataFrame) -> DataFrame:
+    """State of the record rule: student_id, cents (of the passing grades), n (passes)."""
+    passes = enrollments.where(passed("grade"))
+    return passes.groupBy("student_id").agg(F.sum(cents("grade")).alias("cents"), F.count("*").alias("n"))
+
+
+def signed_deltas(before: DataFrame, updates: DataFrame) -> DataFrame:
+    """What each update (student_id, edition_id, grade; one per enrolment) adds to its student's
+    cents and passes and what the grade ``before`` it takes away: student_id, edition_id,
+    d_cents, d_count. Only the enrolments that are updated are looked up."""
+    was = before.select("student_id", "edition_id", F.col("grade").alias("__was"))
+    both = updates.select("student_id", "edition_id", F.col("grade").alias("__now")).join(was, ["student_id", "edition_id"], "left")
+    worth = lambda g: F.when(passed(g), cents(g)).otherwise(F.lit(0))
+    count = lambda g: F.when(passed(g), F.lit(1)).otherwise(F.lit(0))
+    return both.select("student_id", "edition_id", (worth("__now") - worth("__was")).alias("d_cents"),
+                       (count("__now") - count("__was")).cast("long").alias("d_count"))
+
+
+def added_sums(sums: DataFrame, deltas: DataFrame) -> DataFrame:
+    """The state of the students that ``deltas`` name, after them."""
+    moved = deltas.groupBy("student_id").agg(F.sum("d_cents").alias("__dc"), F.sum("d_count").alias("__dn"))
+    return moved.join(sums, "student_id", "left").select(
+        "student_id", (F.coalesce("cents", F.lit(0)) + F.col("__dc")).alias("cents"), (F.coalesce("n", F.lit(0)) + F.col("__dn")).alias("n"))
+
+
+def apply_grade_updates(T, sums: DataFrame, updates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The records and the state after ``updates`` to the grades in ``T``'s enrolments, from the
+    state ``sums`` that belongs to them: the updated enrolments are looked up, no other grade is."""
+    changed = materialize(added_sums(sums, signed_deltas(tbl(T, "course_enrollment"), updates)))
+    state = sums.join(changed.select("student_id"), "student_id", "left_anti").unionByName(changed)
+    records = tbl(T, "academic_record")
+    per = state.where("n > 0").unionByName(  # a record without a pass left is emptied
+        records.select("student_id").join(state.where("n > 0").select("student_id"), "student_id", "left_anti")
+               .select("student_id", F.lit(0).cast("long").alias("cents"), F.lit(0).cast("long").alias("n")))
+    per = per.select("student_id", rounded_mean_from_cents("cents", "n").cast(GRADE_TYPE).alias("average"), F.col("n").cast("long").alias("approved_courses"))
+    return _finish_records(T, per, "left"), state

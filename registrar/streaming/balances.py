@@ -3,19 +3,21 @@ as a Structured Streaming aggregate).
 
 ``stream_balances`` is the streaming plan: ``groupBy(student).agg(sum, count)``;
 Spark keeps the per-student sums in its checkpointed state store. ``run_balances``
-drives it with ``foreachBatch`` in ``update`` mode: each micro-batch's changed
-balances are written to ``changes/epoch=<id>`` with overwrite, so a replayed
-epoch (after a lost executor or driver restart) rewrites the same folder. The
-current balances are the last written row per student.
+drives it with ``foreachBatch`` in ``update`` mode: each micro-batch's changed balances go
+to a :class:`~registrar.streaming.keyed_log.KeyedLog`, whose snapshots keep what is stored
+and read from growing with the number of micro-batches; a replayed one (after a lost executor or
+driver restart) rewrites the same folder. The current balances are the log's latest rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registrar.schema import MONEY_TYPE, REQUEST_SCHEMAS
 from registrar.session import scratch_path
+from registrar.streaming.keyed_log import KeyedLog
 
 CHARGE_SCHEMA = REQUEST_SCHEMAS["charge"]
 BATCH_BYTES = 8 << 30
@@ -26,12 +28,15 @@ def stream_balances(charges: DataFrame) -> DataFrame:
     return charges.groupBy("student_id").agg(F.sum("amount").alias("balance"), F.count("*").alias("n_charges"))
 
 
-def current_balances(changes: DataFrame) -> DataFrame:
-    """Latest balance per student from the per-epoch changelog."""
-    last = changes.groupBy("student_id").agg(
-        F.max_by(F.struct("balance", "n_charges"), F.col("epoch")).alias("b"))
-    return last.select("student_id", F.col("b.balance").cast(MONEY_TYPE).alias("balance"),
-                       F.col("b.n_charges").alias("n_charges"))
+def balance_log(spark: SparkSession, root: str, every: int = 8) -> KeyedLog:
+    """The stored balances: student_id, balance, n_charges by student."""
+    schema = T.StructType([T.StructField("student_id", T.LongType()), T.StructField("balance", T.DecimalType(20, 2)),
+                           T.StructField("n_charges", T.LongType())])
+    return KeyedLog(spark, root, schema, ["student_id"], session_buckets(spark), every)
+
+
+def session_buckets(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def paced(reader, files_per_trigger: int | None):
@@ -41,19 +46,19 @@ def paced(reader, files_per_trigger: int | None):
     return reader.option("maxBytesPerTrigger", BATCH_BYTES)
 
 
-def run_balances(spark: SparkSession, source_dir: str, work_dir: str, files_per_trigger: int | None = None) -> DataFrame:
+def run_balances(spark: SparkSession, source_dir: str, work_dir: str, files_per_trigger: int | None = None, every: int = 8) -> DataFrame:
     """Process every charge file under ``source_dir`` (``availableNow``) and return
-    the resulting balances (read back from the changelog)."""
+    the resulting balances (read back from the log)."""
     stream = paced(spark.readStream.schema(CHARGE_SCHEMA), files_per_trigger).parquet(source_dir)
-    out = f"{work_dir}/changes"
+    log = balance_log(spark, f"{work_dir}/balances", every)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        log.put(epoch, batch.withColumn("balance", F.col("balance").cast(T.DecimalType(20, 2))))
 
     q = (stream_balances(stream).writeStream.outputMode("update").foreachBatch(sink)
              .option("checkpointLocation", f"{work_dir}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return current_balances(spark.read.parquet(out))
+    return log.read().withColumn("balance", F.col("balance").cast(MONEY_TYPE))
 
 
 def stage_charges(charges: DataFrame, path: str, files: int | None = None) -> None:

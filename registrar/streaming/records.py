@@ -1,132 +1,106 @@
 """Running average and passed count per student from a stream of grade
 changes, where the latest grade per (student, offering) wins.
 
-A regrade must withdraw the old grade, so a plain streaming ``avg`` is wrong.
-Each micro-batch (``foreachBatch``):
-
-1. keeps the latest change per (student, offering) of the batch (``max_by`` by
-   (batch_id, pos), a grouped aggregate);
-2. appends it to the grade-state log, a parquet table partitioned by
-   ``epoch`` (overwritten per epoch, so a replayed epoch is harmless) and
-   bucketed by ``pmod(student_id, buckets)`` (as many as the session shuffles into),
-   like the initial grades; every few epochs the state is compacted into a snapshot
-   holding one row per (student, offering), and log and snapshots before the one
-   that a replay may need are deleted;
-3. re-aggregates only the students touched in the batch: their current grades =
-   latest of (initial grades, last snapshot, log epochs since) in the buckets touched, then passing
-   count and exact average; written to ``records/epoch=<id>``.
-
-The record of a student is the one of the latest epoch that touched them.
+A regrade must withdraw the old grade, so a plain streaming ``avg`` is wrong; and a student's
+other grades need not be read again for it. Each micro-batch (``foreachBatch``):
+
+1. keeps the latest change per (student, offering) of the batch (``max_by`` by (batch_id, pos));
+2. looks up the grade that each of these enrolments has (the log of applied changes, else the
+   initial grades) and drops changes that are older than the one applied;
+3. adds up, per student, what the new grades bring and the old ones take away (signed cents
+   and passes, ``grading.signed_deltas``), and adds that to the student's sums;
+4. writes the applied changes and the new sums to their logs
+   (:class:`~registrar.streaming.keyed_log.KeyedLog`: snapshots, bounded reads, replay-safe).
+
+Enrolments are bucketed by (student, offering), so a student with very many is in many
+buckets. The record of a student is made from the latest sums.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from registrar.functions.columns import cents, passed, rounded_mean_from_cents
-from registrar.schema import REQUEST_SCHEMAS
+from registrar.functions.columns import rounded_mean_from_cents
+from registrar.operators.grading import added_sums, passing_sums, signed_deltas
+from registrar.schema import GRADE_TYPE, REQUEST_SCHEMAS
 from registrar.session import scratch_path
-from registrar.streaming.balances import paced
+from registrar.streaming.balances import paced, session_buckets
+from registrar.streaming.keyed_log import KeyedLog
 
 CHANGE_SCHEMA = REQUEST_SCHEMAS["grade_change"]
-
-
-def _bucket(buckets: int):
-    return F.pmod(F.col("student_id"), F.lit(buckets)).cast("int").alias("bucket")
-
-
-def _latest_in_batch(batch: DataFrame, buckets: int) -> DataFrame:
-    return (batch.groupBy("student_id", "edition_id")
-                 .agg(F.max_by(F.struct("grade", "batch_id", "pos"), F.struct("batch_id", "pos")).alias("c"))
-                 .select("student_id", "edition_id", "c.grade", "c.batch_id", "c.pos")
-                 .select("*", _bucket(buckets)))
-
-
-def touched_records(initial: DataFrame, state: DataFrame, touched: DataFrame) -> DataFrame:
-    """Current passing count and average of the ``touched`` students."""
-    ids = touched.select("bucket", "student_id").distinct()
-    base = (initial.select("bucket", "student_id", "edition_id", "grade")
-                   .join(ids, ["bucket", "student_id"], "left_semi")
-                   .select("student_id", "edition_id", "grade", F.lit(-1).cast("long").alias("batch_id"),
-                           F.lit(-1).cast("long").alias("pos")))
-    upd = state.join(ids, ["bucket", "student_id"], "left_semi").select("student_id", "edition_id", "grade",
-                                                                         "batch_id", "pos")
-    cur = (base.unionByName(upd).groupBy("student_id", "edition_id")
-               .agg(F.max_by("grade", F.struct("batch_id", "pos")).alias("grade")))
-    agg = cur.groupBy("student_id").agg(F.sum(F.when(passed("grade"), cents("grade"))).alias("s"),
-                                        F.count_if(passed("grade")).alias("n"))
-    return agg.select("student_id", rounded_mean_from_cents("s", "n").alias("average"),
-                      F.col("n").cast("long").alias("approved_courses"))
-
-
-def _latest_per_pair(state: DataFrame) -> DataFrame:
-    """Compact grade state: one row per (student, offering), the latest by (batch_id, pos)."""
-    return (state.groupBy("bucket", "student_id", "edition_id")
-                 .agg(F.max_by(F.struct("grade", "batch_id", "pos"), F.struct("batch_id", "pos")).alias("c"))
-                 .select("student_id", "edition_id", "c.grade", "c.batch_id", "c.pos", "bucket"))
-
-
-def _buckets(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def run_academic_record(spark: SparkSession, initial: DataFrame, source_dir: str, work_dir: str,
-                        files_per_trigger: int | None = None, compact_every: int = 2) -> DataFrame:
-    """Stream the change files in ``source_dir``; return each touched student's record.
-    ``initial``: bucket, student_id, edition_id, grade, stored by bucket.
-
-    The grade state is an epoch log plus snapshots: after epoch ``e`` with
-    ``e % compact_every == compact_every - 1`` the latest grade per pair (previous
-    snapshot + log since) is written as ``snap/epoch=e``. Epoch ``e`` reads the last
-    snapshot before it and at most ``compact_every`` log epochs, not the whole history.
-    Log and snapshot folders are overwritten per epoch, so a replayed epoch rewrites
-    the same result.
-    """
-    state_dir, snap_dir, rec_dir = f"{work_dir}/state", f"{work_dir}/snap", f"{work_dir}/records"
-    buckets = _buckets(spark)
+SUMS = T.StructType([T.StructField(n, T.LongType()) for n in ("student_id", "cents", "n")])
+PAIR = ["student_id", "edition_id"]
+
+
+def _latest_in_batch(batch: DataFrame) -> DataFrame:
+    order = F.struct("batch_id", "pos")
+    last = batch.groupBy(*PAIR).agg(F.max_by(F.struct("grade", "batch_id", "pos"), order).alias("c"))
+    return last.select(*PAIR, F.col("c.grade").cast(GRADE_TYPE).alias("grade"), "c.batch_id", "c.pos")
+
+
+class RecordState:
+    """What the stream keeps: applied changes, sums of the touched students, and the grades and
+    sums that it began with, all by bucket."""
+
+    def __init__(self, spark: SparkSession, root: str, every: int = 8):
+        buckets = session_buckets(spark)
+        log = lambda name, schema, keys: KeyedLog(spark, f"{root}/{name}", schema, keys, buckets, every)
+        grades = T.StructType([f for f in CHANGE_SCHEMA.fields if f.name in (*PAIR, "grade")])
+        self.applied, self.sums = log("applied", CHANGE_SCHEMA, PAIR), log("sums", SUMS, ["student_id"])
+        self.first_grades, self.first_sums = log("first_grades", grades, PAIR), log("first_sums", SUMS, ["student_id"])
+
+    def begin(self, initial: DataFrame) -> None:
+        """Store the grades (student_id, edition_id, grade) that the stream changes."""
+        self.first_grades.put(0, initial)
+        self.first_sums.put(0, passing_sums(initial))
+
+    def _known(self, log: KeyedLog, first: KeyedLog, epoch: int, rows: DataFrame) -> DataFrame:
+        """The state of the keys of ``rows`` before the epoch: the log's row, else the first one."""
+        buckets = log.buckets_of(rows)
+        ids = rows.select(*log.keys).distinct()
+        later = log.read(epoch, buckets).join(ids, log.keys, "left_semi")
+        early = first.read(None, buckets).join(ids, log.keys, "left_semi").join(later.select(*log.keys), log.keys, "left_anti")
+        return later.unionByName(early, allowMissingColumns=True)
+
+    def apply(self, batch: DataFrame, epoch: int) -> None:
+        work = batch.sparkSession
+        staged = scratch_path(work, "latest_changes")
+        _latest_in_batch(batch).write.mode("overwrite").parquet(staged)
+        latest = work.read.schema(CHANGE_SCHEMA).parquet(staged)
+        known = self._known(self.applied, self.first_grades, epoch, latest)
+        known = known.select(*PAIR, F.col("grade").alias("was"), F.col("batch_id").alias("b0"), F.col("pos").alias("p0"))
+        fresh = F.col("b0").isNull() | (F.struct("batch_id", "pos") > F.struct(F.col("b0").alias("batch_id"), F.col("p0").alias("pos")))
+        both = latest.join(known, PAIR, "left").where(fresh)
+        staged = scratch_path(work, "applied_changes")
+        both.write.mode("overwrite").parquet(staged)
+        both = work.read.parquet(staged)
+        deltas = signed_deltas(both.select(*PAIR, F.col("was").alias("grade")), both)
+        self.sums.put(epoch, added_sums(self._known(self.sums, self.first_sums, epoch, both), deltas))
+        self.applied.put(epoch, both)
+
+    def records(self) -> DataFrame:
+        """student_id, average, approved_courses of the students with an applied change."""
+        return self.sums.read().select("student_id", rounded_mean_from_cents("cents", "n").alias("average"), F.col("n").alias("approved_courses"))
+
+
+def run_academic_record(spark: SparkSession, state: RecordState, source_dir: str, work_dir: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Stream the change files in ``source_dir`` into ``state``; return each touched student's record."""
     stream = paced(spark.readStream.schema(CHANGE_SCHEMA), files_per_trigger).parquet(source_dir)
-
-    def sink(batch: DataFrame, epoch: int) -> None:
-        session = batch.sparkSession
-        _latest_in_batch(batch, buckets).write.mode("overwrite").partitionBy("bucket").parquet(f"{state_dir}/epoch={epoch}")
-        latest = session.read.parquet(f"{state_dir}/epoch={epoch}")  # what was just written
-        last_snap = (epoch // compact_every) * compact_every - 1   # -1: no snapshot yet
-        log = session.read.parquet(state_dir).where((F.col("epoch") > last_snap) & (F.col("epoch") <= epoch)).drop("epoch")
-        state = log
-        if last_snap >= 0:
-            state = session.read.parquet(f"{snap_dir}/epoch={last_snap}").unionByName(log)
-        rec = touched_records(initial, state, latest)
-        rec.write.mode("overwrite").parquet(f"{rec_dir}/epoch={epoch}")
-        if epoch % compact_every == compact_every - 1:
-            _latest_per_pair(state).write.mode("overwrite").partitionBy("bucket").parquet(f"{snap_dir}/epoch={epoch}")
-            # a replay of this epoch reads the snapshot before it and the log since
-            for old in range(epoch - 3 * compact_every + 1, epoch - compact_every + 1):
-                _drop(session, f"{state_dir}/epoch={old}")
-            _drop(session, f"{snap_dir}/epoch={epoch - 2 * compact_every}")
-
-    q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{work_dir}/checkpoint")
+    q = (stream.writeStream.foreachBatch(state.apply).option("checkpointLocation", f"{work_dir}/checkpoint")
                .trigger(availableNow=True).start())
     q.awaitTermination()
-    recs = spark.read.parquet(rec_dir)
-    last = recs.groupBy("student_id").agg(F.max_by(F.struct("average", "approved_courses"), F.col("epoch")).alias("r"))
-    return last.select("student_id", "r.average", "r.approved_courses")
+    return state.records()
 
 
-def records_from_changes(spark: SparkSession, initial: DataFrame, changes: DataFrame, files: int | None = None) -> DataFrame:
+def records_from_changes(spark: SparkSession, initial: DataFrame, changes: DataFrame, files: int | None = None, every: int = 8) -> DataFrame:
     """Stage a change table as files (its own partitions, or ``files`` dealt by batch, each
-    a micro-batch) and stream it.
-    The initial grades are written once to the shared folder and read from there by
-    every micro-batch (a stored table, not a lineage recomputed per epoch)."""
+    a micro-batch) and stream it onto the ``initial`` grades."""
     work = scratch_path(spark, "stream_academic_record")
     # the result does not depend on the order the files are read in
     rows = changes.select(*CHANGE_SCHEMA.fieldNames())
     (rows.repartition(files, "batch_id") if files else rows).write.mode("overwrite").parquet(f"{work}/source")
-    stored = initial.select("student_id", "edition_id", "grade", _bucket(_buckets(spark)))
-    stored.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{work}/initial")
-    return run_academic_record(spark, spark.read.parquet(f"{work}/initial"), f"{work}/source", work, 1 if files else None)
+    state = RecordState(spark, f"{work}/state", every)
+    state.begin(initial)
+    return run_academic_record(spark, state, f"{work}/source", work, 1 if files else None)

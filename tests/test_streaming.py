@@ -5,8 +5,8 @@ from datetime import date
 from helpers import D, campus
 
 from registrar.operators.grading import refresh_academic_record
-from registrar.streaming.balances import balances_from_table
-from registrar.streaming.records import records_from_changes
+from registrar.streaming.balances import balance_log, balances_from_table
+from registrar.streaming.records import RecordState, records_from_changes
 
 
 def test_stream_balances_equal_sums(spark):
@@ -44,3 +44,62 @@ def test_stream_records_equal_recompute(spark):
     assert again == got  # more epochs than two snapshots span
     whole = {r.student_id: (r.average, r.approved_courses) for r in records_from_changes(spark, T["course_enrollment"], changes).collect()}
     assert whole == got
+
+
+def _stream_files(folder):
+    import glob
+    return {f for f in glob.glob(f"{folder}/**/*.parquet", recursive=True)}
+
+
+def _bytes(log, epoch):
+    import glob
+    import os
+    return sum(os.path.getsize(f) for folder in log.folders(epoch) for f in glob.glob(f"{folder}/**/*.parquet", recursive=True))
+
+
+def test_random_regrades_equal_recompute_and_reads_stay_flat(spark):
+    import random
+    import tempfile
+    rng = random.Random(9)
+    before = [(s, e, D(rng.choice([7, 9.49, 9.5, 12, 18.25])) if rng.random() < 0.8 else None) for s in range(30) for e in range(4)]
+    schema = "student_id long, edition_id long, grade decimal(5,2)"
+    state = RecordState(spark, tempfile.mkdtemp(prefix="registrar-records-", dir="/tmp"), every=2)
+    state.begin(spark.createDataFrame(before, schema))
+    now, order, sizes = {(s, e): g for s, e, g in before}, {}, []
+    touched = set()
+    for epoch in range(8):
+        log = []
+        for pos in range(60):
+            key, at = (rng.choice([0, rng.randrange(30)]), rng.randrange(5)), (rng.randrange(20), epoch * 100 + pos)  # batches arrive in any order
+            log.append((*key, D(rng.choice([3, 9.5, 10.01, 19.99])), *at))
+            touched.add(key[0])
+            if at > order.get(key, (-1, -1)):
+                now[key], order[key] = log[-1][2], at
+        batch = spark.createDataFrame(log, schema + ", batch_id long, pos long")
+        state.apply(batch, epoch)
+        if epoch in (3, 4):
+            state.apply(batch, epoch)  # run again after a failure
+        sizes.append(_bytes(state.applied, epoch + 1) + _bytes(state.sums, epoch + 1))
+    got = {r.student_id: (r.average, r.approved_courses) for r in state.records().collect()}
+    want = {}
+    for s in touched:
+        passes = [g for (x, _), g in now.items() if x == s and g is not None and g >= D(9.5)]
+        c = sum(int(g * 100) for g in passes)
+        want[s] = ((2 * c + len(passes)) // (2 * len(passes)) / 100 if passes else None, len(passes))
+    assert got == want
+    assert max(sizes[5:]) <= 1.2 * max(sizes[3:5])  # once every enrolment has changed, reads don't grow
+    assert len(state.applied._epochs("log")) <= 4 and len(state.applied._epochs("snap")) <= 2
+
+
+def test_balance_log_stays_bounded(spark):
+    import tempfile
+    log = balance_log(spark, tempfile.mkdtemp(prefix="registrar-balances-", dir="/tmp"), every=2)
+    counts = []
+    for epoch in range(8):
+        rows = [(s, D(epoch * 10 + s), epoch) for s in range(epoch % 3, 12, 2)]
+        log.put(epoch, spark.createDataFrame(rows, "student_id long, balance decimal(20,2), n_charges long"))
+        counts.append(len(_stream_files(log.root)))
+    assert max(counts[4:]) <= max(counts[:4]) + 12
+    got = {r.student_id: (r.balance, r.n_charges) for r in log.read().collect()}
+    assert got == {s: (D(e * 10 + s), e) for e in range(8) for s in range(e % 3, 12, 2)}
+    assert log.read(0).count() == 0 and len(log.folders()) <= 3
