@@ -21,6 +21,8 @@ BASE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # no Python call site kept for every column expression: it takes longer than the expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",

@@ -10,11 +10,14 @@ of an enrolment table when it has one.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrar.schema import SCHEMAS
 
+WRITERS = 4
 PARTITIONED_BY_YEAR = ("course_edition", "course_enrollment")
 
 
@@ -25,28 +28,33 @@ def with_offering_year(enrollments: DataFrame, editions: DataFrame) -> DataFrame
     return enrollments.join(editions.select("edition_id", "year"), "edition_id", "left")
 
 
-def store_tables(T, root: str, names=None) -> None:
+def store_tables(T, root: str, names=None, by_year: bool = True) -> None:
     """Write the named tables (all declared tables found in ``T`` by default) under
-    ``root/<name>``; year-partitioned where listed above."""
+    ``root/<name>``; year-partitioned where listed above, unless ``by_year`` is false."""
     get = (lambda n: T[n]) if isinstance(T, dict) else (lambda n: getattr(T, n))
     names = list(names) if names else list(SCHEMAS)
-    for name in names:
-        df = get(name)
-        if name == "course_enrollment":
-            df = with_offering_year(df, get("course_edition"))
+
+    def store(item) -> None:
+        name, df = item
         w = df.write.mode("overwrite")
-        if name in PARTITIONED_BY_YEAR:
+        if by_year and name in PARTITIONED_BY_YEAR:
             w = w.partitionBy("year")
         w.parquet(f"{root.rstrip('/')}/{name}")
 
+    tables = {n: get(n) for n in names}
+    if by_year and "course_enrollment" in tables:
+        tables["course_enrollment"] = with_offering_year(tables["course_enrollment"], get("course_edition"))
+    with ThreadPoolExecutor(WRITERS) as pool:  # small tables needn't wait for large ones
+        list(pool.map(store, tables.items()))
+
 
 def load_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFrame]:
     """Read stored tables back (lazily; partition discovery adds ``year``)."""
     names = list(names) if names else list(SCHEMAS)
-    out = {}
-    for name in names:
+
+    def load(name: str) -> DataFrame:
         df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
-        if name in PARTITIONED_BY_YEAR:
-            df = df.withColumn("year", F.col("year").cast("long"))
-        out[name] = df
-    return out
+        return df.withColumn("year", F.col("year").cast("long")) if "year" in df.columns else df
+
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return dict(zip(names, pool.map(load, names)))

@@ -35,3 +35,25 @@ def test_keys_with_bars_and_missing_tables(spark):
     assert audit_constraints(T, ["course_prerequisites", "course"]).count() == 0
     got = [(r.table_name, r.rule) for r in audit_constraints(T, ["course", "class"]).collect()]
     assert got == [("class", "missing_table")]
+
+
+def test_bitmaps_sparse_ids_nulls_and_negative_ids_agree(spark):
+    far = 40_000_000_000
+    users = [(i, f"u{i}", None, "student") for i in (0, 1, 2, -5, 32768, 32769)]
+    enrol = [(0, 1), (1, 1), (2, 1), (-5, 1), (32768, 1), (32769, 1), (32769, 1), (-6, 1), (3, 1), (3, 2)]
+    dense = campus(spark, users=users, student=[(u[0], "x", None, None, None) for u in users],
+                   course_enrollment=[(*e, None, None, None) for e in enrol])
+    sparse = campus(spark, users=[(u[0] * far, *u[1:]) for u in users], student=[(u[0] * far, "x", None, None, None) for u in users],
+                    course_enrollment=[(s * far, e, None, None, None) for s, e in enrol])
+    names = ["users", "student", "course_enrollment"]
+    assert {(r.table_name, r.rule, r.detail, r.n_rows) for r in audit_constraints(dense, names).collect()} == {
+        ("course_enrollment", "primary_key", "32769|1", 2), ("course_enrollment", "foreign_key:student_id", "-6", 1),
+        ("course_enrollment", "foreign_key:student_id", "3", 2)}
+    assert {(r.rule, r.detail, r.n_rows) for r in audit_constraints(sparse, names).collect()} == {
+        ("primary_key", f"{32769 * far}|1", 2), ("foreign_key:student_id", str(-6 * far), 1), ("foreign_key:student_id", str(3 * far), 2)}
+
+
+def test_repeated_null_and_integer_keys(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), (7, 3), (7, 4), (8, 5)], "user_id long, x long").select("user_id")
+    got = {(r.rule, r.detail, r.n_rows) for r in audit_constraints({"admin": rows}, ["admin"]).collect()}
+    assert got == {("primary_key", "\\N", 2), ("primary_key", "7", 2), ("not_null:user_id", "", 2)}
