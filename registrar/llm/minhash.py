@@ -136,26 +136,34 @@ def least_estimate(sizes: np.ndarray, s: Settings) -> np.ndarray:
 
 
 def document_sketches(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n, set_key (digest of the set), sketch, bands; null where the set is empty."""
+    """doc_id, n, set_key (digest of the set), sketch; null where the set is empty."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         prefer = preferences(s.registers)
         for pdf in row_frames(batches, 1000):
-            n, keys, sketches, bands = [], [], [], []
+            n, keys, sketches = [], [], []
             for t in pdf["t"]:
                 hashes = shingle_set(t, s.shingle)
                 n.append(len(hashes))
                 if not len(hashes):
-                    keys.append(None), sketches.append(None), bands.append(None)
+                    keys.append(None), sketches.append(None)
                     continue
                 keys.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                sketch = sketch_of(hashes, s.registers, prefer)
-                sketches.append(sketch.tobytes())
-                bands.append(band_keys(sketch, s.bands))
+                sketches.append(sketch_of(hashes, s.registers, prefer).tobytes())
             yield pd.DataFrame({"doc_id": pdf["k"].astype("Int64").array, "n": n, "set_key": pd.Series(keys, dtype=object),
-                                "sketch": pd.Series(sketches, dtype=object), "bands": pd.Series(bands, dtype=object)})
+                                "sketch": pd.Series(sketches, dtype=object)})
 
     rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"))
-    return rows.mapInPandas(run, "doc_id long, n long, set_key binary, sketch binary, bands array<long>")
+    return rows.mapInPandas(run, "doc_id long, n long, set_key binary, sketch binary")
+
+
+def _banded(classes: DataFrame, s: Settings) -> DataFrame:
+    """rep, key: every band of every class, made from its sketch."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in row_frames(batches, 1000):
+            keys = [band_keys(np.frombuffer(b, dtype=np.uint16), s.bands) for b in pdf["sketch"]]
+            yield pd.DataFrame({"rep": np.repeat(pdf["rep"].to_numpy(), s.bands), "key": np.concatenate(keys)})
+
+    return classes.select("rep", "sketch").mapInPandas(run, "rep long, key long")
 
 
 def _close(x: int, size: np.ndarray, sketch: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +182,7 @@ def _block_rows(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray
 
 
 def _candidates(rows: DataFrame, s: Settings) -> DataFrame:
-    """Of the rows leader, i, j, block, rep, n, sketch: those with a close other."""
+    """Of the rows leader, i, j, block, rep, set_key, n, sketch: those with a close other."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, block, sketch, inner = _block_rows(pdf)
         size, keep = pdf["n"].to_numpy(), np.zeros(len(pdf), dtype=bool)
@@ -183,10 +191,10 @@ def _candidates(rows: DataFrame, s: Settings) -> DataFrame:
             y = y if inner else y[block[y] != block[x]]
             if len(y):
                 keep[x] = keep[y] = True
-        return pdf.loc[keep, ["leader", "i", "j", "block", "rep", "n", "sketch"]]
+        return pdf.loc[keep, ["leader", "i", "j", "block", "rep", "set_key", "n", "sketch"]]
 
     return rows.groupBy("leader", "i", "j").applyInPandas(
-        run, "leader long, i int, j int, block int, rep long, n long, sketch binary")
+        run, "leader long, i int, j int, block int, rep long, set_key binary, n long, sketch binary")
 
 
 def _links(rows: DataFrame, s: Settings) -> DataFrame:
@@ -224,9 +232,14 @@ def _links(rows: DataFrame, s: Settings) -> DataFrame:
     return rows.groupBy("leader", "i", "j").applyInPandas(run, "u long, v long")
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
-    """rep, hashes of the wanted classes. Where a doc_id is on rows of several texts,
-    the class's own set is the one with its digest."""
+def _full_sets(docs: DataFrame, wanted: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
+    """rep, hashes of the ``wanted`` classes (rep, set_key; sent to every task where they are few).
+    Where a doc_id is on rows of several texts, the class's own set is the one with its
+    digest; rows that repeat count once. The sets are shuffled by rep once, for that and for
+    the join with what they are compared in."""
+    few = wanted.count() <= BROADCAST_IDS  # else the texts of all documents would be shuffled for a few
+    sent = F.broadcast if few else (lambda df: df)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in row_frames(batches, 1000):
             sets = [shingle_set(t, s.shingle) for t in pdf["t"]]
@@ -234,10 +247,10 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, s: Settin
             yield pd.DataFrame({"rep": pdf["k"].array, "set_key": pd.Series(keys, dtype=object),
                                 "hashes": pd.Series([h.tobytes() for h in sets], dtype=object)})
 
-    texts = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t")).join(wanted.toDF("k"), "k", "left_semi")
-    own = classes.join(wanted, "rep", "left_semi").select("rep", "set_key")
-    return (texts.mapInPandas(run, "rep long, set_key binary, hashes binary").join(own, ["rep", "set_key"], "left_semi")
-                 .dropDuplicates(["rep", "set_key"]).select("rep", "set_key", "hashes"))
+    texts = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"))
+    texts = texts.join(sent(wanted.select(F.col("rep").alias("k"))), "k", "left_semi")
+    sets = texts.mapInPandas(run, "rep long, set_key binary, hashes binary").join(sent(wanted), ["rep", "set_key"], "left_semi")
+    return sets.dropDuplicates(["rep"]).select("rep", "hashes")
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,23 +258,25 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     and kept (doc_id = component_id) of every row."""
     marked = staged(document_sketches(docs, s, id_col, text_col), "sketches")
     classes = staged(marked.filter("set_key is not null and doc_id is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
-    banded = classes.select("rep", F.explode("bands").alias("key"))
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
+    banded = _banded(classes, s)
     shared = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("size")).filter("size > 1").drop("size")
     pairs = banded.join(shared, "key").select("leader", "rep").distinct()
-    groups = staged(pairs.join(classes.select("rep", "n", "sketch"), "rep"), "groups")
-    blocks = groups.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = (groups.join(blocks, "leader").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    groups = staged(pairs.join(classes.select("rep", "set_key", "n", "sketch"), "rep"), "groups")
+    # blocks of the groups larger than one; few beside the groups' rows, which then needn't be shuffled for them
+    large = staged(groups.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).filter("blocks > 1"), "large-groups")
+    if large.count() <= BROADCAST_IDS:
+        large = F.broadcast(large)
+    rows = (groups.join(large, "leader", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+                  .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
                   .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                   .select("leader", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                          "block", "rep", "n", "sketch"))
+                          "block", "rep", "set_key", "n", "sketch"))
     # block pairs of one large group go to tasks of their own
     near = staged(_candidates(rows.repartition("leader", "i", "j"), s), "near")
-    wanted = staged(near.select("rep").distinct(), "wanted")
-    if wanted.count() <= BROADCAST_IDS:  # else the texts of all documents would be shuffled for a few
-        wanted = F.broadcast(wanted)
-    sets = _full_sets(docs, wanted, classes, s, id_col, text_col)
-    links = staged(_links(near.join(sets, "rep"), s), "links")
+    wanted = staged(near.select("rep", "set_key").distinct(), "wanted")
+    sets = _full_sets(docs, wanted, s, id_col, text_col)
+    links = staged(_links(near.drop("set_key").join(sets, "rep"), s), "links")
     labels = components(links)
     of_set = (classes.select("set_key", "rep").join(labels, F.col("rep") == F.col("node"), "left")
                      .select("set_key", F.coalesce("component", "rep").alias("component")))

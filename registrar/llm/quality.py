@@ -179,9 +179,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", size: int =
     return fit_rules(rows[list(STATISTICS)].to_numpy(dtype=float), rows["y"].to_numpy(dtype=float))
 
 
-def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with the score of each whole text in a column ``out``."""
+def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text", filtered: bool = False) -> DataFrame:
+    """``docs`` with the score of each whole text in a column ``out``. ``filtered``: for a filter on
+    the score, which the optimiser would put before the statistics, with a copy of them for
+    every rule; they come from a generator then, which no filter on its rows passes."""
     held = F.struct(*[F.col(c) for c in docs.columns]).alias("__row")
-    stats = docs.select(held, *[c.alias(s) for s, c in statistics(F.coalesce(F.col(text_col), F.lit(""))).items()])
+    own = [c.alias(s) for s, c in statistics(F.coalesce(F.col(text_col), F.lit(""))).items()]
+    stats = docs.select(held, F.inline(F.array(F.struct(*own)))) if filtered else docs.select(held, *own)
     scored = stats.select("__row", model.column({s: F.col(s) for s in STATISTICS}).alias("__score"))
     return scored.select("__row.*", F.col("__score").alias(out))
