@@ -35,7 +35,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     stay held out."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(crc_mod(F.col("doc_id"), 3) != 1)
     model = quality.fit(docs, labels)
-    return quality.with_score(docs, model, _SCORE).filter(F.col(_SCORE) >= 0.5).drop(_SCORE)
+    return quality.with_score(docs, model, _SCORE, filtered=True).filter(F.col(_SCORE) >= 0.5).drop(_SCORE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
