@@ -185,6 +185,6 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text",
     every rule; they come from a generator then, which no filter on its rows passes."""
     held = F.struct(*[F.col(c) for c in docs.columns]).alias("__row")
     own = [c.alias(s) for s, c in statistics(F.coalesce(F.col(text_col), F.lit(""))).items()]
-    stats = docs.select(held, F.inline(F.array(F.struct(*own)))) if filtered else docs.select(held, *own)
+    stats = docs.select(held, F.struct(*own).alias("__stats")).select("__row", F.inline(F.array("__stats"))) if filtered else docs.select(held, *own)
     scored = stats.select("__row", model.column({s: F.col(s) for s in STATISTICS}).alias("__score"))
     return scored.select("__row.*", F.col("__score").alias(out))
