@@ -20,7 +20,9 @@ them didn't see:
 Texts with a junction that finds no such place are cut again with longer chunks and wider
 overlaps (``widen`` times), at last into one chunk, so every count ends exact. The
 tokenizer is the ``tokenizers`` library with the file's own settings, without truncation
-or padding, and with its default for special strings inside a text.
+or padding, and with its default for special strings inside a text; short texts of a file whose
+merges are in the order of their ids go through the packing operator's encoder, which gives the
+library's ids.
 
 Only texts longer than a chunk are shuffled, chunk by chunk; counts of equal texts are
 taken by their digest, so neither a huge text nor many copies of it are one task's work.
@@ -43,6 +45,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from registrar.llm import packing
 from registrar.llm.bpe import byte_symbols
 from registrar.llm.common import row_frames, staged
 
@@ -73,15 +76,22 @@ class Encoder:
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.margin = AHEAD + max(map(len, added), default=0)
+        try:  # the same ids, words that repeat are encoded once
+            self.short = packing.Encoder(path)
+        except ValueError:
+            self.short = None
         self.width = np.zeros(1 + max([*vocab.values(), *added.values()]), dtype=np.int64)
         for token, i in vocab.items():
             self.width[i] = len(token) if all(c in symbols for c in token) else len(token.encode())
         for token, i in added.items():
             self.width[i] = len(token.encode())
 
-    def counts(self, texts: list[str]) -> list[int]:
+    def sizes(self, texts: list[str]) -> list[int]:
         return [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def counts(self, texts: list[str]) -> list[int]:
+        return [len(self.short.encode(t)) // 4 for t in texts] if self.short else self.sizes(texts)
+
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, first bytes (one more: the end) and pieces of a chunk's tokens."""
         e = self.tokenizer.encode(text, add_special_tokens=False)
