@@ -25,6 +25,7 @@ from __future__ import annotations
 import html as references
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -39,7 +40,7 @@ BLOCKS = frozenset((
     "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td "
     "tfoot th thead tr ul").split())
 NOT_TEXT = frozenset((
-    "script style noscript template head title nav footer aside form button select option textarea input label "
+    "script style noscript template head title nav footer aside button select option textarea input label "
     "iframe object svg canvas menu dialog noembed noframes xmp datalist").split())
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form toolbar".split())
 KEEPERS = frozenset(("article", "main"))
@@ -107,6 +108,8 @@ def _judge(x: Node, attributes: str) -> None:
     names = " ".join(n for k in ("class", "id") for n in found.get(k, "").split() if not MODIFIER.match(n))
     if COMMENTS.search(names):
         x.suspect = "comments"
+    elif tag == "form":  # some pages are one form; its controls are left out anyhow
+        x.suspect = "other"
     elif BOILERPLATE.search(names) or not inside.within and PAGE_HEADER.search(names):
         x.suspect = "other"
 
@@ -138,40 +141,43 @@ def _settle(root: Node) -> None:
 
 def parse(page: str) -> Node:
     """The tree of a page; ``parts`` of a node are its texts and child nodes in order."""
-    root = node = Node("html", None, False)
+    root = Node("html", None, False)
+    way, depths = [root], {"html": [0]}  # the open elements, and for each name where they stand among them
     at, n = 0, len(page)
+
+    def close(depth: int) -> None:
+        while len(way) > depth:
+            depths[way.pop().tag].pop()
+
     while at < n:
         found = _TOKEN.search(page, at)
         if found is None:
-            node.parts.append(page[at:])
+            way[-1].parts.append(page[at:])
             break
         if found.start() > at:
-            node.parts.append(page[at:found.start()])
+            way[-1].parts.append(page[at:found.start()])
         at = found.end()
         tag = (found[2] or "").lower()
         if not tag:
             continue
         if found[1]:  # an end tag closes the nearest such element; others are ignored
-            up = node
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
+            if depths.get(tag) and depths[tag][-1] > 0:
+                close(depths[tag][-1])
             continue
-        if tag in ("html", "body") and node.parent is None:
+        if tag in ("html", "body") and len(way) == 1:
             if tag == "body":
-                node.parts.append(child := Node(tag, node, False))
-                node = child
+                root.parts.append(child := Node(tag, root, False))
+                depths.setdefault(tag, []).append(len(way))
+                way.append(child)
             continue
         closing = ("p",) if tag in _CLOSES_P else CLOSES.get(tag, ())
-        if closing:
-            bounds, up, last = BOUNDS.get(tag, ("table", "td", "th", "button", "body")), node, None
-            while up is not None and up.tag not in bounds:
-                if up.tag in closing:
-                    last = up
-                up = up.parent
-            if last is not None and last.parent is not None:
-                node = last.parent
+        if any(depths.get(c) for c in closing):
+            bounds = BOUNDS.get(tag, ("table", "td", "th", "button", "body"))
+            least = max((depths[x][-1] for x in bounds if depths.get(x)), default=-1)
+            inside = [d[i] for d in (depths.get(c, []) for c in closing) if (i := bisect_right(d, least)) < len(d)]
+            if inside and min(inside) > 0:  # the outermost within the bound
+                close(min(inside))
+        node = way[-1]
         child = Node(tag, node, False)
         _judge(child, found[3] or "")
         node.parts.append(child)
@@ -180,7 +186,8 @@ def parse(page: str) -> Node:
             stop = page.find(">", end.start()) if end else -1
             at = stop + 1 if stop >= 0 else n
         elif tag not in VOID and not (found[3] or "").endswith("/"):
-            node = child
+            depths.setdefault(tag, []).append(len(way))
+            way.append(child)
     _settle(root)
     return root
 
