@@ -69,20 +69,18 @@ def assign_classes(T, requests: DataFrame) -> DataFrame:
     return pairs.join(good, "seq", "left_semi").select("student_id", "class_id").distinct()
 
 
-def admit_to_offering(T, requests: DataFrame, parts: int | None = None) -> Outcome:
-    """Decide every admission request (seq, student_id, edition_id, classes).
-
-    Returns the status per request, the new ``course_enrollment`` (accepted rows
-    added with no grade) and the new ``student_class``.
-    """
+def decide(T, requests: DataFrame, taken: DataFrame, enrolled: DataFrame, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The decisions of W13 when ``taken`` (edition_id, n) seats are taken and ``enrolled``
+    (student_id, edition_id) pairs exist, both before the first request; of offerings and
+    pairs that no request names they need hold nothing. Returns the status per request and the
+    (seq, student_id, class_id) pairs of all requests."""
     req = requests.select("seq", "student_id", "edition_id", "classes")
     ed = tbl(T, "course_edition").select("edition_id", "course_code", "capacity")
     co = tbl(T, "course").select(F.col("code").alias("course_code"))
-    ce = tbl(T, "course_enrollment")
-    current = ce.groupBy("edition_id").agg(F.count("*").alias("_current"))
+    current = taken.select("edition_id", F.col("n").alias("_current"))
     # everything known per offering in one table (one join with the requests)
     offering = ed.join(co, "course_code").join(current, "edition_id", "left").withColumn("_exists", F.lit(True))
-    enrolled = ce.select("student_id", "edition_id").distinct().withColumn("_enrolled", F.lit(True))
+    enrolled = enrolled.select("student_id", "edition_id").distinct().withColumn("_enrolled", F.lit(True))
     known = tbl(T, "student").select(F.col("user_id").alias("student_id")).distinct().withColumn("_student", F.lit(True))
 
     pairs = req.join(offering.select("edition_id", "course_code"), "edition_id").select("student_id", "course_code")
@@ -118,7 +116,17 @@ def admit_to_offering(T, requests: DataFrame, parts: int | None = None) -> Outco
         (F.col("student_ok"), "no_student"),
         (F.col("classes_ok"), "class"),
     )
-    outcome = r.select("seq", "student_id", "edition_id", status.alias("status"))
+    return r.select("seq", "student_id", "edition_id", status.alias("status")), cls_pairs
+
+
+def admit_to_offering(T, requests: DataFrame, parts: int | None = None) -> Outcome:
+    """Decide every admission request (seq, student_id, edition_id, classes).
+
+    Returns the status per request, the new ``course_enrollment`` (accepted rows
+    added with no grade) and the new ``student_class``.
+    """
+    ce = tbl(T, "course_enrollment")
+    outcome, cls_pairs = decide(T, requests, ce.groupBy("edition_id").agg(F.count("*").alias("n")), ce, parts)
     ok = outcome.where(F.col("status") == "ok")
     new_enrol = ok.select("student_id", "edition_id", F.lit(None).cast(ce.schema["grade"].dataType).alias("grade"),
                           F.lit(None).cast("long").alias("attendance"),

@@ -20,6 +20,7 @@ from registrar.operators import ingest as I
 from registrar.operators import programs as P
 from registrar.operators import quality as Q
 from registrar.operators import reports as R
+from registrar.streaming import admissions as SA
 from registrar.streaming import balances as SB
 from registrar.streaming import records as SR
 from registrar.schema import PRIMARY_KEYS, SCHEMAS
@@ -443,6 +444,16 @@ def _stream_balances(c: Campus) -> DataFrame:
     return out.select("student_id", F.col("balance").cast("double").alias("balance"), "n_charges")
 
 
+@query("stream_admission")
+def _stream_admission(c: Campus) -> DataFrame:
+    """W13 over four deliveries of requests, decided one after the other with the state carried on."""
+    names = ("course", "course_edition", "course_enrollment", "course_prerequisites", "student", "class", "student_class")
+    root = scratch_path(c.spark, "admission_tables")
+    store_tables(c, root, names, by_year=False)  # each delivery reads them again
+    state = SA.admissions_from_table(c.spark, load_tables(c.spark, root, names), c.admission_request, 4)
+    return state.outcome().drop("delivery")
+
+
 @query("stream_academic_record")
 def _stream_academic_record(c: Campus) -> DataFrame:
     """The accepted grade updates streamed into running records."""

@@ -168,6 +168,7 @@ _ADMITTED = [("offering", _OFFERING), ("passed", _PASSED),
              ("lacks", _LACKS), ("facts", _FACTS)]
 
 sql("admit_to_offering", _ADMIT, _ADMITTED)
+sql("stream_admission", _ADMIT, _ADMITTED)
 
 sql("assign_classes", """
 SELECT DISTINCT r.student_id, c.id AS class_id

@@ -88,3 +88,13 @@ class KeyedLog:
         for e in self._epochs("log"):
             if e <= need:
                 fs.delete(path(f"{self.root}/log/{EPOCH}={e}"), True)
+
+
+def known_state(log: KeyedLog, first: KeyedLog, epoch: int, rows: DataFrame) -> DataFrame:
+    """The state of the keys of ``rows`` before the epoch: the log's row, else the one that the
+    stream began with (``first``). Only the buckets of these keys are read."""
+    buckets = log.buckets_of(rows)
+    ids = rows.select(*log.keys).distinct()
+    later = log.read(epoch, buckets).join(ids, log.keys, "left_semi")
+    early = first.read(None, buckets).join(ids, log.keys, "left_semi").join(later.select(*log.keys), log.keys, "left_anti")
+    return later.unionByName(early, allowMissingColumns=True)

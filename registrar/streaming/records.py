@@ -27,7 +27,7 @@ from registrar.operators.grading import added_sums, passing_sums, signed_deltas
 from registrar.schema import GRADE_TYPE, REQUEST_SCHEMAS
 from registrar.session import scratch_path
 from registrar.streaming.balances import paced, session_buckets
-from registrar.streaming.keyed_log import KeyedLog
+from registrar.streaming.keyed_log import KeyedLog, known_state
 
 CHANGE_SCHEMA = REQUEST_SCHEMAS["grade_change"]
 SUMS = T.StructType([T.StructField(n, T.LongType()) for n in ("student_id", "cents", "n")])
@@ -56,20 +56,12 @@ class RecordState:
         self.first_grades.put(0, initial)
         self.first_sums.put(0, passing_sums(initial))
 
-    def _known(self, log: KeyedLog, first: KeyedLog, epoch: int, rows: DataFrame) -> DataFrame:
-        """The state of the keys of ``rows`` before the epoch: the log's row, else the first one."""
-        buckets = log.buckets_of(rows)
-        ids = rows.select(*log.keys).distinct()
-        later = log.read(epoch, buckets).join(ids, log.keys, "left_semi")
-        early = first.read(None, buckets).join(ids, log.keys, "left_semi").join(later.select(*log.keys), log.keys, "left_anti")
-        return later.unionByName(early, allowMissingColumns=True)
-
     def apply(self, batch: DataFrame, epoch: int) -> None:
         work = batch.sparkSession
         staged = scratch_path(work, "latest_changes")
         _latest_in_batch(batch).write.mode("overwrite").parquet(staged)
         latest = work.read.schema(CHANGE_SCHEMA).parquet(staged)
-        known = self._known(self.applied, self.first_grades, epoch, latest)
+        known = known_state(self.applied, self.first_grades, epoch, latest)
         known = known.select(*PAIR, F.col("grade").alias("was"), F.col("batch_id").alias("b0"), F.col("pos").alias("p0"))
         fresh = F.col("b0").isNull() | (F.struct("batch_id", "pos") > F.struct(F.col("b0").alias("batch_id"), F.col("p0").alias("pos")))
         both = latest.join(known, PAIR, "left").where(fresh)
@@ -77,7 +69,7 @@ class RecordState:
         both.write.mode("overwrite").parquet(staged)
         both = work.read.parquet(staged)
         deltas = signed_deltas(both.select(*PAIR, F.col("was").alias("grade")), both)
-        self.sums.put(epoch, added_sums(self._known(self.sums, self.first_sums, epoch, both), deltas))
+        self.sums.put(epoch, added_sums(known_state(self.sums, self.first_sums, epoch, both), deltas))
         self.applied.put(epoch, both)
 
     def records(self) -> DataFrame:

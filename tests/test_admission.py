@@ -1,10 +1,14 @@
 """W13 against a one-request-at-a-time loop that follows the reference's checks."""
 
 import random
+import tempfile
+
+import pytest
 
 from helpers import D, campus
 
 from registrar.operators.admission import admit_to_offering
+from registrar.streaming.admissions import AdmissionState, admissions_from_table, announce, run_admissions
 
 
 def sequential(editions, classes, enrolled, prereq, passed, requests, students):
@@ -88,3 +92,60 @@ def test_hot_offering_spread_over_chunks(spark):
     got = {r.seq: r.status for r in admit_to_offering(T, req_df, parts=4).outcome.collect()}
     assert got == sequential(editions, classes, [], [], {}, reqs, range(40))
     assert sum(1 for s in got.values() if s == "ok") == 25 + 3
+
+
+def _random_campus(spark, rnd):
+    editions = {100 + i: (f"C{i}", rnd.randrange(0, 6)) for i in range(4)}
+    classes = {2 * e + k: e for e in editions for k in (0, 1)}
+    grades = [(s, 100, D(rnd.choice([8, 12])), None, None) for s in range(3)]
+    reqs = []
+    for seq in rnd.sample(range(1000), 60):
+        e = rnd.choice([*editions, 101, 999])
+        reqs.append((seq, rnd.randrange(9), e, rnd.choice([[], [2 * e], [2 * e, 2 * e + 1], [2 * e, 5]])))
+    T = campus(spark, course=[(f"C{i}", f"course {i}", 6) for i in range(5)], student=[(s, None, None, None, None) for s in range(8)],
+               course_edition=[(e, c, 2024, cap, None, 1) for e, (c, cap) in editions.items()],
+               **{"class": [(k, e, "T", "x") for k, e in classes.items()]},
+               student_class=[(0, 200)], course_enrollment=grades, course_prerequisites=[("C1", "C0")])
+    return T, reqs
+
+
+REQ = "seq long, student_id long, edition_id long, classes array<long>"
+
+
+def test_any_cut_into_deliveries_gives_the_statuses_of_one_batch(spark):
+    """Random cuts, an empty delivery, and a delivery that is run again after a failure."""
+    rnd = random.Random(11)
+    for cuts in ([20, 20, 41], [5]):
+        T, reqs = _random_campus(spark, rnd)
+        whole = admit_to_offering(T, spark.createDataFrame(reqs, REQ), parts=2)
+        state = AdmissionState(spark, tempfile.mkdtemp(prefix="registrar-admissions-", dir="/tmp"), T, every=2)
+        state.begin()
+        reqs.sort()
+        for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(reqs)])):
+            part = spark.createDataFrame(reqs[a:b], REQ)
+            for _ in range(2 if i == 1 else 1):
+                state.admit(part, i)
+        assert {r.seq: r.status for r in state.outcome().collect()} == {r.seq: r.status for r in whole.outcome.collect()}
+        assert sorted(map(tuple, state.student_class().collect())) == sorted(map(tuple, whole.tables["student_class"].collect()))
+        seats = {r.edition_id: r.n for r in state.seats.read().collect()}
+        for r in whole.tables["course_enrollment"].groupBy("edition_id").count().collect():
+            assert seats.get(r.edition_id, r["count"]) == r["count"]
+
+
+def test_stream_goes_on_where_it_stopped(spark):
+    T, reqs = _random_campus(spark, random.Random(5))
+    df = spark.createDataFrame(reqs, REQ)
+    whole = {r.seq: r.status for r in admit_to_offering(T, df, parts=2).outcome.collect()}
+    assert {r.seq: r.status for r in admissions_from_table(spark, T, df, 2).outcome().collect()} == whole
+    work = tempfile.mkdtemp(prefix="registrar-admissions-", dir="/tmp")
+    state = AdmissionState(spark, f"{work}/state", T)
+    state.begin()
+    reqs.sort()
+    for i in range(2):  # the second delivery comes after the first run has ended
+        spark.createDataFrame(reqs[30 * i:30 * i + 30], REQ).write.parquet(f"{work}/d{i}")
+        announce(spark, f"{work}/notices", i, f"{work}/d{i}")
+        out = run_admissions(spark, state, f"{work}/notices", work)
+    assert {r.seq: r.status for r in out.collect()} == whole
+    announce(spark, f"{work}/notices", 7, f"{work}/d1")
+    with pytest.raises(Exception, match="announced as number 2"):
+        run_admissions(spark, state, f"{work}/notices", work)
