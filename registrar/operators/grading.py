@@ -5,7 +5,8 @@ and a row table ``(batch_id, pos, pair)`` where ``pair`` is the submitted
 ``[student, grade]`` entry. (``split_batches`` turns nested request bodies into
 this form with ``posexplode``.) A batch never has to fit in one row or one task.
 
-Per batch, in the reference's order: period and grades present -> offering
+Per batch, in the reference's order: period and grades present (and all parts, where it came in
+parts) -> offering
 exists -> submitter is its coordinator -> for each well-formed pair by position:
 0 <= grade <= 20 (raw value; null/NaN fail) -> student enrolled. The first
 failure rejects the whole batch (reported with its position). Entries that are
@@ -24,15 +25,25 @@ from registrar.operators.admission import Outcome
 from registrar.operators.reports import tbl
 from registrar.schema import GRADE_TYPE
 
-BATCH_STATUSES = ("ok", "missing_fields", "no_edition", "not_coordinator", "invalid_grade", "not_enrolled")
+BATCH_STATUSES = ("ok", "missing_fields", "incomplete", "no_edition", "not_coordinator", "invalid_grade", "not_enrolled")
 
 
 def split_batches(nested: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nested bodies ``(batch_id, edition_id, submitter_id, period, grades array<array<string>>)``
-    -> (headers, rows) with ``pos`` = index in the list."""
-    headers = nested.select("batch_id", "edition_id", "submitter_id", "period")
-    rows = nested.select("batch_id", F.posexplode("grades").alias("pos", "pair")).withColumn("pos", F.col("pos").cast("long"))
-    return headers, rows
+    -> (headers, rows) with ``pos`` = index in the list.
+
+    With columns ``first`` and ``total`` a batch may come in several parts (null: the whole list).
+    Parts are joined by (batch_id, first); one that was sent twice counts once, the header is
+    that of the part that comes first in the list, and ``total`` goes into the header, so that
+    ``submit_grades`` refuses a batch of which a part is missing (``incomplete``)."""
+    if "first" not in nested.columns:
+        headers = nested.select("batch_id", "edition_id", "submitter_id", "period")
+        return headers, nested.select("batch_id", F.posexplode("grades").alias("pos", "pair")).withColumn("pos", F.col("pos").cast("long"))
+    parts = nested.withColumn("first", F.coalesce("first", F.lit(0))).dropDuplicates(["batch_id", "first"])
+    head = F.min_by(F.struct("edition_id", "submitter_id", "period", "total"), F.col("first"))
+    headers = parts.groupBy("batch_id").agg(head.alias("h")).select("batch_id", "h.*")
+    rows = parts.select("batch_id", "first", F.posexplode("grades").alias("pos", "pair"))
+    return headers, rows.select("batch_id", (F.col("first") + F.col("pos")).alias("pos"), "pair")
 
 
 def _check_rows(T, headers: DataFrame, rows: DataFrame) -> DataFrame:
@@ -60,8 +71,10 @@ def submit_grades(T, headers: DataFrame, rows: DataFrame) -> Outcome:
     ed = tbl(T, "course_edition").select("edition_id", "coordinator_id", F.lit(True).alias("_ed"))
     n_rows = rows.groupBy("batch_id").agg(F.count("*").alias("_n"))
     h = headers.join(ed, "edition_id", "left").join(n_rows, "batch_id", "left")
+    whole = F.coalesce(F.col("_n") == F.col("total"), F.lit(True)) if "total" in headers.columns else F.lit(True)
     head_reason = first_reason(
         ((F.length(F.coalesce("period", F.lit(""))) > 0) & (F.coalesce("_n", F.lit(0)) > 0), "missing_fields"),
+        (whole, "incomplete"),
         (F.coalesce("_ed", F.lit(False)), "no_edition"),
         (F.col("submitter_id") == F.col("coordinator_id"), "not_coordinator"))
     h = h.select("batch_id", "edition_id", head_reason.alias("head_reason"))

@@ -208,6 +208,23 @@ def best_per_period(stats: DataFrame) -> DataFrame:
                 .orderBy(F.col("month").desc()))
 
 
+def roster(T, offerings: DataFrame) -> DataFrame:
+    """The enrolments of chosen offerings (edition_id, year). In the stored layout the year is
+    joined too: the scan of the enrolments takes the years of the offerings at run time
+    (dynamic partition pruning), whatever they were chosen by."""
+    ce = tbl(T, "course_enrollment")
+    on = ["edition_id", "year"] if "year" in ce.columns else ["edition_id"]
+    return ce.join(offerings.select(*on), on).select("edition_id", "student_id", "grade", "evaluation_period")
+
+
+def best_offering(T, as_of) -> DataFrame:
+    """Of the offerings that are best in their period (W07), the one with most passes, at least one,
+    ties to the newer period: (edition_id, year, approved)."""
+    best = best_per_period(evaluation_stats(T, as_of)).where(F.col("approved") > 0)
+    top = best.orderBy(F.col("approved").desc(), F.col("month").desc()).limit(1)
+    return top.select(F.col("course_edition_id").alias("edition_id"), F.substring("month", 1, 4).cast("long").alias("year"), "approved")
+
+
 # ------------------------------------------------------------------ W18 / W19 admission inputs
 
 def passed_courses(T, courses: DataFrame | None = None) -> DataFrame:

@@ -26,13 +26,14 @@ from registrar.streaming import records as SR
 from registrar.schema import PRIMARY_KEYS, SCHEMAS
 from registrar.session import scratch_path
 from registrar.sources.fixtures import Campus
-from registrar.sources.requests import parse_bodies
+from registrar.sources.requests import grade_bodies, parse_bodies, split_bodies
 from registrar.sources.store import load_tables, store_tables
 from registrar.sources.versions import StoredTable
 
 TOP_YEAR = 2000
 TOP_N = 3
 AS_OF = "2001-12-31"
+FIRST_AS_OF = "1992-12-31"  # every period counts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -153,6 +154,19 @@ def _seat_availability(c: Campus) -> DataFrame:
     return R.seat_availability(c)
 
 
+@query("stored_best_roster")
+def _stored_best_roster(c: Campus) -> DataFrame:
+    """The enrolments of the best offering of all periods, from enrolments stored by year."""
+    names = ("course", "course_edition", "course_enrollment")
+    root = scratch_path(c.spark, "by_year")
+    store_tables(c, root, names)
+    stored = load_tables(c.spark, root, names)
+    R.best_offering(stored, FIRST_AS_OF).write.parquet(f"{root}/best")
+    best = c.spark.read.parquet(f"{root}/best").where(F.col("approved") > 0)
+    out = R.roster(stored, best)
+    return out.withColumn("grade", F.col("grade").cast("double"))
+
+
 # ---------------------------------------------------------------- admission
 
 @query("admit_to_offering")
@@ -192,6 +206,20 @@ def _register_users(c: Campus) -> DataFrame:
     return I.register_users(c, c.registration, "student").outcome
 
 
+@query("register_users_json")
+def _register_users_json(c: Campus) -> DataFrame:
+    """W08 from JSON bodies, some of them cut short, wrapped in a list or followed by a comma: these
+    are rejected as they came, the others registered."""
+    r, seq = c.registration, F.col("seq")
+    body = F.to_json(F.struct("username", "email", F.when(F.col("password_present"), F.concat(F.lit("p"), seq.cast("string"))).alias("password")))
+    sent = r.select("seq", body.alias("body")).select("seq", (
+        F.when(seq % 37 == 0, F.substring("body", F.lit(1), F.length("body") - 1)).when(seq % 41 == 0, F.concat(F.lit("["), "body", F.lit("]")))
+         .when(seq % 43 == 0, F.concat("body", F.lit(" ,"))).otherwise(F.col("body"))).alias("body"))
+    requests, rejects = split_bodies(sent, "registration")
+    out = I.register_users(c, requests, "student").outcome
+    return out.unionByName(rejects, allowMissingColumns=True)
+
+
 def _registered(role: str) -> None:
     @query(f"users_after_{role}s")
     def users_after(c: Campus) -> DataFrame:
@@ -327,10 +355,8 @@ def _submit_grades(c: Campus) -> DataFrame:
 
 @query("submit_grades_json")
 def _submit_grades_json(c: Campus) -> DataFrame:
-    """W15 from JSON bodies: a batch's rows as one body in list order, parsed again."""
-    lists = c.grade_row.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("pos", "pair"))).alias("rows"))
-    body = F.to_json(F.struct("period", F.transform("rows", lambda r: r["pair"]).alias("grades")))
-    bodies = c.grade_batch.join(lists, "batch_id").select("batch_id", "edition_id", "submitter_id", body.alias("body"))
+    """W15 from JSON bodies: a batch's rows in bodies of bounded length, parsed and joined again."""
+    bodies = grade_bodies(c.grade_batch, c.grade_row)
     return G.submit_grades(c, *G.split_batches(parse_bodies(bodies, "grade_batch"))).outcome
 
 

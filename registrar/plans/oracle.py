@@ -116,6 +116,12 @@ SELECT month, min(course_edition_id) AS course_edition_id, arg_min(course_editio
 FROM es WHERE (month, approved) IN (SELECT (month, max(approved)) FROM es GROUP BY month)
 GROUP BY month, approved""", [("offering", _OFFERING), ("es", _EVAL)])
 
+_BEST = _EVAL.replace("o.year >= 2000", "g.approved > 0")
+sql("stored_best_roster", """
+WITH top AS (SELECT course_edition_id AS edition_id FROM es ORDER BY approved DESC, month DESC, course_edition_id LIMIT 1)
+SELECT edition_id, student_id, CAST(grade AS DOUBLE) AS grade, evaluation_period
+FROM d_course_enrollment JOIN top USING (edition_id)""", [("offering", _OFFERING), ("es", _BEST)])
+
 # Courses passed by students, and what a student still lacks for a course.
 _PASSED = """SELECT DISTINCT g.student_id, o.code FROM d_course_enrollment g JOIN offering o USING (edition_id) WHERE g.grade >= 9.5"""
 _LACKS = """
@@ -201,6 +207,19 @@ FROM st"""
 
 sql("register_users", _REG)
 
+_SENT = """
+WITH t AS (SELECT seq, '{' || concat_ws(',', '"username":"' || username || '"', '"email":"' || email || '"',
+                  CASE WHEN password_present THEN '"password":"p' || CAST(seq AS VARCHAR) || '"' END) || '}' AS txt FROM r_registration)
+SELECT seq, CASE WHEN seq % 37 = 0 THEN left(txt, -1) WHEN seq % 41 = 0 THEN '[' || txt || ']'
+                 WHEN seq % 43 = 0 THEN txt || ' ,' ELSE txt END AS body FROM t"""
+_GOOD = """
+SELECT r.* FROM r_registration r JOIN sent USING (seq)
+WHERE json_valid(sent.body) AND CASE WHEN json_valid(sent.body) THEN json_type(sent.body) = 'OBJECT' END"""
+sql("register_users_json", """
+SELECT seq, username, status, user_id, CAST(NULL AS VARCHAR) AS body FROM reg
+UNION ALL SELECT seq, NULL, 'bad_json', NULL, body FROM sent ANTI JOIN fine USING (seq)""",
+    [("sent", _SENT), ("fine", _GOOD), ("reg", _REG.replace("r_registration", "fine"))])
+
 # The users table after registrations of a role, and that role's own table.
 for _role, _own in (("student", "d_student"), ("instructor", "d_instructor"), ("admin", "d_admin")):
     sql(f"users_after_{_role}s", f"""

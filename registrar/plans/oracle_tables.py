@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-IB = 1000000000  # instructor id offset (fixed parameter of the derivation)
+IB = "(SELECT u FROM d_unit)"  # more than any id of a customer, a supplier or an event's user
 
 
 def _code(expr: str) -> str:
@@ -19,6 +19,9 @@ def _code(expr: str) -> str:
 
 
 CTES: dict[str, str] = {
+    "d_unit": """
+        SELECT 1 + max(id) AS u
+        FROM (SELECT c_custkey AS id FROM customer UNION ALL SELECT s_suppkey FROM supplier UNION ALL SELECT user_id FROM events)""",
     "enr0": f"""
         SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber,
                l.l_quantity, l.l_returnflag, CAST(o.o_orderdate AS DATE) AS ordered_on,
@@ -38,8 +41,8 @@ CTES: dict[str, str] = {
         SELECT s_suppkey + {IB}, s_name, 'i' || CAST(s_suppkey AS VARCHAR) || '@uni.example', 'instructor'
         FROM supplier
         UNION ALL
-        SELECT n_nationkey + {3 * IB}, 'admin-' || n_name, NULL, 'admin' FROM nation""",
-    "d_admin": f"SELECT n_nationkey + {3 * IB} AS user_id FROM nation",
+        SELECT n_nationkey + 4 * {IB}, 'admin-' || n_name, NULL, 'admin' FROM nation""",
+    "d_admin": f"SELECT n_nationkey + 4 * {IB} AS user_id FROM nation",
     "d_instructor": f"""
         SELECT s_suppkey + {IB} AS user_id, s_suppkey % 3 = 0 AS is_coordinator FROM supplier""",
     "d_course": f"""
@@ -47,7 +50,7 @@ CTES: dict[str, str] = {
         FROM part""",
     "d_course_edition": f"""
         SELECT edition_id, {_code('cno')} AS course_code, yr AS year, CAST(2 + cno % 8 AS BIGINT) AS capacity,
-               min(l_suppkey) + {IB} + CASE WHEN cno % 10 = 9 THEN {IB // 2} ELSE 0 END AS coordinator_id
+               min(l_suppkey) + {IB} * CASE WHEN cno % 10 = 9 THEN 2 ELSE 1 END AS coordinator_id
         FROM enr0 GROUP BY edition_id, cno, yr""",
     "d_course_enrollment": """
         SELECT student_id, edition_id,
@@ -128,7 +131,7 @@ CTES: dict[str, str] = {
                CASE WHEN x.seq % 13 = 0 THEN CAST([] AS BIGINT[])
                     WHEN x.seq % 11 = 0 THEN [x.ed * 2, x.ed * 2 + 3] ELSE [x.ed * 2, x.ed * 2 + 1] END AS classes
         FROM (SELECT e.event_id AS seq,
-                     CASE WHEN e.event_id % 31 = 0 THEN e.user_id + 2 * {IB}
+                     CASE WHEN e.event_id % 31 = 0 THEN e.user_id + 3 * {IB}
                           WHEN e.event_id % 9 = 0 AND p.ed IS NOT NULL THEN p.student ELSE e.user_id END AS student_id,
                      CASE WHEN e.event_id % 9 = 0 AND p.ed IS NOT NULL THEN p.ed
                           ELSE e.event_id * 7 % (SELECT count(*) + count(*) // 30 + 1 FROM part) * 10 + e.event_id % 7 END AS ed
@@ -136,8 +139,8 @@ CTES: dict[str, str] = {
               LEFT JOIN (SELECT l_orderkey, min(edition_id) AS ed, min(student_id) AS student FROM enr0 GROUP BY l_orderkey) p
                 ON p.l_orderkey = e.event_id
               WHERE e.event_type = 'signup') x""",
-    "r_degree": """
-        SELECT event_id AS seq, CASE WHEN event_id % 23 = 0 THEN user_id + 2000000000 ELSE user_id END AS student_id,
+    "r_degree": f"""
+        SELECT event_id AS seq, CASE WHEN event_id % 23 = 0 THEN user_id + 3 * {IB} ELSE user_id END AS student_id,
                event_id % ((SELECT count(*) FROM d_degree_program) + 2) AS degree_id,
                CASE WHEN event_id % 19 <> 0 THEN CAST(ts AS DATE) END AS date
         FROM events WHERE event_type = 'click'""",
@@ -173,7 +176,7 @@ CTES: dict[str, str] = {
         SELECT user_id AS seq, user_id AS student_id FROM d_users
         WHERE user_id % 50 = 0 OR (user_id >= {IB} AND user_id % 10 = 5)
         UNION ALL
-        SELECT c_custkey + 2 * {IB}, c_custkey + 2 * {IB} FROM customer WHERE c_custkey % 500 = 7""",
+        SELECT c_custkey + 3 * {IB}, c_custkey + 3 * {IB} FROM customer WHERE c_custkey % 500 = 7""",
 }
 
 _NAME = re.compile(r"\b([a-z_][a-z0-9_]*)\b")

@@ -8,7 +8,10 @@ them. ``plans/oracle.py`` repeats every rule in SQL for the independent check.
 Every row of every table takes part, whatever the scale. Base: ``enr0`` = lineitem ⋈
 orders, course number ``cno = l_partkey``,
 ``year = year(o_orderdate)``, ``edition_id = cno*10 + (year - 1995)``,
-``student_id = o_custkey``.
+``student_id = o_custkey``. Ids of other people follow the students' in steps of ``unit``, one more
+than the largest customer, supplier or event user id: instructors from 1 unit on, coordinators
+without an instructor row from 2, students that don't exist from 3, admins from 4. So they never
+meet, whatever the size. (Orders of at most ten consecutive years and at most 99 lines each.)
 """
 
 from __future__ import annotations
@@ -17,11 +20,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from registrar.functions.columns import course_code, to_grade, to_money
+from registrar.functions.sequence import running_count
 from registrar.sources.tables import Source
 
 # Fixed parameters of the derivation.
 FIRST_YEAR = 1995
-INSTRUCTOR_BASE = 1_000_000_000
 
 
 class Campus:
@@ -46,6 +49,13 @@ class Campus:
         return {n: getattr(self, n) for n in names}
 
 
+def _unit(c: Campus):
+    """More than any id of a customer, a supplier or an event's user."""
+    largest = [t.select(F.max(k)).scalar() for t, k in
+               ((c.src.customer, "c_custkey"), (c.src.supplier, "s_suppkey"), (c.src.events, "user_id"))]
+    return F.greatest(*largest).cast("long") + 1
+
+
 def _enr0(c: Campus) -> DataFrame:
     li = c.src.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
     o = c.src.orders.select("o_orderkey", "o_custkey", "o_orderdate")
@@ -70,7 +80,7 @@ def _student(c: Campus) -> DataFrame:
 
 def _instructor_ids(c: Campus) -> DataFrame:
     s = c.src.supplier.select("s_suppkey")
-    return s.select((F.col("s_suppkey") + INSTRUCTOR_BASE).alias("user_id"), "s_suppkey")
+    return s.select((F.col("s_suppkey") + _unit(c)).alias("user_id"), "s_suppkey")
 
 
 def _users(c: Campus) -> DataFrame:
@@ -79,10 +89,10 @@ def _users(c: Campus) -> DataFrame:
                                F.concat(F.lit("s"), F.col("user_id").cast("string"), F.lit("@uni.example")).alias("email"),
                                F.lit("student").alias("role"))
     sup = c.src.supplier.select("s_suppkey", "s_name")
-    instr = sup.select((F.col("s_suppkey") + INSTRUCTOR_BASE).alias("user_id"), F.col("s_name").alias("username"),
+    instr = sup.select((F.col("s_suppkey") + _unit(c)).alias("user_id"), F.col("s_name").alias("username"),
                        F.concat(F.lit("i"), F.col("s_suppkey").cast("string"), F.lit("@uni.example")).alias("email"),
                        F.lit("instructor").alias("role"))
-    admins = c.src.nation.select((F.col("n_nationkey") + 3 * INSTRUCTOR_BASE).alias("user_id"),
+    admins = c.src.nation.select((F.col("n_nationkey") + 4 * _unit(c)).alias("user_id"),
                                  F.concat(F.lit("admin-"), F.col("n_name")).alias("username"),
                                  F.lit(None).cast("string").alias("email"), F.lit("admin").alias("role"))
     return students.unionByName(instr).unionByName(admins)
@@ -93,7 +103,7 @@ def _instructor(c: Campus) -> DataFrame:
 
 
 def _admin(c: Campus) -> DataFrame:
-    return c.src.nation.select((F.col("n_nationkey") + 3 * INSTRUCTOR_BASE).alias("user_id"))
+    return c.src.nation.select((F.col("n_nationkey") + 4 * _unit(c)).alias("user_id"))
 
 
 def _course(c: Campus) -> DataFrame:
@@ -105,7 +115,7 @@ def _course(c: Campus) -> DataFrame:
 def _course_edition(c: Campus) -> DataFrame:
     # every tenth course's coordinator has no instructor row
     g = c.enr0.groupBy("edition_id", "cno", "yr").agg(F.min("l_suppkey").alias("min_supp"))
-    coordinator = F.col("min_supp") + INSTRUCTOR_BASE + F.when(F.col("cno") % 10 == 9, INSTRUCTOR_BASE // 2).otherwise(0)
+    coordinator = F.col("min_supp") + _unit(c) * F.when(F.col("cno") % 10 == 9, 2).otherwise(1)
     return g.select("edition_id", course_code("cno").alias("course_code"), F.col("yr").alias("year"),
                     (F.lit(2) + F.col("cno") % 8).cast("long").alias("capacity"),
                     F.lit(None).cast("string").alias("schedule"),
@@ -124,7 +134,7 @@ def _course_enrollment(c: Campus) -> DataFrame:
 
 
 def _instructor_assignment(c: Campus) -> DataFrame:
-    ia = c.enr0.select((F.col("l_suppkey") + INSTRUCTOR_BASE).alias("instructor_id"), "edition_id").distinct()
+    ia = c.enr0.select((F.col("l_suppkey") + _unit(c)).alias("instructor_id"), "edition_id").distinct()
     ed = c.course_edition.select("edition_id", "coordinator_id")
     return (ia.join(ed, "edition_id")
               .select("instructor_id", "edition_id", (F.col("instructor_id") == F.col("coordinator_id")).alias("is_coordinator")))
@@ -289,7 +299,7 @@ def _admission_request(c: Campus) -> DataFrame:
     n = c.src.part.select(F.count("*")).scalar()
     again = (F.col("event_id") % 9 == 0) & F.col("past_edition").isNotNull()
     asked = (F.col("event_id") * 7 % (n + F.floor(n / 30) + 1)) * 10 + F.col("event_id") % 7
-    student = (F.when(F.col("event_id") % 31 == 0, F.col("user_id") + 2 * INSTRUCTOR_BASE)
+    student = (F.when(F.col("event_id") % 31 == 0, F.col("user_id") + 3 * _unit(c))
                 .when(again, F.col("past_student")).otherwise(F.col("user_id")))
     ev = ev.join(past, "event_id", "left").select("event_id", student.alias("user_id"),
                                                   F.when(again, F.col("past_edition")).otherwise(asked).cast("long").alias("ed"))
@@ -305,7 +315,7 @@ def _degree_request(c: Campus) -> DataFrame:
     """'click' events: degree ``event_id % (n + 2)`` of the n degrees (0 and n + 1 do not exist), no date when
     ``event_id % 19 = 0``, an unknown student when ``event_id % 23 = 0``."""
     ev = c.src.events.select("event_id", "user_id", "ts", "event_type").where(F.col("event_type") == "click")
-    student = F.when(F.col("event_id") % 23 == 0, F.col("user_id") + 2 * INSTRUCTOR_BASE).otherwise(F.col("user_id"))
+    student = F.when(F.col("event_id") % 23 == 0, F.col("user_id") + 3 * _unit(c)).otherwise(F.col("user_id"))
     return ev.select(F.col("event_id").alias("seq"), student.alias("student_id"),
                      (F.col("event_id") % (_n_degrees(c) + 2)).alias("degree_id"),
                      F.when(F.col("event_id") % 19 != 0, F.to_date("ts")).alias("date"))
@@ -358,19 +368,19 @@ def _grade_row(c: Campus) -> DataFrame:
     grade = (F.when(e.l_orderkey % 97 == 0, F.lit("25")).when(e.l_orderkey % 79 == 0, F.lit("x"))
               .otherwise((F.col("l_quantity") * F.lit(0.4)).cast("string")))
     pair = F.when(e.l_orderkey % 83 == 0, F.array(student, grade, F.lit("0"))).otherwise(F.array(student, grade))
-    # a batch is one submitted list; its rows are numbered as a list is
-    w = Window.partitionBy("batch_id").orderBy("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
-    return (e.withColumn("batch_id", F.col("edition_id") * 100 + F.col("l_linenumber"))
-             .select("batch_id", (F.row_number().over(w) - 1).cast("long").alias("pos"), pair.alias("pair")))
+    order = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"]
+    rows = e.select((F.col("edition_id") * 100 + F.col("l_linenumber")).alias("batch_id"), *order, pair.alias("pair"))
+    # a batch may hold any share of all rows: its rows are numbered without one task seeing them all
+    return running_count(rows, ["batch_id"], order, F.lit(True), "pos").select("batch_id", F.col("pos").cast("long").alias("pos"), "pair")
 
 
 def _erasure_request(c: Campus) -> DataFrame:
     """Student ids ``% 50 = 0``, instructor ids ``% 10 = 5`` (to be refused) and
-    unknown ids (``c_custkey % 500 = 7``, shifted by 2e9)."""
+    unknown ids (``c_custkey % 500 = 7``, three units on)."""
     u = c.users.select("user_id")
-    chosen = u.where((F.col("user_id") % 50 == 0) | ((F.col("user_id") >= INSTRUCTOR_BASE) & (F.col("user_id") % 10 == 5)))
+    chosen = u.where((F.col("user_id") % 50 == 0) | ((F.col("user_id") >= _unit(c)) & (F.col("user_id") % 10 == 5)))
     unknown = (c.src.customer.select("c_custkey").where(F.col("c_custkey") % 500 == 7)
-                .select((F.col("c_custkey") + 2 * INSTRUCTOR_BASE).alias("user_id")))
+                .select((F.col("c_custkey") + 3 * _unit(c)).alias("user_id")))
     ids = chosen.unionByName(unknown)
     return ids.select(F.col("user_id").alias("seq"), F.col("user_id").alias("student_id"))
 

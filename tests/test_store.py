@@ -28,3 +28,36 @@ def test_stored_reports_equal_and_pruned(spark):
     out = admit_to_offering(T, c.admission_request)
     assert "year" in out.tables["course_enrollment"].columns
     assert out.tables["course_enrollment"].where(F.col("year").isNull()).count() == 0
+
+
+def _scans(plan):
+    """The file scans of an executed plan, those inside query stages too."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _scans(plan.finalPhysicalPlan())
+    if name.endswith("QueryStageExec"):
+        return _scans(plan.plan())
+    if name == "FileSourceScanExec":
+        return [plan]
+    kids = plan.children()
+    return [s for i in range(kids.size()) for s in _scans(kids.apply(i))]
+
+
+def test_roster_reads_only_the_years_of_the_chosen_offerings(spark):
+    """The offerings are known at run time only; still one year's folder is read."""
+    c = Campus(spark, "/root/testdata/sf0.001")
+    root = tempfile.mkdtemp(prefix="registrar-store-", dir="/tmp")
+    names = ("course", "course_edition", "course_enrollment")
+    store_tables(c, root, names)
+    T = load_tables(spark, root, names)
+    R.best_offering(T, "1992-12-31").write.parquet(f"{root}/best")
+    best = spark.read.parquet(f"{root}/best").where(F.col("approved") > 0)
+    out = R.roster(T, best)
+    rows = out.collect()
+    top = best.first()
+    want = c.course_enrollment.where(F.col("edition_id") == top.edition_id).select(*out.columns)
+    assert sorted(map(str, rows)) == sorted(map(str, want.collect())) and len(rows) >= top.approved > 0
+    plan = out._jdf.queryExecution().executedPlan()
+    assert "dynamicpruning" in plan.toString()
+    read = [s.metrics().apply("numPartitions").value() for s in _scans(plan) if s.metrics().contains("numPartitions")]
+    assert read == [1] and T["course_enrollment"].select("year").distinct().count() > 1
