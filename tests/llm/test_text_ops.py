@@ -338,7 +338,7 @@ def test_lm_probabilities_add_up():
     model.refined = np.random.default_rng(1).uniform(0.05, 0.95, (lm.GATES, lm.KNOTS))
     words = [bytes([b]) for b in range(256)]
     # a first byte's paths are a full binary tree: their probabilities add up to 1
-    word, place, bit, slots = lm.spelled(words, np.zeros(256, dtype=int), model)
+    word, place, bit, slots = lm.spelled([w + b" " for w in words], np.zeros(256, dtype=int), model)
     gate, odds = lm.inputs(place, slots, model)
     p = lm.refined(lm.mixed(gate, odds, model.weights), gate, model.refined)
     first = place == 0
@@ -357,14 +357,65 @@ def test_lm_spelling_depends_on_the_word_alone():
 
 
 def test_lm_history_and_classes():
-    scores = np.array([-1.0, -2.0, -2.0, -3.0])
-    got = lm.text_score([b"a", b"b", b"a", b"c"], scores, 0.1)
-    want = -1 + math.log10(0.9 * 1e-2) + math.log10(0.9 * 1e-2 + 0.1 * 0.5) + math.log10(0.9 * 1e-3)
-    assert math.isclose(got, want)
+    scores = np.array([-5.0, -1.0, -2.0, -2.0, -3.0])  # a document of one token, then a, b, a, c
+    got = lm.with_history(scores, np.array([0, 0, 1, 0, 2]), np.array([0, 1, 1, 1, 1]), 0.1)
+    want = [-5, -1, math.log10(0.9 * 1e-2), math.log10(0.9 * 1e-2 + 0.1 * 0.5), math.log10(0.9 * 1e-3)]
+    assert np.allclose(got, want)
     runs = lm.class_runs([b"x", b"a", b"x", b"b", b"b", b"x"], {b"a": 1, b"b": 2})
     assert runs == [(0, 0, 2), (1, 2, 5), (2, 5, 6)]
 
 
+def test_lm_score_equals_brute_force(spark, monkeypatch):
+    """Every document's score, token by token, from the fitted model and plain counts."""
+    monkeypatch.setattr(lm, "FREQUENT", 50)
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    held = F.col("doc_id") % 4 == 0
+    f = lm.fit(table, held)
+    got = {r.doc_id: r.score for r in lm.score(table, held, fitted=f).collect()}
+    assert f.model.history > 0 and 0 < f.model.rare < 0.5
+    count = {}
+    for r in table.collect():
+        if r.doc_id % 4:
+            for w in lm.tokens(r.text):
+                count[w] = count.get(w, 0) + 1
+    assert f.frequent == {w: count[w] for w in f.frequent} and len(f.frequent) <= 50
+    rare_tokens = sum(c for w, c in count.items() if w not in f.frequent)
+    h, memo = f.model.history, {}
+    for r in table.collect():
+        seen, total = {}, 0.0
+        words = lm.tokens(r.text)
+        for g, a, b in lm.class_runs(words, f.model.classes):
+            for i in range(a, b):
+                w = words[i]
+                if (g, w) not in memo:
+                    memo[g, w] = lm.word_scores([w], np.array([g]), f.model)[0]
+                p = 10 ** memo[g, w]
+                if i:
+                    p = (1 - h) * p + h * seen.get(w, 0) / i
+                p *= 1 - f.model.rare
+                if w in count and w not in f.frequent:
+                    p += f.model.rare * count[w] / rare_tokens
+                seen[w] = seen.get(w, 0) + 1
+                total += math.log10(p)
+        assert math.isclose(total, got[r.doc_id], rel_tol=1e-6), r.doc_id
+
+
+def test_lm_long_words_take_little_memory():
+    """A word of 3 MB is spelled in pieces: the same sum, in bounded memory."""
+    import tracemalloc
+    model = lm.Model(code=lm.prefix_code(np.ones(256)))
+    model.tables = {k: np.random.default_rng(2).normal(size=1 << size).astype(np.float16) for k, (size, _, _) in lm.CONTEXTS.items()}
+    one = b"ab" * (lm.LONG // 2)
+    first = lm.word_scores([one], np.array([0]), model)[0]
+    end = lm.word_scores([b""], np.array([0]), model)[0]  # the blank, as a piece of its own
+    tracemalloc.start()
+    got = lm.word_scores([b"x", one * 12_000, b"x"], np.array([0, 0, 0]), model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[0] == got[2] and math.isclose(got[1], 12_000 * (first - end) + end, rel_tol=1e-4)
+    assert peak < 300 << 20
+
+
 def test_lm_on_odd_tables(spark):
     held = F.col("doc_id") % 2 == 0
     out = lm.score(docs(spark, TEXTS), held).collect()
