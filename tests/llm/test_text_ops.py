@@ -334,21 +334,23 @@ def test_lm_counts_equal_brute_force(spark, monkeypatch):
 def test_lm_probabilities_add_up():
     """Over all words of at most two letters and the rest of the tree, bits split mass."""
     model = lm.Model(code=lm.prefix_code(np.arange(256)), classes={b"a": 1})
-    model.tables = {k: np.random.default_rng(0).normal(size=1 << size).astype(np.float16) for k, (size, _, _) in lm.CONTEXTS.items()}
+    model.tables = {k: np.random.default_rng(0).normal(size=1 << size).astype(np.float16) for k, (size, _) in lm.CONTEXTS.items()}
     model.refined = np.random.default_rng(1).uniform(0.05, 0.95, (lm.GATES, lm.KNOTS))
     words = [bytes([b]) for b in range(256)]
     # a first byte's paths are a full binary tree: their probabilities add up to 1
-    word, place, bit, slots = lm.spelled([w + b" " for w in words], np.zeros(256, dtype=int), model)
+    group = np.zeros(256, dtype=int)
+    read = lm.letters([w + b" " for w in words], group)
+    byte, place, bit, slots = lm.spelled(read, group, model)
     gate, odds = lm.inputs(place, slots, model)
     p = lm.refined(lm.mixed(gate, odds, model.weights), gate, model.refined)
     first = place == 0
-    total = np.exp(np.bincount(word[first], np.log(np.where(bit, p, 1 - p))[first], 256)).sum()
+    total = np.exp(np.bincount(read.word[byte[first]], np.log(np.where(bit, p, 1 - p))[first], 256)).sum()
     assert math.isclose(total, 1.0, rel_tol=1e-3)
 
 
 def test_lm_spelling_depends_on_the_word_alone():
     model = lm.Model(code=lm.prefix_code(np.ones(256)))
-    model.tables = {k: np.random.default_rng(2).normal(size=1 << size).astype(np.float16) for k, (size, _, _) in lm.CONTEXTS.items()}
+    model.tables = {k: np.random.default_rng(2).normal(size=1 << size).astype(np.float16) for k, (size, _) in lm.CONTEXTS.items()}
     words = [b"the", b"x" * 500, "né".encode(), b"\n", b"the"]
     group = np.array([0, 1, 2, 3, 0])
     together = lm.word_scores(words, group, model)
@@ -356,6 +358,51 @@ def test_lm_spelling_depends_on_the_word_alone():
     assert np.allclose(together, alone) and together[0] == together[4]
 
 
+def test_lm_shared_beginnings():
+    """A byte stands for the same beginnings of the pieces after it in its class, and only for these."""
+    parts, group = [b"ab ", b"abc ", b"abd ", b"abd ", b"b ", b"ab ", b"abc "], np.array([0, 0, 0, 0, 0, 1, 1])
+    read, seen, at = lm.letters(parts, group), {}, 0
+    for p, g in zip(parts, group.tolist()):
+        for k in range(len(p)):
+            assert read.same[at] == seen.setdefault((g, p[:k + 1]), at)
+            at += 1
+    assert len(read.own) == len(seen)
+    rng = np.random.default_rng(5)
+    words = sorted({bytes(rng.choice(list(b"abc"), rng.integers(0, 7)).tolist()) for _ in range(300)})
+    read = lm.letters([w + b" " for w in words], np.zeros(len(words), dtype=int))
+    assert len(read.own) == len({(w + b" ")[:k + 1] for w in words for k in range(len(w) + 1)})
+
+
+def test_lm_tables_hold_all_training_words(spark, monkeypatch):
+    """The tables used for scores equal counts made word by word, the tuning sample's words among them."""
+    rng = np.random.default_rng(7)
+    texts = {i: " ".join("".join(rng.choice(list("abcd"), rng.integers(1, 6))) for _ in range(30)) for i in range(120)}
+    found = []
+
+    def remember(table, model, frequent, fill=lm.bit_tables):
+        rows = table.collect()
+        found.append((rows, fill(table, model, frequent)))
+        return found[-1][1][0].copy(), found[-1][1][1]
+
+    monkeypatch.setattr(lm, "bit_tables", remember)
+    f = lm.fit(docs(spark, texts), F.col("doc_id") % 10 == 0)
+    rows, (_, without) = found[0]
+    assert any(r.m < r.c for r in rows) and sum(len(at) for at, _ in without.values())
+    for use, tables in ((lambda r: r.c, f.model.tables), (lambda r: r.m, {k: f.model.tables[k].copy() for k in lm.CONTEXTS})):
+        sums = {k: np.zeros((2, 1 << size)) for k, (size, _) in lm.CONTEXTS.items()}
+        for r in rows:
+            if use(r):
+                group = np.array([r.g])
+                _, _, bit, slots = lm.spelled(lm.letters([bytes(r.word) + b" "], group), group, f.model)
+                for k, (_, once) in lm.CONTEXTS.items():
+                    np.add.at(sums[k], (bit, slots[k]), 1 if once else use(r))
+        if tables is not f.model.tables:
+            for k, (at, odds) in without.items():
+                tables[k][at] = odds
+        for k, n in sums.items():
+            assert np.array_equal(tables[k], np.log((n[1] + 0.3) / (n[0] + 0.3)).astype(np.float16)), k
+
+
 def test_lm_history_and_classes():
     scores = np.array([-5.0, -1.0, -2.0, -2.0, -3.0])  # a document of one token, then a, b, a, c
     got = lm.with_history(scores, np.array([0, 0, 1, 0, 2]), np.array([0, 1, 1, 1, 1]), 0.1)
@@ -404,7 +451,7 @@ def test_lm_long_words_take_little_memory():
     """A word of 3 MB is spelled in pieces: the same sum, in bounded memory."""
     import tracemalloc
     model = lm.Model(code=lm.prefix_code(np.ones(256)))
-    model.tables = {k: np.random.default_rng(2).normal(size=1 << size).astype(np.float16) for k, (size, _, _) in lm.CONTEXTS.items()}
+    model.tables = {k: np.random.default_rng(2).normal(size=1 << size).astype(np.float16) for k, (size, _) in lm.CONTEXTS.items()}
     one = b"ab" * (lm.LONG // 2)
     first = lm.word_scores([one], np.array([0]), model)[0]
     end = lm.word_scores([b""], np.array([0]), model)[0]  # the blank, as a piece of its own
