@@ -57,8 +57,8 @@ class Encoder:
         ranks = {bytes(symbols[c] for c in t): i for t, i in vocab.items() if t not in self.added}
         self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.added)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        self.pieces = Memo(self.piece, MEMO)
-        self.words = Memo(self.word, MEMO)
+        self.pieces = Memo(self.piece, MEMO // 2)
+        self.words = Memo(self.word, MEMO // 2)
 
     def piece(self, text: str) -> bytes:
         return array("I", self.bpe.encode_ordinary(text)).tobytes()
@@ -70,8 +70,8 @@ class Encoder:
             return None
         core = chunk.rstrip(MARKS)
         if core.isalpha() and len(core) < len(chunk):
-            return self.pieces[" " + core] + self.pieces[chunk[len(core):]]
-        return self.pieces[" " + core] if core.isalpha() else self.piece(" " + chunk)
+            return self.words[core] + self.pieces[chunk[len(core):]]  # a word is kept once, with or without marks
+        return self.piece(" " + chunk)
 
     def long_blanks(self, text: str) -> bytes:
         """Ids of a text with long runs of white space: a run is one piece, without its last

@@ -471,3 +471,11 @@ def test_lm_on_odd_tables(spark):
     assert [(r.n_tokens) for r in out if r.doc_id in (0, 1, 2)] == [1, 1, 1]
     assert lm.score(docs(spark, []), held).count() == 0
     assert lm.score(docs(spark, TEXTS), F.lit(True)).filter("n_known > 0 or train_tokens > 0").count() == 0
+
+
+def test_packing_keeps_a_word_once():
+    import public_tokenizers
+    from registrar.llm.packing import Encoder
+    e = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    e.encode("one house, house house. 'house'")
+    assert "house" in e.words and not any("house" in k for k in e.pieces)
