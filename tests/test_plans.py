@@ -63,3 +63,10 @@ def test_scan_reads_only_used_columns(spark):
     assert lineitem, schemas
     for unused in ("l_extendedprice", "l_discount", "l_tax", "l_shipdate", "l_linestatus", "o_totalprice"):
         assert all(unused not in x for x in schemas), unused
+
+
+@pytest.mark.parametrize("name", ["submit_grades", "stored_grades", "enrollment_after_grades", "academic_record", "admit_to_offering",
+                                  "student_class_after_admission", "enrollment_after_admission"])
+def test_shared_tables_are_derived_once(spark, name):
+    """What several branches read is stored; none joins the lines and orders again."""
+    assert "lineitem" not in plan(queries()[name](spark, SMOKE))

@@ -69,3 +69,24 @@ def test_sparse_order_and_one_hot_key(spark):
     assert len(per) >= 6 and max(r["count"] for r in per) < 500
     got = [r.out for r in running_sum(df, ["k"], ["seq"], "v", "out", inclusive=True, parts=8).where("k = 1").orderBy("seq").collect()]
     assert got == list(range(1, len(got) + 1))
+
+
+def test_small_keys_are_one_window_and_hot_keys_are_dealt(spark, monkeypatch):
+    from registrar.functions import sequence
+    rows = _rows(6, keys=2) + [(9, s, 1) for s in range(5)]
+    df = spark.createDataFrame(rows, "k long, seq long, v long")
+    dealt, real = [], sequence._dealt
+    monkeypatch.setattr(sequence, "_dealt", lambda d, *a: dealt.append({r.k for r in d.select("k").distinct().collect()}) or real(d, *a))
+    expected = sorted((str(k), s, sum(v for k2, s2, v in rows if k2 == k and s2 < s)) for k, s, _ in rows)
+    for most, hot in ((1 << 18, []), (100, [{0, 1}]), (3, [{None, 0, 1, 9}])):
+        dealt.clear()
+        monkeypatch.setattr(sequence, "HOT_ROWS", most)
+        got = running_sum(df, ["k"], ["seq"], "v", "out").select("k", "seq", "out").collect()
+        assert sorted((str(r.k), r.seq, r.out) for r in got) == expected
+        assert dealt == hot
+
+
+def test_materialized_rows_are_stored_in_columns(spark):
+    from registrar.functions.sequence import materialize
+    out = materialize(spark.range(10).withColumn("x", F.lit(None).cast("string")))
+    assert out.inputFiles() and sorted(r.id for r in out.collect()) == list(range(10))
