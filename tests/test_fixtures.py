@@ -63,3 +63,32 @@ def test_ids_of_people_are_disjoint_at_any_size(spark):
         assert phantom.count() > 0 and phantom.join(ids, F.col("coordinator_id") == F.col("user_id")).count() == 0
         unknown = c.erasure_request.join(ids, F.col("student_id") == F.col("user_id"), "left_anti")
         assert unknown.count() == c.src.customer.where((F.col("c_custkey") % 500) == 7).count()
+
+
+def test_grade_batches_come_from_the_offerings_without_dealing_all_rows_again(spark):
+    import datetime
+    from types import SimpleNamespace
+
+    from pyspark.sql import functions as F
+
+    from registrar.sources.fixtures import MASKED, Campus
+
+    c = Campus(spark, "/nowhere")
+    ids = lambda name: spark.createDataFrame([(7,)], f"{name} long")
+    c.src = SimpleNamespace(customer=ids("c_custkey"), supplier=ids("s_suppkey"), events=ids("user_id"))
+    day = datetime.date(1996, 5, 1)
+    some = [(part, supp, line, on) for part, supp, on in ((3, 2, day), (3, 1, day), (9, 4, day), (5, 3, None), (None, 2, day))
+            for line in (1, 1, 7, MASKED, MASKED + 1, 99, None)]
+    lines = spark.createDataFrame([(i, p, s, n, 10.0, "A", on, 1) for i, (p, s, n, on) in enumerate(some)],
+                                  "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber long, l_quantity double, "
+                                  "l_returnflag string, ordered_on date, student_id long")
+    c._memo["lines"] = lines
+    c.keep("lines", "offering")
+    got = sorted(map(tuple, c.grade_batch.collect()), key=str)
+    b = c.enr0.select((F.col("edition_id") * 100 + F.col("l_linenumber")).alias("batch_id"), "edition_id", "l_linenumber").distinct()
+    by_row = b.join(c.course_edition.select("edition_id", "coordinator_id"), "edition_id", "left").collect()
+    assert len(got) == len(by_row)
+    assert sorted(((r[0], r[1], r[2]) for r in got), key=str) == sorted(((r.batch_id, r.edition_id, r.coordinator_id) for r in by_row), key=str)
+    c._memo["lines"] = lines.where(F.col("l_linenumber").between(0, MASKED) & F.col("ordered_on").isNotNull() & F.col("l_partkey").isNotNull())
+    del c._memo["enr0"], c._memo["grade_batch"]
+    assert "Exchange" not in c.grade_batch._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]

@@ -90,3 +90,18 @@ def test_materialized_rows_are_stored_in_columns(spark):
     from registrar.functions.sequence import materialize
     out = materialize(spark.range(10).withColumn("x", F.lit(None).cast("string")))
     assert out.inputFiles() and sorted(r.id for r in out.collect()) == list(range(10))
+
+
+def test_hot_keys_are_found_among_full_hash_classes_only(spark, monkeypatch):
+    from registrar.functions import sequence as S
+    rows = spark.createDataFrame([(k, i) for k, n in ((1, 3), (2, 9), (None, 7)) for i in range(n)], "k long, i long")
+    monkeypatch.setattr(S, "HOT_ROWS", 6)
+    for classes in (1, 1 << 14):  # one class of all keys, a class a key
+        monkeypatch.setattr(S, "CLASSES", classes)
+        assert {r[0].k for r in S._hot_keys(rows, ["k"]).collect()} == {2, None}
+    monkeypatch.setattr(S, "CLASSES", 1)
+    monkeypatch.setattr(S, "HOT_ROWS", 10)
+    assert S._hot_keys(rows, ["k"]) is None  # the class is full, no key of it is hot
+    monkeypatch.setattr(S, "HOT_ROWS", 6)
+    got = {(r.k, r.i): r.n for r in S.running_count(rows, ["k"], ["i"], F.lit(True), "n").collect()}
+    assert got == {(r.k, r.i): r.i for r in rows.collect()}
