@@ -149,3 +149,13 @@ def test_stream_goes_on_where_it_stopped(spark):
     announce(spark, f"{work}/notices", 7, f"{work}/d1")
     with pytest.raises(Exception, match="announced as number 2"):
         run_admissions(spark, state, f"{work}/notices", work)
+
+
+def test_class_checks_are_stored_once(spark):
+    from registrar.operators.admission import class_check
+    T = {"class": spark.createDataFrame([(21, 10, "T", "x")], "class_id long, edition_id long, type string, schedule string")}
+    req = spark.createDataFrame([(1, 7, 10, [21]), (2, 7, 10, [21, 22]), (3, 7, 10, [])], "seq long, student_id long, edition_id long, classes array<long>")
+    ok, pairs = class_check(T, req)
+    assert {r.seq: r.classes_ok for r in ok.collect()} == {1: True, 2: False}
+    assert sorted((r.seq, r.class_id) for r in pairs.collect()) == [(1, 21), (2, 21), (2, 22)]
+    assert "Join" not in ok._jdf.queryExecution().optimizedPlan().toString() + pairs._jdf.queryExecution().optimizedPlan().toString()
