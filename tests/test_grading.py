@@ -6,7 +6,8 @@ import random
 from datetime import date
 from decimal import ROUND_HALF_UP, Decimal
 
-from helpers import D, campus
+from helpers import D, campus, df
+from pyspark.sql import functions as F
 
 from registrar.operators.grading import refresh_academic_record, split_batches, submit_grades
 
@@ -125,3 +126,28 @@ def test_large_ids_stay_exact_and_copies_do_not_multiply(spark):
     assert [r.status for r in res.outcome.collect()] == ["ok"] and res.tables["grade_change"].count() == 1
     got = {(r.student_id, r.grade) for r in res.tables["course_enrollment"].collect()}
     assert got == {(big, D("12.00")), (big - 1, None)}
+
+
+def test_student_ids_as_they_are_spelled(spark):
+    from registrar.operators.grading import _student_id
+    texts = {"12": 12, "-1": -1, " 12 ": 12, "+12": 12, "012": 12, "12.": 12, "12.00": 12, "12.5": None, "x": None, "": None, None: None,
+             "\x0112": None, "9223372036854775807": 9223372036854775807, "9223372036854775808": None}
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.id for r in rows.select("t", _student_id(F.col("t")).alias("id")).collect()} == texts
+
+
+def test_headers_without_rows_are_told_by_the_join_with_the_rows(spark):
+    from registrar.operators.grading import _check_rows, submit_grades
+    T = {"course_enrollment": df(spark, "course_enrollment", [(1, 10, None, None, None)]),
+         "course_edition": spark.createDataFrame([(10, 5)], "edition_id long, coordinator_id long")}
+    headers = spark.createDataFrame([(1, 10, 5, "Normal"), (2, 10, 5, "Normal"), (3, 10, 5, "Normal"), (None, 10, 5, "Normal"), (4, 10, 5, "Normal"), (4, 10, 5, "Normal")],
+                                    "batch_id long, edition_id long, submitter_id long, period string")
+    rows = spark.createDataFrame([(1, 1, ["1", "12"]), (2, 1, ["1", "12", "0"]), (None, 1, ["1", "12"]), (9, 1, ["1", "12"]), (4, 1, ["7", "9"])],
+                                 "batch_id long, pos long, pair array<string>")
+    checked = _check_rows(T, headers, rows).collect()
+    assert sorted(str(r.batch_id) for r in checked if r.empty) == ["3", "None"]
+    out = submit_grades(T, headers, rows)
+    got = sorted((str(r.batch_id), r.status, r.bad_pos) for r in out.outcome.collect())
+    assert got == [("1", "ok", None), ("2", "ok", None), ("3", "missing_fields", None), ("4", "not_enrolled", 1), ("4", "not_enrolled", 1),
+                   ("None", "missing_fields", None)]
+    assert [(r.student_id, r.edition_id, float(r.grade)) for r in out.tables["grade_update"].collect()] == [(1, 10, 12.0)]
