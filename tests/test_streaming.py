@@ -3,6 +3,7 @@
 from datetime import date
 
 from helpers import D, campus
+from pyspark.sql import functions as F
 
 from registrar.operators.grading import refresh_academic_record
 from registrar.streaming.balances import balance_log, balances_from_table
@@ -103,3 +104,13 @@ def test_balance_log_stays_bounded(spark):
     got = {r.student_id: (r.balance, r.n_charges) for r in log.read().collect()}
     assert got == {s: (D(e * 10 + s), e) for e in range(8) for s in range(e % 3, 12, 2)}
     assert log.read(0).count() == 0 and len(log.folders()) <= 3
+
+
+def test_an_empty_log_costs_no_join(spark, tmp_path):
+    from registrar.streaming import records as SR
+    state = SR.RecordState(spark, str(tmp_path))
+    none = state.applied.read()
+    assert none.schema.fieldNames() == SR.CHANGE_SCHEMA.fieldNames() and none.count() == 0
+    rows = spark.range(5).select(F.col("id").alias("student_id"), F.col("id").alias("edition_id"))
+    plan = rows.join(none, ["student_id", "edition_id"], "left_anti")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
