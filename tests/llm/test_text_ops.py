@@ -403,6 +403,43 @@ def test_lm_tables_hold_all_training_words(spark, monkeypatch):
             assert np.array_equal(tables[k], np.log((n[1] + 0.3) / (n[0] + 0.3)).astype(np.float16)), k
 
 
+def test_lm_learns_from_every_training_document(spark, monkeypatch):
+    """Classes, code, history and the decisions that weights and refinement are learned from equal those of all
+    training documents, whether or not the first words are proven without listing all words."""
+    rng = np.random.default_rng(11)
+    vocabulary = ["".join(rng.choice(list("abcdefgh"), 4)) for _ in range(150)]
+    texts = {i: " ".join(rng.choice(vocabulary[i % 3 * 40:], 60)) for i in range(150)}
+    held = F.col("doc_id") % 10 == 0
+    train = [lm.tokens(t) for i, t in texts.items() if i % 10]
+    count = {}
+    for w in (w for t in train for w in t):
+        count[w] = count.get(w, 0) + 1
+    names = sorted((w for w in count if w != lm.END), key=lambda w: (-count[w], w))[:lm.ANCHORS]
+    n = sum(count.values())
+    letters = np.zeros(256)
+    for w, c in count.items():
+        np.add.at(letters, np.frombuffer(w + b" ", np.uint8), c)
+    table, sums = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5), []
+    monkeypatch.setattr(lm, "_summed", lambda rows, add=lm._summed: sums.append(add(rows)) or sums[-1])
+    for listed in (1 << 16, 200):
+        monkeypatch.setattr(lm, "LISTED", listed)
+        got, shares, found = lm.common_words(_training(table, held), 1 / listed)
+        assert got == names and np.array_equal(found, letters)
+        assert all(math.isclose(s, count[w] / n) for w, s in shares.items()) and (listed == 200 or len(shares) == len(count) - 1)
+    sums.clear()
+    model = lm.fit(table, held).model
+    vectors = np.array([[math.sqrt(t.count(w) / len(t)) for t in train] for w in names])
+    assert model.classes == lm.find_classes(names, vectors @ vectors.T) and len(model.classes) == lm.ANCHORS
+    assert np.allclose(sums[1][:lm.ANCHORS ** 2].reshape(lm.ANCHORS, -1), vectors @ vectors.T)
+    assert all(np.array_equal(a, b) for a, b in zip(model.code, lm.prefix_code(letters)))
+    bits = np.diff(model.code[0])
+    assert math.isclose(sums[2][-lm.GATES * lm.KNOTS:].sum(), float(letters @ bits), rel_tol=1e-6)
+
+
+def _training(table, held):
+    return table.filter(~held).select("doc_id", F.col("text").alias("t"))
+
+
 def test_lm_history_and_classes():
     scores = np.array([-5.0, -1.0, -2.0, -2.0, -3.0])  # a document of one token, then a, b, a, c
     got = lm.with_history(scores, np.array([0, 0, 1, 0, 2]), np.array([0, 1, 1, 1, 1]), 0.1)
