@@ -57,3 +57,24 @@ def test_repeated_null_and_integer_keys(spark):
     rows = spark.createDataFrame([(None, 1), (None, 2), (7, 3), (7, 4), (8, 5)], "user_id long, x long").select("user_id")
     got = {(r.rule, r.detail, r.n_rows) for r in audit_constraints({"admin": rows}, ["admin"]).collect()}
     assert got == {("primary_key", "\\N", 2), ("primary_key", "7", 2), ("not_null:user_id", "", 2)}
+
+
+def test_audit_stores_no_table_that_follows_from_a_stored_one(monkeypatch):
+    """Tables that follow row by row from a kept one are audited as they are, faults among them; the others are stored once."""
+    from registrar.plans import catalog
+
+    class Kept:
+        spark = None
+        keep = staticmethod(lambda *names: None)
+        __getattr__ = lambda self, name: name
+
+    stored, seen = [], []
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: name)
+    monkeypatch.setattr(catalog, "store_tables", lambda tables, root, names, by_year: stored.extend(names))
+    monkeypatch.setattr(catalog, "load_tables", lambda spark, root, names: {n: f"stored {n}" for n in names})
+    monkeypatch.setattr(catalog.Q, "audit_constraints", lambda tables, names: seen.append((tables, names)))
+    catalog._audited(Kept(), {"course_enrollment": "faulty"})
+    (tables, names), = seen
+    assert set(names) == set(tables) == set(catalog.AUDITED) and len(stored) == len(set(stored))
+    assert not set(stored) & {"course_enrollment", "student_class", "class"} and set(stored) | set(catalog.FOLLOWING) == set(names)
+    assert tables["course_enrollment"] == "faulty" and all(tables[n] == (f"stored {n}" if n in stored else n) for n in names if n != "course_enrollment")
