@@ -71,6 +71,20 @@ def footrule(query: np.ndarray, entries: np.ndarray) -> np.ndarray:
     return (np.maximum(entries, query) - np.minimum(entries, query)).sum(axis=1, dtype=np.int64)
 
 
+def farness(prefix: np.ndarray, by_pivot: np.ndarray) -> np.ndarray:
+    """A number for each of many orders that ranks them as their footrule to the prefix does;
+    ``by_pivot`` has their places, a row a pivot. |a - b| is 2 max(a, b) - a - b, and places add up to
+    the same in all orders; a pivot missing from the prefix has the last place there, the larger
+    one whatever the other. So the maxima at the prefix's own pivots, of any number of pivots, say all."""
+    k = len(prefix)
+    if k == len(by_pivot):
+        rows, place = by_pivot, np.argsort(prefix)
+    else:
+        rows, place = by_pivot[prefix], np.arange(k)
+    most = np.uint16 if k <= 256 else np.uint32
+    return np.maximum(rows, place.astype(rows.dtype)[:, None]).sum(axis=0, dtype=most)
+
+
 def _augmented(v: pd.Series, largest: float, query: bool) -> np.ndarray:
     x = np.stack(v.to_numpy()).astype(np.float64)
     rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(largest - (x * x).sum(axis=1), 0))
@@ -121,11 +135,10 @@ def _read_files(entries: DataFrame, queries: DataFrame, n_pivots: int, s: Settin
         q, e = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1].sort_values("id")
         keys, at, scores = [], [], []
         if len(q) and len(e):
-            theirs, own = places(matrix(e["code"], np.uint16), n_pivots), places(matrix(q["code"], np.uint16), n_pivots)
+            theirs = np.ascontiguousarray(places(matrix(e["code"], np.uint16), n_pivots).T)
             x, y = matrix(e["v"], np.float64), matrix(q["v"], np.float64)
-            for k, place, v in zip(q["id"], own, y):
-                far = footrule(place, theirs)
-                near = np.argsort(far, kind="stable")[:s.reranked]
+            for k, prefix, v in zip(q["id"], matrix(q["code"], np.uint16), y):
+                near = np.argsort(farness(prefix, theirs), kind="stable")[:s.reranked]
                 score = (x[near] * v).sum(axis=1)
                 best = np.lexsort((near, -score))[:s.neighbours + 1]  # one more: the query's own entry
                 keys.append(np.full(len(best), k)), at.append(near[best]), scores.append(score[best])

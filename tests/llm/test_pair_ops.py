@@ -219,6 +219,15 @@ def test_footrule():
     assert ann.footrule(own[0], theirs).tolist() == [4, 0, 2 + 1 + 0 + 2 + 1 + 0]
 
 
+@pytest.mark.parametrize("n_pivots, k", [(256, 256), (700, 256), (700, 300), (40, 7)])
+def test_farness_ranks_as_the_footrule_from_the_prefix_alone(n_pivots, k):
+    rng = np.random.default_rng(k)
+    orders = np.array([rng.permutation(n_pivots)[:k] for _ in range(200)])
+    theirs = ann.places(orders, n_pivots)
+    far, want = ann.farness(orders[0], theirs.T).astype(int), ann.footrule(theirs[0], theirs)
+    assert far[0] == far.min() and (2 * (far - far[0]) == want).all()
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark):
