@@ -43,12 +43,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     reach Jaccard 0.8. Rows with a null doc_id stay. Rows with one doc_id stay if that
     doc_id is kept; of rows alike in all columns one stays."""
     marked = minhash.near_duplicates(docs, minhash.Settings(shingle=5))
-    kept = staged(marked.groupBy("doc_id").agg(F.bool_or(F.coalesce("kept", F.lit(True))).alias("kept"), F.count("*").alias("rows"))
-                        .filter("kept").select("doc_id", "rows"), "kept")
-    single, several = kept.filter("rows = 1"), kept.filter("rows > 1")
-    on = lambda ids: docs["doc_id"].eqNullSafe(ids["doc_id"])
-    out = docs.join(single, on(single), "left_semi")
-    return out.unionByName(docs.join(several, on(several), "left_semi").dropDuplicates())
+    ids = marked.groupBy("doc_id").agg(F.bool_or(F.coalesce("kept", F.lit(True))).alias("kept"), F.count("*").alias("rows"))
+    # the ids that don't stay as they are, few beside the others: the texts needn't be shuffled for them
+    other = staged(ids.filter("not kept or rows > 1 or doc_id is null"), "other-ids")
+    sent = F.broadcast if other.count() <= minhash.BROADCAST_IDS else (lambda df: df)
+    several = sent(other.filter("kept").select("doc_id"))
+    out = docs.join(sent(other.select("doc_id")), "doc_id", "left_anti").filter("doc_id is not null")
+    return out.unionByName(docs.join(several, docs["doc_id"].eqNullSafe(several["doc_id"]), "left_semi").dropDuplicates())
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -297,3 +297,21 @@ def test_pipeline_filters_on_statistics_computed_once(spark):
     held = plan(quality.with_score(d, rules, "score", filtered=True).filter("score >= 0.5"))
     assert held.count("array_distinct(") == once.count("array_distinct(") and held.count("split(") <= once.count("split(")
     assert corpus_pipeline.drop_low_quality(spark, d, SF).columns == d.columns
+
+
+def test_texts_are_not_shuffled_for_the_ids_that_go(spark, monkeypatch):
+    copy = "one text of which there are two rows with ids of their own"
+    rows = [(1, copy), (2, copy), (3, "a text that stays"), (4, "one row"), (4, "another row of that id"), (4, "one row"), (None, "no id"), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # more kept ids than Spark would send by itself
+    try:
+        out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        want = [(None, "no id"), (1, copy), (3, "a text that stays"), (4, "another row of that id"), (4, "one row")]
+        assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+        monkeypatch.setattr(corpus_pipeline.minhash, "BROADCAST_IDS", 0)  # more ids than are sent
+        assert sorted(map(tuple, corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()), key=str) == sorted(want, key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
