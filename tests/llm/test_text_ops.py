@@ -436,6 +436,16 @@ def test_lm_learns_from_every_training_document(spark, monkeypatch):
     assert math.isclose(sums[2][-lm.GATES * lm.KNOTS:].sum(), float(letters @ bits), rel_tol=1e-6)
 
 
+def test_lm_words_are_not_listed_by_every_small_part(spark, monkeypatch):
+    words, rows = [f"w{i}" for i in range(100)], []
+    table = spark.range(200).repartition(50).select("id", F.lit(" ".join(words)).alias("t"))
+    monkeypatch.setattr(lm, "staged", lambda df, name, stage=lm.staged: rows.append(stage(df, name)) or rows[-1])
+    names, shares, _ = lm.common_words(table)
+    parts = lm.PARTS * spark.sparkContext.defaultParallelism
+    assert parts < 50 and len(rows) == 1 and rows[0].count() <= parts * 102  # the words, the end, and the part's own row
+    assert names == sorted(w.encode() for w in words)[:lm.ANCHORS] and all(math.isclose(s, 1 / 101) for s in shares.values())
+
+
 def _training(table, held):
     return table.filter(~held).select("doc_id", F.col("text").alias("t"))
 
